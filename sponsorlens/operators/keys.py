@@ -20,7 +20,7 @@ def assign_dense_ids(new_rows: DataFrame, key_cols: list[str], id_col: str, star
     spark = new_rows.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     b = F.pmod(F.xxhash64(*[F.col(c) for c in key_cols]), F.lit(buckets)).cast("int")
-    tagged = new_rows.withColumn("_bucket", b)
+    tagged = new_rows.withColumn("_bucket", b).persist()             # read twice: counts, then ids
     counts = dict(tagged.groupBy("_bucket").count().collect())     # <= buckets rows
     offsets, running = [], start
     for k in range(buckets):

@@ -28,19 +28,30 @@ PERM_STAGED_COLUMNS = [
 
 
 def _derive(typed: DataFrame, columns: list[str]) -> DataFrame:
-    """Second projection: columns computed from already-typed columns.
+    """Later projections: columns computed from already-typed columns.
 
     Kept as separate projections (Catalyst does not merge projections that
-    would repeat a regex), so each regex runs once per row and every
-    generated method stays small enough for whole-stage codegen."""
-    step = typed.withColumn("employer_name_clean", X.clean_employer("employer_name"))
-    step = step.select("*",
-                       X.is_university("employer_name_clean").alias("is_university"),
-                       X.job_category("job_title", "soc_title").alias("job_category"),
-                       X.fiscal_year("received_date").alias("fiscal_year"))
+    would repeat a non-trivial expression), so each regex and each wage
+    product runs once per row and every generated method stays small enough
+    for whole-stage codegen."""
+    step = typed
+    for w in ("annual_wage", "prevailing_wage"):
+        if f"_{w}_num" in step.columns:
+            step = step.withColumn(f"_{w}", F.col(f"_{w}_num") * F.col(f"_{w}_factor"))
+    step = step.select(
+        "*",
+        X.clean_employer("employer_name").alias("employer_name_clean"),
+        X.job_category("job_title", "soc_title").alias("job_category"),
+        X.fiscal_year("received_date").alias("fiscal_year"),
+        *[X.bounded(f"_{w}").alias(w) for w in ("annual_wage", "prevailing_wage") if f"_{w}" in step.columns])
+    step = step.withColumn("is_university", X.is_university("employer_name_clean"))
     return step.select(*columns, "row_seq")
 
 
+def _wage_parts(name: str, wage: Column, unit: Column) -> dict[str, Column]:
+    return {f"_{name}_num": X.wage_number(wage), f"_{name}_factor": X.unit_factor(unit)}
+
+
 def _typed_lca(raw: DataFrame) -> DataFrame:
     col = lambda n: column_or_null(raw, n)
     cols = {
@@ -58,8 +69,8 @@ def _typed_lca(raw: DataFrame) -> DataFrame:
         "worksite_postal_code": X.strip(col("WORKSITE_POSTAL_CODE")),
         "full_time": X.yes_flag(col("FULL_TIME_POSITION")),
         "total_worker_positions": X.int_or_one(col("TOTAL_WORKER_POSITIONS")),
-        "annual_wage": X.annualize(col("WAGE_RATE_OF_PAY_FROM"), col("WAGE_UNIT_OF_PAY")),
-        "prevailing_wage": X.annualize(col("PREVAILING_WAGE"), col("PW_UNIT_OF_PAY")),
+        **_wage_parts("annual_wage", col("WAGE_RATE_OF_PAY_FROM"), col("WAGE_UNIT_OF_PAY")),
+        **_wage_parts("prevailing_wage", col("PREVAILING_WAGE"), col("PW_UNIT_OF_PAY")),
         "wage_unit_raw": col("WAGE_UNIT_OF_PAY"),
         "source_file": F.col("source_file"),
     }
@@ -81,7 +92,7 @@ def _typed_perm(raw: DataFrame) -> DataFrame:
         "worksite_city": X.upper_strip(col("ws_city")),
         "worksite_state": X.upper_strip(col("ws_state")),
         "worksite_postal_code": X.strip(col("ws_postal")),
-        "annual_wage": X.annualize(col("wage"), col("wage_unit")),
+        **_wage_parts("annual_wage", col("wage"), col("wage_unit")),
         "source_file": F.col("source_file"),
     }
     typed = raw.select(*[e.alias(c) for c, e in cols.items()], F.col("row_seq"))

@@ -17,7 +17,10 @@ loading the files one at a time in name order:
 """
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
+import logging
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +31,16 @@ from .. import schemas as S
 from . import transform as TR
 from .keys import assign_dense_ids
 
+log = logging.getLogger("sponsorlens.load")
+
+
+@contextlib.contextmanager
+def _step(name: str):
+    t = time.time()
+    yield
+    log.info("%s: %.2fs", name, time.time() - t)
+
+
 MANIFEST_SCHEMA = "table string, version long, path string, committed_at timestamp"
 
 # Load order of source kinds inside one batch: all LCA files, then all PERM files.
@@ -240,17 +253,23 @@ def _load(wh: Warehouse, raw: DataFrame, kind: str, fact_table: str, staged_cols
     spark = wh.spark
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     try:
-        staged = wh.materialise(stage_fn(raw), f"staged_{kind}")
+        with _step(f"{kind} staged"):
+            staged = wh.materialise(stage_fn(raw), f"staged_{kind}")
         order = F.struct(F.lit(KIND_RANK[kind]), F.col("source_file"))
-        employers = insert_if_new(wh, "employers", employer_candidates(staged, order))
-        locations = insert_if_new(wh, "locations", location_candidates(staged))
-        occupations = insert_if_new(wh, "occupations", occupation_candidates(staged, order))
-        latest = TR.latest_per_case(staged, staged_cols)
-        facts = resolve_fact_keys(latest, employers, locations, occupations)
-        upsert_fact(wh, fact_table, facts.select(*fact_cols))
-        per_file = staged.groupBy("source_file").agg(F.count("*").alias("n"))
-        wh.append_runs(_run_rows(spark, per_file, kind, started, "success", None))
-        wh.commit()                       # dimensions, fact and run log become visible together
+        with _step(f"{kind} employers"):
+            employers = insert_if_new(wh, "employers", employer_candidates(staged, order))
+        with _step(f"{kind} locations"):
+            locations = insert_if_new(wh, "locations", location_candidates(staged))
+        with _step(f"{kind} occupations"):
+            occupations = insert_if_new(wh, "occupations", occupation_candidates(staged, order))
+        with _step(f"{kind} fact"):
+            latest = TR.latest_per_case(staged, staged_cols)
+            facts = resolve_fact_keys(latest, employers, locations, occupations)
+            upsert_fact(wh, fact_table, facts.select(*fact_cols))
+        with _step(f"{kind} run log + commit"):
+            per_file = staged.groupBy("source_file").agg(F.count("*").alias("n"))
+            wh.append_runs(_run_rows(spark, per_file, kind, started, "success", None))
+            wh.commit()                   # dimensions, fact and run log become visible together
         return staged
     except Exception as exc:  # log, then re-raise (D6)
         wh.rollback()
