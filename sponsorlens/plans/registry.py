@@ -585,6 +585,96 @@ def c3(spark, sf):
     return AU.lca_quality(_ld(spark, sf).wh.read("lca_filings"))
 
 
+# ---------------------------------------------------------------------------
+# Job boards (J1), link discovery (X19), landed files
+# ---------------------------------------------------------------------------
+from .. import schemas as _S  # noqa: E402
+from ..sources import landing as LD, links as LK, postings as PO  # noqa: E402
+from . import jobs as J  # noqa: E402
+
+ROLE = "widget"
+
+
+def _norm_sql(x: str) -> str:
+    words = "|".join(_S.JOB_BOARD_STOPWORDS)
+    return (f"trim(regexp_replace(regexp_replace(lower({x}), '[^a-z0-9 ]', ' ', 'g'), "
+            f"'\\b({words})\\b', '', 'g'))")
+
+
+_KNOWN_VALUES = ", ".join(f"('{k}', '{kind}', '{slug}', {i})" for i, (k, kind, slug) in enumerate(_S.JOB_BOARDS))
+JOBS_SQL = f""", top_emp AS (SELECT employer_name, COUNT(*) AS n FROM sponsorships GROUP BY 1
+                ORDER BY n DESC, employer_name LIMIT 50),
+known AS (SELECT * FROM (VALUES {_KNOWN_VALUES}) t(key, kind, slug, ordinal)),
+boards AS (SELECT key, kind, slug, CAST(ordinal AS BIGINT) AS ordinal FROM known
+           UNION ALL
+           SELECT {_norm_sql('c_name')}, CASE c_custkey % 3 WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'lever' ELSE 'ashby' END,
+                  'cust-' || CAST(c_custkey AS VARCHAR), {len(_S.JOB_BOARDS)} + c_custkey
+           FROM customer WHERE c_custkey % 5 = 0),
+en AS (SELECT employer_name, {_norm_sql('employer_name')} AS n FROM top_emp),
+matched AS (SELECT en.employer_name, b.kind, b.slug FROM en JOIN boards b
+            ON en.n <> '' AND b.key <> '' AND (en.n = b.key OR contains(en.n, b.key) OR contains(b.key, en.n))
+            QUALIFY row_number() OVER (PARTITION BY en.employer_name ORDER BY b.ordinal) = 1),
+postings AS (SELECT CASE o.o_custkey % 3 WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'lever' ELSE 'ashby' END AS kind,
+                    'cust-' || CAST(o.o_custkey AS VARCHAR) AS slug, l.l_orderkey * 8 + l.l_linenumber AS pos,
+                    upper(p.p_name) AS title,
+                    'https://jobs.example/' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS url,
+                    COALESCE(p.p_brand, '') AS loc
+             FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey AND o.o_custkey % 5 = 0
+             JOIN part p ON p.p_partkey = l.l_partkey),
+hits AS (SELECT * FROM postings WHERE contains(lower(title), '{ROLE}'))"""
+
+
+def _jobs_inputs(spark, sf):
+    employers = H.top_employers(_s(spark, sf)).select("employer_name")
+    return employers, PO.fixture_boards(spark, sf), PO.fixture_postings(spark, sf)
+
+
+@register("j1_open_roles", JOBS_SQL + """
+SELECT t.employer_name, m.kind AS board_kind, m.slug AS board_slug, m.kind IS NOT NULL AS has_feed,
+       CASE WHEN m.kind IS NOT NULL THEN COALESCE(h.c, 0) END AS open_roles
+FROM top_emp t LEFT JOIN matched m USING (employer_name)
+LEFT JOIN (SELECT kind, slug, COUNT(*) AS c FROM hits GROUP BY 1, 2) h ON h.kind = m.kind AND h.slug = m.slug""")
+def j1(spark, sf):
+    return J.open_roles(*_jobs_inputs(spark, sf), role=ROLE)
+
+
+@register("j1_open_role_listing", JOBS_SQL + """,
+ranked AS (SELECT *, row_number() OVER (PARTITION BY kind, slug ORDER BY pos, title, url, loc) AS rank FROM hits)
+SELECT m.employer_name, m.kind AS board_kind, m.slug AS board_slug, r.rank, r.title, r.url, r.loc
+FROM matched m JOIN ranked r ON r.kind = m.kind AND r.slug = m.slug WHERE r.rank <= 40""")
+def j1b(spark, sf):
+    return J.open_role_listing(*_jobs_inputs(spark, sf), role=ROLE).withColumn("rank", F.col("rank").cast("long"))
+
+
+@register("x19_link_discovery", """
+, found AS (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1, 'i') AS l FROM pages),
+ex AS (SELECT page_id, url, i - 1 AS pos, l[i] AS link FROM found, range(1, len(l) + 1) r(i)),
+ab AS (SELECT page_id, pos,
+              CASE WHEN starts_with(link, 'http') THEN link
+                   ELSE regexp_extract(url, '^(https?://[^/?#]+)', 1) || link END AS link FROM ex),
+fy AS (SELECT *, CASE WHEN regexp_extract(link, 'FY(\\d{4})', 1) <> ''
+                      THEN CAST(regexp_extract(link, 'FY(\\d{4})', 1) AS INTEGER) END AS fiscal_year FROM ab)
+SELECT link, page_id, pos, fiscal_year FROM fy
+QUALIFY row_number() OVER (PARTITION BY link ORDER BY page_id, pos) = 1""")
+def x19(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    return LK.discover_links(pages, LK.ANY_LINK, min_fy=None)
+
+
+@register("a8_landed_inventory", """
+SELECT regexp_extract(filename, '[^/]+$', 0) AS file_name, size AS size_bytes, size < 100000.0 AS too_small,
+       CASE WHEN contains(upper(regexp_extract(filename, '[^/]+$', 0)), 'PERM') THEN 'perm' ELSE 'lca' END AS route
+FROM read_blob('/root/testdata/sf0.01/*.parquet')""")
+def a8(spark, sf):
+    return LD.landed_files(spark, sf, "*.parquet", min_mb=0.1)
+
+
+@register("d2_dimension_load_order", """
+SELECT employer_name_clean, first_seen_date FROM employers""")
+def d2_first_seen(spark, sf):
+    return _ld(spark, sf).wh.read("employers").select("employer_name_clean", "first_seen_date")
+
+
 def queries() -> dict[str, Spark]:
     return {k: fn for k, (fn, _) in _REG.items()}
 
