@@ -123,7 +123,7 @@ class Warehouse:
         schema = S.WAREHOUSE_TABLES[table]
         out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
         w = out.write.mode("errorifexists").option("compression", "zstd")
-        if table in ("lca_filings", "perm_filings"):
+        if table in S.PARTITIONED_BY_YEAR:
             w = w.partitionBy("fiscal_year")
         w.parquet(path)
         self._pending[table] = (version, path)
@@ -226,11 +226,32 @@ def upsert_fact(wh: Warehouse, table: str, rows: DataFrame) -> None:
     the batch, plus the batch, stamped with the load time (D9)."""
     existing = wh.read(table)
     keep = existing.join(rows.select("case_number"), "case_number", "left_anti")
-    stamped = rows.withColumn("loaded_at", F.current_timestamp())
+    stamped = rows.withColumn("loaded_at", F.current_timestamp())     # dropped where the table has none
     fields = S.WAREHOUSE_TABLES[table].fieldNames()
     wh.publish(table, keep.select(*fields).unionByName(stamped.select(*fields)))
 
 
+def serving_rows(facts: DataFrame, employers: DataFrame, locations: DataFrame,
+                 occupations: DataFrame, schema) -> DataFrame:
+    """The view rows of a batch of fact rows (with their surrogate keys):
+    inner join to employers, left joins to occupations and locations — the
+    view definition, applied to the batch only."""
+    e = employers.select("employer_id", "employer_name", "is_university")
+    o = occupations.select("occupation_id", F.col("soc_code").alias("_o_soc"), F.col("soc_title").alias("_o_title"),
+                           F.col("job_category").alias("_o_cat"))
+    l = locations.select(F.col("location_id").alias("worksite_location_id"),
+                         F.col("city").alias("_l_city"), F.col("state").alias("_l_state"))
+    base = facts.drop("employer_name", "is_university", "soc_title", "job_category")
+    j = (base.join(e, "employer_id", "inner")
+             .join(o, "occupation_id", "left")
+             .join(l, "worksite_location_id", "left"))
+    j = (j.drop("soc_code", "worksite_city", "worksite_state")
+          .withColumnRenamed("_o_soc", "soc_code").withColumnRenamed("_o_title", "soc_title")
+          .withColumnRenamed("_o_cat", "job_category").withColumnRenamed("_l_city", "worksite_city")
+          .withColumnRenamed("_l_state", "worksite_state"))
+    return j.select(*schema.fieldNames())
+
+
 # ---------------------------------------------------------------------------
 # Load pipelines
 # ---------------------------------------------------------------------------
@@ -248,6 +269,9 @@ def _run_rows(spark: SparkSession, per_file: DataFrame, kind: str, started: _dt.
     )
 
 
+SERVING = {"lca_filings": "sponsorships_serving", "perm_filings": "perm_serving"}
+
+
 def _load(wh: Warehouse, raw: DataFrame, kind: str, fact_table: str, staged_cols: list[str],
           stage_fn, fact_cols: list[str], file_names: list[str] | None) -> DataFrame:
     spark = wh.spark
@@ -264,8 +288,13 @@ def _load(wh: Warehouse, raw: DataFrame, kind: str, fact_table: str, staged_cols
             occupations = insert_if_new(wh, "occupations", occupation_candidates(staged, order))
         with _step(f"{kind} fact"):
             latest = TR.latest_per_case(staged, staged_cols)
-            facts = resolve_fact_keys(latest, employers, locations, occupations)
+            facts = wh.materialise(resolve_fact_keys(latest, employers, locations, occupations),
+                                   f"facts_{kind}")            # read twice: fact and serving upserts
             upsert_fact(wh, fact_table, facts.select(*fact_cols))
+        with _step(f"{kind} serving"):
+            serving = SERVING[fact_table]
+            rows = serving_rows(facts, employers, locations, occupations, S.WAREHOUSE_TABLES[serving])
+            upsert_fact(wh, serving, rows)
         with _step(f"{kind} run log + commit"):
             per_file = staged.groupBy("source_file").agg(F.count("*").alias("n"))
             wh.append_runs(_run_rows(spark, per_file, kind, started, "success", None))

@@ -53,16 +53,33 @@ def _star(wh: Warehouse, fact_table: str, view_cols: list[str], columns: list[st
     return v.select(*wanted)
 
 
+def _serving(wh: Warehouse, table: str, view_cols: list[str], columns, extra) -> DataFrame | None:
+    if table not in wh.current():
+        return None
+    wanted = list(columns or view_cols) + [c for c in extra if c not in (columns or view_cols)]
+    return wh.read(table).select(*wanted)
+
+
 def sponsorships(wh: Warehouse, columns: list[str] | None = None,
-                 extra_fact: list[str] = ()) -> DataFrame:
+                 extra_fact: list[str] = (), materialised: bool = True) -> DataFrame:
     """``v_sponsorships`` (V1): LCA fact with employer, occupation, place.
     ``extra_fact`` adds fact columns the view leaves out (for example
-    ``total_worker_positions`` or ``received_date``)."""
+    ``total_worker_positions`` or ``received_date``). Reads the serving table
+    written at load time when there is one (same rows, no joins), else
+    joins the star."""
+    if materialised:
+        s = _serving(wh, "sponsorships_serving", V1_COLUMNS, columns, extra_fact)
+        if s is not None:
+            return s
     return _star(wh, "lca_filings", V1_COLUMNS, columns, extra_fact)
 
 
-def perm(wh: Warehouse, columns: list[str] | None = None) -> DataFrame:
+def perm(wh: Warehouse, columns: list[str] | None = None, materialised: bool = True) -> DataFrame:
     """``v_perm`` (V3): the PERM fact with the same dimensions."""
+    if materialised:
+        s = _serving(wh, "perm_serving", V3_COLUMNS, columns, ())
+        if s is not None:
+            return s
     return _star(wh, "perm_filings", V3_COLUMNS, columns)
 
 
@@ -70,10 +87,8 @@ def employer_yearly(wh: Warehouse) -> DataFrame:
     """``v_employer_yearly`` (V2): filings, certified, rounded average and
     median wage per employer and fiscal year."""
     from ..functions.scalars import certified
-    f = wh.read("lca_filings").select("employer_id", "fiscal_year", "case_status", "annual_wage")
-    e = wh.read("employers").select("employer_id", "employer_name")
-    return (f.join(e, "employer_id", "inner")
-             .groupBy("employer_name", "fiscal_year")
+    rows = sponsorships(wh, ["employer_name", "fiscal_year", "case_status", "annual_wage"])
+    return (rows.groupBy("employer_name", "fiscal_year")
              .agg(F.count("*").alias("filings"),
                   F.count_if(certified()).alias("certified"),
                   F.round(F.avg("annual_wage"), 0).alias("avg_wage"),

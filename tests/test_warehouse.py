@@ -110,3 +110,14 @@ def test_create_if_absent(spark, wh):
     wh.create_if_absent()
     assert wh.read("uscis_employer_stats").count() == 0
     assert set(wh.current()) >= {"employers", "lca_filings", "etl_runs", "uscis_employer_stats"}
+
+
+def test_serving_table_equals_view_after_incremental_loads(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "inc"))
+    raw = _raw_rows(spark, ROWS)
+    load_lca(wh, raw.where("source_file = 'f1.csv'"))
+    load_lca(wh, raw.where("source_file = 'f2.csv'"))
+    served = views.sponsorships(wh)
+    joined = views.sponsorships(wh, materialised=False)
+    assert sorted(map(tuple, served.collect())) == sorted(map(tuple, joined.select(*served.columns).collect()))
+    assert served.count() == 5
