@@ -126,6 +126,22 @@ def download_rows(s: DataFrame, sort: str = "wage_desc", gc: DataFrame | None =
     return out.orderBy(*order).limit(cap)
 
 
+PAGE_SIZE = 50
+
+
+def page(rows: DataFrame, number: int, size: int = PAGE_SIZE) -> DataFrame:
+    """one page of an ordered result (``rows`` must already carry a
+    total order, e.g. from ``row_view``)."""
+    if number < 0:
+        raise ValueError("page number must be >= 0")
+    return rows.offset(number * size).limit(size)
+
+
+def describe(spark: SparkSession, view: str = "sponsorships") -> DataFrame:
+    """Column names and types of a registered view."""
+    return spark.sql(f"DESCRIBE {view}").select("col_name", "data_type")
+
+
 def console(spark: SparkSession, sql: str = DEFAULT_CONSOLE_SQL, rows: int = CONSOLE_ROWS) -> DataFrame:
     """Ad hoc SQL over the registered ``sponsorships`` and
     ``green_cards`` views (Spark SQL dialect), first ``rows`` rows shown."""

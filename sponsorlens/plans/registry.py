@@ -675,6 +675,27 @@ def d2_first_seen(spark, sf):
     return _ld(spark, sf).wh.read("employers").select("employer_name_clean", "first_seen_date")
 
 
+@register("f7_row_view_page", f"""
+SELECT employer_name, job_title, worksite_city, worksite_state, fiscal_year, case_status, annual_wage,
+       {GC_EMP} AS gc_sponsor
+FROM sponsorships WHERE job_category = 'Software'
+ORDER BY annual_wage ASC NULLS LAST, employer_name, job_title, worksite_city, worksite_state, fiscal_year,
+         case_status, annual_wage LIMIT 50 OFFSET 100""")
+def f7(spark, sf):
+    gc = _gc(spark, sf)
+    rows = H.row_view(FL.apply_filters(_s(spark, sf), FL.Filters(category="Software")), "wage_asc", gc)
+    return H.page(rows, 2)
+
+
+@register("b13_sponsors_bound_parameters", """
+SELECT * FROM v1
+WHERE job_title ILIKE '%engineer%' AND worksite_state = 'CA' AND annual_wage >= 100000.0
+ORDER BY annual_wage DESC NULLS LAST, case_number LIMIT 100""")
+def b13(spark, sf):
+    _v1(spark, sf).createOrReplaceTempView("v_sponsorships")
+    return api.sponsors_sql(spark, "v_sponsorships", title="engineer", state="ca", min_wage=100000, limit=100)
+
+
 def queries() -> dict[str, Spark]:
     return {k: fn for k, (fn, _) in _REG.items()}
 

@@ -26,12 +26,14 @@ def write_perm_extract(v3: DataFrame, out: str) -> str | None:
     return out
 
 
-def write_csv_download(df: DataFrame, out: str, order: list, cap: int = CSV_DOWNLOAD_CAP) -> str:
+def write_csv_download(df: DataFrame, out: str, order: list | None = None,
+                       cap: int = CSV_DOWNLOAD_CAP) -> str:
     """Quoted CSV with header, at most ``cap`` rows in the given order
     (A15). ``cap`` is the feature (the download limit), not a shortcut. The
-    top-k runs distributed; the capped result is written by one task so the
-    file keeps the order."""
-    (df.orderBy(*order).limit(cap)
+    top-k runs distributed; the capped result (at most ``cap`` rows) is
+    written by one task so the file keeps the order."""
+    ordered = df.orderBy(*order) if order else df
+    (ordered.limit(cap)
        .coalesce(1)
        .write.mode("errorifexists")
        .option("header", True).option("quote", '"').option("escape", '"')
@@ -49,6 +51,3 @@ def register_extracts(spark, sponsorships_path: str, green_cards_path: str | Non
         return True
     return False
 
-
-def boolean_text(c):
-    return F.when(c, "true").when(~c, "false")
