@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 def assign_dense_ids(new_rows: DataFrame, key_cols: list[str], id_col: str, start: int,
                      buckets: int | None = None) -> DataFrame:
-    """Give the rows of ``new_rows`` (distinct natural keys) the ids
-    ``start+1 .. start+n``.
+    """Give the rows of ``new_rows`` (distinct natural keys, best read from a
+    written table since it is scanned twice) the ids ``start+1 .. start+n``.
 
     Each key falls into a hash bucket; inside a bucket keys are numbered by
     a window over that bucket only (keys are distinct, so buckets are even
@@ -20,7 +20,7 @@ def assign_dense_ids(new_rows: DataFrame, key_cols: list[str], id_col: str, star
     spark = new_rows.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     b = F.pmod(F.xxhash64(*[F.col(c) for c in key_cols]), F.lit(buckets)).cast("int")
-    tagged = new_rows.withColumn("_bucket", b).persist()             # read twice: counts, then ids
+    tagged = new_rows.withColumn("_bucket", b)                       # new_rows is a written table
     counts = dict(tagged.groupBy("_bucket").count().collect())     # <= buckets rows
     offsets, running = [], start
     for k in range(buckets):

@@ -189,7 +189,8 @@ def insert_if_new(wh: Warehouse, table: str, candidates: DataFrame) -> DataFrame
     keys = S.NATURAL_KEYS[table]
     id_col = S.SURROGATE_KEYS[table]
     existing = wh.read(table)
-    new = candidates.join(existing, _null_safe_on(candidates, existing, keys), "left_anti")
+    new = wh.materialise(candidates.join(existing, _null_safe_on(candidates, existing, keys), "left_anti"),
+                         f"new_{table}")
     if table in wh.current():
         start = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m")).first()["m"]
     else:

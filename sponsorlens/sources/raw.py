@@ -31,21 +31,26 @@ def is_perm_file(name: str) -> bool:
     return "PERM" in name.upper()
 
 
-def _read_one_csv(spark: SparkSession, path: str, needed: list[str], multiline: bool) -> DataFrame:
-    df = (spark.read
-          .option("header", True)
-          .option("inferSchema", False)
-          .option("quote", '"')
-          .option("escape", '"')
-          .option("multiLine", multiline)
-          .option("mode", "PERMISSIVE")
-          .csv(path))
-    raw_cols = df.columns
+def _csv_reader(spark: SparkSession, multiline: bool):
+    return (spark.read
+            .option("header", True)
+            .option("inferSchema", False)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("multiLine", multiline)
+            .option("mode", "PERMISSIVE"))
+
+
+def _read_group(spark: SparkSession, paths: list[str], header: tuple[str, ...], needed: list[str],
+                multiline: bool) -> DataFrame:
+    """One split scan over all files that share a header layout."""
+    df = _csv_reader(spark, multiline).csv(paths)
+    raw_cols = list(header)
     norm = [c.strip().upper() for c in raw_cols]
     keep = []
     for name in needed:
         if name in norm:
-            src = raw_cols[norm.index(name)]
+            src = df.columns[norm.index(name)]
             keep.append(na_to_null(F.col(f"`{src}`")).alias(name))      # A3
         else:
             keep.append(F.lit(None).cast("string").alias(name))         # A4
@@ -64,13 +69,18 @@ def read_raw_csv(spark: SparkSession, paths: list[str], needed: list[str] | None
     pruning to the needed columns, NA tokens as NULL, and a source-file tag
     and row-order column (A1-A4, A6).
 
-    Each file is scanned on its own because headers differ between fiscal
-    years (a single multi-file CSV scan takes the first file's header for
-    all files); the scans are unioned by name. Every scan is still split
-    across executors.
+    Headers differ between fiscal years, and a multi-file CSV scan maps
+    columns by position using one header. So the header line of each file is
+    read first (one line per file), files are grouped by identical header,
+    and each group is one split scan; the groups are unioned by name. A
+    thousand files with three header layouts make three scans.
     """
     needed = needed or S.LCA_NEEDED_COLS
-    parts = [_read_one_csv(spark, p, needed, multiline) for p in sorted(paths)]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for p in sorted(paths):
+        header = tuple(_csv_reader(spark, multiline).csv(p).columns)
+        groups.setdefault(header, []).append(p)
+    parts = [_read_group(spark, files, header, needed, multiline) for header, files in groups.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
