@@ -148,8 +148,9 @@ def yes_flag(c) -> Column:
 
 
 def month_start(d) -> Column:
-    """``date_trunc('month', d)`` as a TIMESTAMP."""
-    return F.date_trunc("month", _c(d).cast("timestamp"))
+    """``date_trunc('month', d)`` as a timestamp without time zone (the
+    wall-clock first of the month, whatever the session time zone)."""
+    return F.date_trunc("month", _c(d).cast("timestamp")).cast("timestamp_ntz")
 
 
 def round_half_up(c, digits: int) -> Column:

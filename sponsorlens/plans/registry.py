@@ -696,6 +696,22 @@ def b13(spark, sf):
     return api.sponsors_sql(spark, "v_sponsorships", title="engineer", state="ca", min_wage=100000, limit=100)
 
 
+@register("b16_grouped_view_positions", f"""
+, v1p AS (SELECT v1.*, f.total_worker_positions FROM v1 JOIN lca_fact f USING (case_number))
+SELECT employer_name, job_title, worksite_city, worksite_state, fiscal_year,
+       CAST(SUM(total_worker_positions) AS BIGINT) AS approved, ROUND(MEDIAN(annual_wage), 0) AS median_wage,
+       (SELECT COUNT(*) FROM green_cards g WHERE g.employer_name = s.employer_name) AS green_cards
+FROM v1p s WHERE {CERT} AND worksite_state = 'NY'
+GROUP BY 1, 2, 3, 4, 5
+ORDER BY employer_name, approved DESC, job_title, worksite_city, worksite_state, fiscal_year LIMIT 2000""")
+def b16(spark, sf):
+    """The grouped view over a table that carries positions: the approved
+    measure switches to the sum of positions (B16)."""
+    v = _v1(spark, sf, ["employer_name", "job_title", "worksite_city", "worksite_state", "fiscal_year",
+                        "case_status", "annual_wage"], extra=["total_worker_positions"])
+    return H.grouped_view(FL.apply_filters(v, FL.Filters(state="NY")), "emp_asc", _gc(spark, sf))
+
+
 def queries() -> dict[str, Spark]:
     return {k: fn for k, (fn, _) in _REG.items()}
 
