@@ -4,6 +4,11 @@ local[$BENCH_CPUS]. Prints one JSON line.
 
 The load (raw fixture -> staged -> dimensions -> fact -> extracts) is timed
 as ``load_warehouse``; ``value`` is the load plus all query times.
+
+Before timing, the same load and queries run once, untimed, on the smallest
+test folder (sf0.001) so the JVM has compiled the hot code paths: the timed
+numbers are steady-state, not JIT warm-up. ``warmup`` in the output says
+which folder was used (null when it does not exist).
 """
 from __future__ import annotations
 
@@ -23,7 +28,13 @@ def main() -> None:
     from sponsorlens.plans import context, registry
 
     spark = get_spark("sponsorlens-bench", cpus=cpus)
-    spark.range(1).count()                                   # JVM warm-up, not timed
+    spark.range(1).count()
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    warm = warm_dir if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir) else None
+    if warm:                                                 # untimed warm-up pass
+        context.loaded(spark, warm)
+        for name, fn in registry.queries().items():
+            fn(spark, warm).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     t0 = time.time()
     context.loaded(spark, sf_dir)
@@ -43,6 +54,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "n_queries": len(times) - 1,
         "query_sec_total": round(sum(v for k, v in times.items() if k != "load_warehouse"), 3),
+        "warmup": warm,
     }
     print(json.dumps(out))
 
