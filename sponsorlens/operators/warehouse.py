@@ -271,40 +271,67 @@ def _run_rows(spark: SparkSession, per_file: DataFrame, kind: str, started: _dt.
 
 
 SERVING = {"lca_filings": "sponsorships_serving", "perm_filings": "perm_serving"}
+_DIM_COLUMNS = ["source_file", "employer_name_clean", "employer_name", "is_university", "received_date",
+                "worksite_city", "worksite_state", "worksite_postal_code", "soc_code", "soc_title", "job_category"]
 
 
-def _load(wh: Warehouse, raw: DataFrame, kind: str, fact_table: str, staged_cols: list[str],
-          stage_fn, fact_cols: list[str], file_names: list[str] | None) -> DataFrame:
+def load_batch(wh: Warehouse, lca_raw: DataFrame | None = None, perm_raw: DataFrame | None = None,
+               file_names: list[str] | None = None) -> dict[str, DataFrame]:
+    """Load LCA and PERM files in one batch.
+
+    Both staged tables feed the dimensions in one pass each, ordered as the
+    original loads them (all LCA files in name order, then PERM files), so
+    the result equals loading every file on its own. The run log gets one
+    row per file; dimensions, facts, serving tables and the run log are
+    committed together. On failure nothing is committed but a failed run row,
+    and the error is raised again (D6). Returns the staged tables by kind.
+    """
     spark = wh.spark
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    kinds = {k: v for k, v in (("lca", lca_raw), ("perm", perm_raw)) if v is not None}
+    spec = {"lca": ("lca_filings", TR.LCA_STAGED_COLUMNS, TR.stage_lca, LCA_FACT_COLUMNS),
+            "perm": ("perm_filings", TR.PERM_STAGED_COLUMNS, TR.stage_perm, PERM_FACT_COLUMNS)}
     try:
-        with _step(f"{kind} staged"):
-            staged = wh.materialise(stage_fn(raw), f"staged_{kind}")
-        order = F.struct(F.lit(KIND_RANK[kind]), F.col("source_file"))
-        with _step(f"{kind} employers"):
-            employers = insert_if_new(wh, "employers", employer_candidates(staged, order))
-        with _step(f"{kind} locations"):
-            locations = insert_if_new(wh, "locations", location_candidates(staged))
-        with _step(f"{kind} occupations"):
-            occupations = insert_if_new(wh, "occupations", occupation_candidates(staged, order))
-        with _step(f"{kind} fact"):
-            latest = TR.latest_per_case(staged, staged_cols)
-            facts = wh.materialise(resolve_fact_keys(latest, employers, locations, occupations),
-                                   f"facts_{kind}")            # read twice: fact and serving upserts
-            upsert_fact(wh, fact_table, facts.select(*fact_cols))
-        with _step(f"{kind} serving"):
-            serving = SERVING[fact_table]
-            rows = serving_rows(facts, employers, locations, occupations, S.WAREHOUSE_TABLES[serving])
-            upsert_fact(wh, serving, rows)
-        with _step(f"{kind} run log + commit"):
-            per_file = staged.groupBy("source_file").agg(F.count("*").alias("n"))
-            wh.append_runs(_run_rows(spark, per_file, kind, started, "success", None))
-            wh.commit()                   # dimensions, fact and run log become visible together
+        staged = {}
+        for kind, raw in kinds.items():
+            with _step(f"{kind} staged"):
+                staged[kind] = wh.materialise(spec[kind][2](raw), f"staged_{kind}")
+        src = None
+        for kind, st in staged.items():
+            part = st.select(*[F.col(c) if c in st.columns else F.lit(None).alias(c) for c in _DIM_COLUMNS],
+                             F.lit(KIND_RANK[kind]).alias("_rank"))
+            src = part if src is None else src.unionByName(part)
+        order = F.struct(F.col("_rank"), F.col("source_file"))
+        with _step("employers"):
+            employers = insert_if_new(wh, "employers", employer_candidates(src, order))
+        with _step("locations"):
+            locations = insert_if_new(wh, "locations", location_candidates(src))
+        with _step("occupations"):
+            occupations = insert_if_new(wh, "occupations", occupation_candidates(src, order))
+        runs = None
+        for kind, st in staged.items():
+            fact_table, staged_cols, _, fact_cols = spec[kind]
+            with _step(f"{kind} fact"):
+                latest = TR.latest_per_case(st, staged_cols)
+                facts = wh.materialise(resolve_fact_keys(latest, employers, locations, occupations),
+                                       f"facts_{kind}")        # read twice: fact and serving upserts
+                upsert_fact(wh, fact_table, facts.select(*fact_cols))
+            with _step(f"{kind} serving"):
+                serving = SERVING[fact_table]
+                rows = serving_rows(facts, employers, locations, occupations, S.WAREHOUSE_TABLES[serving])
+                upsert_fact(wh, serving, rows)
+            per_file = st.groupBy("source_file").agg(F.count("*").alias("n"))
+            r = _run_rows(spark, per_file, kind, started, "success", None)
+            runs = r if runs is None else runs.unionByName(r)
+        with _step("run log + commit"):
+            wh.append_runs(runs)
+            wh.commit()                   # dimensions, facts and run log become visible together
         return staged
     except Exception as exc:  # log, then re-raise (D6)
         wh.rollback()
         names = file_names or ["<batch>"]
         per_file = spark.createDataFrame([(n, 0) for n in names], "source_file string, n long")
+        kind = "perm" if list(kinds) == ["perm"] else "lca"
         wh.append_runs(_run_rows(spark, per_file, kind, started, "failed", str(exc)[:4000]))
         wh.commit(["etl_runs"])
         raise
@@ -326,11 +353,9 @@ PERM_FACT_COLUMNS = [
 def load_lca(wh: Warehouse, raw: DataFrame, file_names: list[str] | None = None) -> DataFrame:
     """LCA load (D7): raw -> staged -> dimensions -> fact -> run log.
     Returns the staged table (one row per file and case number)."""
-    return _load(wh, raw, "lca", "lca_filings", TR.LCA_STAGED_COLUMNS, TR.stage_lca,
-                 LCA_FACT_COLUMNS, file_names)
+    return load_batch(wh, lca_raw=raw, file_names=file_names)["lca"]
 
 
 def load_perm(wh: Warehouse, raw: DataFrame, file_names: list[str] | None = None) -> DataFrame:
     """PERM load (D8): candidate headers -> staged -> dimensions -> fact."""
-    return _load(wh, raw, "perm", "perm_filings", TR.PERM_STAGED_COLUMNS, TR.stage_perm,
-                 PERM_FACT_COLUMNS, file_names)
+    return load_batch(wh, perm_raw=raw, file_names=file_names)["perm"]

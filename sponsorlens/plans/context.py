@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.warehouse import Warehouse, load_lca, load_perm
+from ..operators.warehouse import Warehouse, load_batch
 from ..session import new_dir
 from ..sources import fixtures
 from . import views
@@ -42,8 +42,8 @@ class Loaded:
 def build(spark: SparkSession, sf_dir: str, root: str | None = None) -> Loaded:
     from ..sources.sinks import write_extract, write_perm_extract
     wh = Warehouse(spark, root or new_dir(spark, "warehouse"))
-    staged_lca = load_lca(wh, fixtures.raw_lca(spark, sf_dir))
-    staged_perm = load_perm(wh, fixtures.raw_perm(spark, sf_dir))
+    staged = load_batch(wh, fixtures.raw_lca(spark, sf_dir), fixtures.raw_perm(spark, sf_dir))
+    staged_lca, staged_perm = staged["lca"], staged["perm"]
     s_path = write_extract(views.sponsorships(wh), f"{wh.root}/extract/sponsorships")
     g_path = write_perm_extract(views.perm(wh), f"{wh.root}/extract/perm") or ""
     return Loaded(wh, staged_lca, staged_perm, s_path, g_path)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.warehouse import Warehouse, load_lca, load_perm
+from ..operators.warehouse import Warehouse, load_batch
 from ..sources.raw import is_perm_file, read_raw_csv, read_raw_perm_csv
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -27,10 +27,8 @@ def _load_batch(wh: Warehouse, spark: SparkSession):
         names = [p.rsplit("/", 1)[-1] for p in paths]
         lca = [p for p, n in zip(paths, names) if not is_perm_file(n)]
         perm = [p for p, n in zip(paths, names) if is_perm_file(n)]
-        if lca:
-            load_lca(wh, read_raw_csv(spark, lca), [p.rsplit("/", 1)[-1] for p in lca])
-        if perm:
-            load_perm(wh, read_raw_perm_csv(spark, perm), [p.rsplit("/", 1)[-1] for p in perm])
+        load_batch(wh, read_raw_csv(spark, lca) if lca else None,
+                   read_raw_perm_csv(spark, perm) if perm else None, names)
     return run
 
 

@@ -121,3 +121,24 @@ def test_serving_table_equals_view_after_incremental_loads(spark, tmp_path):
     joined = views.sponsorships(wh, materialised=False)
     assert sorted(map(tuple, served.collect())) == sorted(map(tuple, joined.select(*served.columns).collect()))
     assert served.count() == 5
+
+
+def test_combined_batch_equals_lca_then_perm(spark, tmp_path):
+    from sponsorlens.operators.warehouse import load_batch, load_perm
+    lca = _raw_rows(spark, ROWS)
+    perm = spark.createDataFrame(
+        [("A-100-1", "ACME", "2020-01-01", "15-9999", "Certified", 1, "p.csv"),
+         ("A-100-2", "Zeta Labs", "2021-05-01", "15-1252", "Denied", 2, "p.csv")],
+        "CASE_NO string, EMPLOYER_NAME_9089 string, CASE_RECEIVED_DATE string, PW_SOC_CODE_9089 string, "
+        "CASE_STATUS string, row_seq long, source_file string")
+    combined = Warehouse(spark, str(tmp_path / "combined"))
+    load_batch(combined, lca, perm)
+    seq = Warehouse(spark, str(tmp_path / "seq2"))
+    load_lca(seq, lca)
+    load_perm(seq, perm)
+    assert _snapshot(combined) == _snapshot(seq)
+    emp = _snapshot(combined)[0]
+    assert emp["ACME"][0] == "Acme LLC"            # LCA files come first; PERM cannot rename
+    assert emp["ZETA LABS"][0] == "Zeta Labs"
+    gc = sorted((r.case_number, r.employer_name, r.soc_code) for r in views.perm(combined).collect())
+    assert gc == [("A-100-1", "Acme LLC", "15-9999", ), ("A-100-2", "Zeta Labs", "15-1252")]
