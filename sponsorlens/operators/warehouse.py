@@ -25,6 +25,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from .. import schemas as S
@@ -41,12 +42,26 @@ def _step(name: str):
     log.info("%s: %.2fs", name, time.time() - t)
 
 
-MANIFEST_SCHEMA = "table string, version long, path string, committed_at timestamp"
+MANIFEST_SCHEMA = "table string, version long, path string, parts array<string>, committed_at timestamp"
+YEAR_DIR = "fiscal_year="
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 # Load order of source kinds inside one batch: all LCA files, then all PERM files.
 KIND_RANK = {"lca": 0, "perm": 1}
 
 
+def _year_of(part: str):
+    """Fiscal year of a partition folder ``v=N/fiscal_year=Y`` (None for NULL)."""
+    value = part.rsplit(YEAR_DIR, 1)[1]
+    return None if value == NULL_PARTITION else int(value)
+
+
+def _year_in(years) -> F.Column:
+    known = [y for y in years if y is not None]
+    cond = F.col("fiscal_year").isin(known) if known else F.lit(False)
+    return cond | F.col("fiscal_year").isNull() if None in years else cond
+
+
 class Warehouse:
     """Handle on a warehouse root folder (on the shared file system).
 
@@ -54,30 +69,35 @@ class Warehouse:
     once; ``commit`` records all snapshots published since the last commit
     in the manifest with one small append, so a load becomes visible to
     other readers atomically. ``rollback`` forgets uncommitted snapshots.
+
+    Tables partitioned by fiscal year are versioned per partition: a write
+    produces folders ``<table>/v=N/fiscal_year=Y`` only for the years it
+    rewrites, and the manifest lists the current folder of every year, so
+    an upsert touching two years leaves the others where they are.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._committed: dict[str, tuple[int, str]] | None = None
-        self._pending: dict[str, tuple[int, str]] = {}
+        self._committed: dict[str, tuple] | None = None
+        self._pending: dict[str, tuple] = {}
 
     # -- manifest ---------------------------------------------------------
     @property
     def manifest_path(self) -> str:
         return f"{self.root}/_manifest"
 
-    def _load_manifest(self) -> dict[str, tuple[int, str]]:
+    def _load_manifest(self) -> dict[str, tuple]:
         try:
             m = self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path)
             latest = (m.groupBy("table")
-                       .agg(F.max_by(F.struct("version", "path"), "version").alias("v"))
-                       .collect())                  # one row per table (seven tables)
+                       .agg(F.max_by(F.struct("version", "path", "parts"), "version").alias("v"))
+                       .collect())                  # one row per table
         except AnalysisException:
             return {}
-        return {r["table"]: (r["v"]["version"], r["v"]["path"]) for r in latest}
+        return {r["table"]: (r["v"]["version"], r["v"]["path"], r["v"]["parts"]) for r in latest}
 
-    def current(self) -> dict[str, tuple[int, str]]:
+    def current(self) -> dict[str, tuple]:
         if self._committed is None:
             self._committed = self._load_manifest()
         return {**self._committed, **self._pending}
@@ -87,7 +107,7 @@ class Warehouse:
         if not todo:
             return
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        rows = [(t, v, p, now) for t, (v, p) in sorted(todo.items())]
+        rows = [(t, v, p, parts, now) for t, (v, p, parts) in sorted(todo.items())]
         (self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
              .coalesce(1).write.mode("append").parquet(self.manifest_path))
         self.current()
@@ -108,25 +128,50 @@ class Warehouse:
         self.commit()
         return self
 
+    def table_root(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
     def read(self, table: str) -> DataFrame:
         schema = S.WAREHOUSE_TABLES[table]
         cur = self.current().get(table)
         if cur is None:
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.schema(schema).parquet(cur[1])
+        if table not in S.PARTITIONED_BY_YEAR:
+            return self.spark.read.schema(schema).parquet(cur[1]).select(*schema.fieldNames())
+        parts = cur[2] or []
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        data = [f for f in schema.fields if f.name != "fiscal_year"]
+        read_schema = T.StructType(data + [T.StructField("v", T.StringType()),
+                                           T.StructField("fiscal_year", T.IntegerType())])
+        base = self.table_root(table)
+        df = (self.spark.read.schema(read_schema).option("basePath", base)
+              .parquet(*[f"{base}/{p}" for p in parts]))
         return df.select(*schema.fieldNames())
 
-    def publish(self, table: str, df: DataFrame) -> str:
-        """Write ``df`` as the next snapshot of ``table`` (uncommitted)."""
-        version = self.current().get(table, (0, None))[0] + 1
-        path = f"{self.root}/{table}/v={version:06d}"
+    def publish(self, table: str, df: DataFrame, years: list | None = None) -> str:
+        """Write ``df`` as the next snapshot of ``table`` (uncommitted).
+
+        For a year-partitioned table, ``years`` names the fiscal years that
+        ``df`` replaces (``df`` must hold all their rows); the other years
+        keep their current folders. ``None`` replaces the whole table."""
+        version = self.current().get(table, (0, None, None))[0] + 1
+        path = f"{self.table_root(table)}/v={version:06d}"
         schema = S.WAREHOUSE_TABLES[table]
         out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
         w = out.write.mode("errorifexists").option("compression", "zstd")
+        parts = None
         if table in S.PARTITIONED_BY_YEAR:
-            w = w.partitionBy("fiscal_year")
-        w.parquet(path)
-        self._pending[table] = (version, path)
+            w.partitionBy("fiscal_year").parquet(path)
+            # The folders just written, from the file index (a listing, no job).
+            files = self.spark.read.schema(schema).parquet(path).inputFiles()
+            written = sorted({"/".join(f.rsplit("/", 3)[1:3]) for f in files})
+            old = (self.current().get(table) or (0, None, None))[2] or []
+            kept = [] if years is None else [p for p in old if _year_of(p) not in set(years)]
+            parts = sorted(kept + written)
+        else:
+            w.parquet(path)
+        self._pending[table] = (version, path, parts)
         return path
 
     def append_runs(self, runs: DataFrame) -> None:
@@ -224,11 +269,23 @@ def resolve_fact_keys(latest: DataFrame, employers: DataFrame, locations: DataFr
 
 def upsert_fact(wh: Warehouse, table: str, rows: DataFrame) -> None:
     """Replace-on-primary-key (D4): existing rows whose case number is not in
-    the batch, plus the batch, stamped with the load time (D9)."""
+    the batch, plus the batch, stamped with the load time (D9).
+
+    Only the fiscal years the batch touches are rewritten: the years of the
+    batch rows, and the years where a replaced case number used to be. The
+    list of years is tiny and is the only thing the driver collects."""
     existing = wh.read(table)
-    keep = existing.join(rows.select("case_number"), "case_number", "left_anti")
+    keys = rows.select("case_number")
     stamped = rows.withColumn("loaded_at", F.current_timestamp())     # dropped where the table has none
     fields = S.WAREHOUSE_TABLES[table].fieldNames()
+    if table in S.PARTITIONED_BY_YEAR and table in wh.current():
+        moved = existing.select("case_number", "fiscal_year").join(keys, "case_number", "left_semi")
+        years = [r[0] for r in rows.select("fiscal_year").union(moved.select("fiscal_year"))
+                 .distinct().collect()]
+        keep = existing.where(_year_in(years)).join(keys, "case_number", "left_anti")
+        wh.publish(table, keep.select(*fields).unionByName(stamped.select(*fields)), years)
+        return
+    keep = existing.join(keys, "case_number", "left_anti")
     wh.publish(table, keep.select(*fields).unionByName(stamped.select(*fields)))
 
 

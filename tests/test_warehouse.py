@@ -142,3 +142,30 @@ def test_combined_batch_equals_lca_then_perm(spark, tmp_path):
     assert emp["ZETA LABS"][0] == "Zeta Labs"
     gc = sorted((r.case_number, r.employer_name, r.soc_code) for r in views.perm(combined).collect())
     assert gc == [("A-100-1", "Acme LLC", "15-9999", ), ("A-100-2", "Zeta Labs", "15-1252")]
+
+
+def test_upsert_rewrites_only_touched_years(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "parts"))
+    first = _raw_rows(spark, [
+        ("I-200-1", "Acme", "15-1252", "t", "dev", "2020-01-05", "A", 1, "f1.csv"),   # FY2020
+        ("I-200-2", "Acme", "15-1252", "t", "dev", "2021-01-05", "A", 2, "f1.csv"),   # FY2021
+        ("I-200-3", "Beta", "15-1252", "t", "dev", "2022-01-05", "A", 3, "f1.csv"),   # FY2022
+    ])
+    load_lca(wh, first)
+    v1_parts = dict((p.split("/")[1], p) for p in wh.current()["lca_filings"][2])
+    second = _raw_rows(spark, [
+        ("I-200-1", "Acme", "15-1252", "t", "dev", "2023-01-05", "B", 1, "f2.csv"),   # moves 2020 -> 2023
+        ("I-200-4", "Gamma", "15-1252", "t", "dev", "2023-02-05", "B", 2, "f2.csv"),
+    ])
+    load_lca(wh, second)
+    parts = dict((p.split("/")[1], p) for p in wh.current()["lca_filings"][2])
+    assert "fiscal_year=2020" not in parts                        # emptied year dropped
+    assert parts["fiscal_year=2021"] == v1_parts["fiscal_year=2021"]   # untouched years keep folders
+    assert parts["fiscal_year=2022"] == v1_parts["fiscal_year=2022"]
+    assert parts["fiscal_year=2023"].startswith("v=000002/")
+    got = sorted((r.case_number, r.fiscal_year) for r in wh.read("lca_filings").collect())
+    assert got == [("I-200-1", 2023), ("I-200-2", 2021), ("I-200-3", 2022), ("I-200-4", 2023)]
+    served = sorted((r.case_number, r.fiscal_year, r.worksite_city) for r in views.sponsorships(wh).collect())
+    assert served == [("I-200-1", 2023, "B"), ("I-200-2", 2021, "A"), ("I-200-3", 2022, "A"), ("I-200-4", 2023, "B")]
+    again = Warehouse(spark, wh.root)                              # manifest round trip
+    assert again.read("lca_filings").count() == 4
