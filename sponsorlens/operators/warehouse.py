@@ -136,14 +136,17 @@ class Warehouse:
         cur = self.current().get(table)
         if cur is None:
             return self.spark.createDataFrame([], schema)
-        if table not in S.PARTITIONED_BY_YEAR:
+        if table not in S.PARTITIONED_BY_YEAR and table not in S.APPEND_ONLY:
             return self.spark.read.schema(schema).parquet(cur[1]).select(*schema.fieldNames())
         parts = cur[2] or []
         if not parts:
             return self.spark.createDataFrame([], schema)
-        data = [f for f in schema.fields if f.name != "fiscal_year"]
-        read_schema = T.StructType(data + [T.StructField("v", T.StringType()),
-                                           T.StructField("fiscal_year", T.IntegerType())])
+        if table in S.APPEND_ONLY:
+            read_schema = T.StructType(list(schema.fields) + [T.StructField("v", T.StringType())])
+        else:
+            data = [f for f in schema.fields if f.name != "fiscal_year"]
+            read_schema = T.StructType(data + [T.StructField("v", T.StringType()),
+                                               T.StructField("fiscal_year", T.IntegerType())])
         base = self.table_root(table)
         df = (self.spark.read.schema(read_schema).option("basePath", base)
               .parquet(*[f"{base}/{p}" for p in parts]))
@@ -154,7 +157,9 @@ class Warehouse:
 
         For a year-partitioned table, ``years`` names the fiscal years that
         ``df`` replaces (``df`` must hold all their rows); the other years
-        keep their current folders. ``None`` replaces the whole table."""
+        keep their current folders. ``None`` replaces the whole table.
+        For an append-only table (dimensions, run log), ``df`` holds only the
+        new rows, which become one more folder of the table."""
         version = self.current().get(table, (0, None, None))[0] + 1
         path = f"{self.table_root(table)}/v={version:06d}"
         schema = S.WAREHOUSE_TABLES[table]
@@ -169,15 +174,18 @@ class Warehouse:
             old = (self.current().get(table) or (0, None, None))[2] or []
             kept = [] if years is None else [p for p in old if _year_of(p) not in set(years)]
             parts = sorted(kept + written)
+        elif table in S.APPEND_ONLY:
+            w.parquet(path)
+            old = (self.current().get(table) or (0, None, None))[2] or []
+            parts = old + [f"v={version:06d}"]
         else:
             w.parquet(path)
         self._pending[table] = (version, path, parts)
         return path
 
     def append_runs(self, runs: DataFrame) -> None:
-        """Append run-log rows: the next snapshot is old rows + new rows (the
-        run log holds one row per loaded file)."""
-        self.publish("etl_runs", self.read("etl_runs").unionByName(runs))
+        """Append run-log rows (one per loaded file) as a new folder."""
+        self.publish("etl_runs", runs)
 
     def scratch(self, name: str) -> str:
         return f"{self.root}/_scratch/{name}-{uuid.uuid4().hex[:8]}"
@@ -243,7 +251,7 @@ def insert_if_new(wh: Warehouse, table: str, candidates: DataFrame) -> DataFrame
     with_ids = assign_dense_ids(new, keys, id_col, int(start))
     fields = S.WAREHOUSE_TABLES[table].fieldNames()
     filled = with_ids.select(*[F.col(f) if f in with_ids.columns else F.lit(None).alias(f) for f in fields])
-    wh.publish(table, existing.unionByName(filled))
+    wh.publish(table, filled)                 # insert-only: the new rows become one more folder
     return wh.read(table)
 
 
