@@ -81,6 +81,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self._committed: dict[str, tuple] | None = None
         self._pending: dict[str, tuple] = {}
+        self.written: dict[str, str] = {}      # name -> path of intermediate tables
 
     # -- manifest ---------------------------------------------------------
     @property
@@ -195,6 +196,7 @@ class Warehouse:
         survives executor loss without recomputation)."""
         path = self.scratch(name)
         df.write.mode("errorifexists").parquet(path)
+        self.written[name] = path
         return self.spark.read.parquet(path)
 
 
