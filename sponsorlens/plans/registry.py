@@ -13,9 +13,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas as _S
 from ..operators import audits as AU
 from ..operators import filters as FL
-from . import api, context, dashboard as H, library as L, views
+from ..sources import landing as LD, links as LK, postings as PO
+from . import api, context, dashboard as H, jobs as J, library as L, views
 from .oracle import with_views
 
 Spark = Callable[[SparkSession, str], DataFrame]
@@ -588,9 +590,6 @@ def c3(spark, sf):
 # ---------------------------------------------------------------------------
 # Job boards (J1), link discovery (X19), landed files
 # ---------------------------------------------------------------------------
-from .. import schemas as _S  # noqa: E402
-from ..sources import landing as LD, links as LK, postings as PO  # noqa: E402
-from . import jobs as J  # noqa: E402
 
 ROLE = "widget"
 
