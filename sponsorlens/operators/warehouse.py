@@ -153,14 +153,15 @@ class Warehouse:
               .parquet(*[f"{base}/{p}" for p in parts]))
         return df.select(*schema.fieldNames())
 
-    def publish(self, table: str, df: DataFrame, years: list | None = None) -> str:
+    def publish(self, table: str, df: DataFrame, years: list | None = None, replace: bool = False) -> str:
         """Write ``df`` as the next snapshot of ``table`` (uncommitted).
 
         For a year-partitioned table, ``years`` names the fiscal years that
         ``df`` replaces (``df`` must hold all their rows); the other years
         keep their current folders. ``None`` replaces the whole table.
         For an append-only table (dimensions, run log), ``df`` holds only the
-        new rows, which become one more folder of the table."""
+        new rows, which become one more folder of the table, unless
+        ``replace`` makes ``df`` the whole table."""
         version = self.current().get(table, (0, None, None))[0] + 1
         path = f"{self.table_root(table)}/v={version:06d}"
         schema = S.WAREHOUSE_TABLES[table]
@@ -177,13 +178,23 @@ class Warehouse:
             parts = sorted(kept + written)
         elif table in S.APPEND_ONLY:
             w.parquet(path)
-            old = (self.current().get(table) or (0, None, None))[2] or []
+            old = [] if replace else ((self.current().get(table) or (0, None, None))[2] or [])
             parts = old + [f"v={version:06d}"]
         else:
             w.parquet(path)
         self._pending[table] = (version, path, parts)
         return path
 
+    def compact(self, tables: list[str] | None = None) -> None:
+        """Rewrite tables as one snapshot each (all partitions, one folder of
+        rows for insert-only tables) and commit; readers switch atomically.
+        Loads leave one folder per load behind; compaction keeps file counts
+        down. Old folders stay until removed by a retention job."""
+        for table in tables or sorted(self.current()):
+            if table in S.WAREHOUSE_TABLES:
+                self.publish(table, self.read(table), replace=True)
+        self.commit()
+
     def append_runs(self, runs: DataFrame) -> None:
         """Append run-log rows (one per loaded file) as a new folder."""
         self.publish("etl_runs", runs)

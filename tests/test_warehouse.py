@@ -169,3 +169,18 @@ def test_upsert_rewrites_only_touched_years(spark, tmp_path):
     assert served == [("I-200-1", 2023, "B"), ("I-200-2", 2021, "A"), ("I-200-3", 2022, "A"), ("I-200-4", 2023, "B")]
     again = Warehouse(spark, wh.root)                              # manifest round trip
     assert again.read("lca_filings").count() == 4
+
+
+def test_compaction_keeps_rows(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "compact"))
+    raw = _raw_rows(spark, ROWS)
+    load_lca(wh, raw.where("source_file = 'f1.csv'"))
+    load_lca(wh, raw.where("source_file = 'f2.csv'"))
+    before = {t: sorted(map(tuple, wh.read(t).collect())) for t in ("employers", "lca_filings", "etl_runs")}
+    assert len(wh.current()["employers"][2]) == 2                     # one folder per load
+    wh.compact(["employers", "lca_filings", "etl_runs"])
+    after = {t: sorted(map(tuple, wh.read(t).collect())) for t in before}
+    assert after == before
+    assert len(wh.current()["employers"][2]) == 1
+    assert all(p.startswith("v=000003/") for p in wh.current()["lca_filings"][2])
+    assert Warehouse(spark, wh.root).read("employers").count() == len(before["employers"])
