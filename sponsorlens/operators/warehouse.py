@@ -288,13 +288,14 @@ def resolve_fact_keys(latest: DataFrame, employers: DataFrame, locations: DataFr
     return j.withColumnRenamed("location_id", "worksite_location_id")
 
 
-def upsert_fact(wh: Warehouse, table: str, rows: DataFrame) -> None:
+def upsert_fact(wh: Warehouse, table: str, rows: DataFrame) -> list | None:
     """Replace-on-primary-key (D4): existing rows whose case number is not in
     the batch, plus the batch, stamped with the load time (D9).
 
     Only the fiscal years the batch touches are rewritten: the years of the
     batch rows, and the years where a replaced case number used to be. The
-    list of years is tiny and is the only thing the driver collects."""
+    list of years is tiny and is the only thing the driver collects; it is
+    returned (None when the whole table was written)."""
     existing = wh.read(table)
     keys = rows.select("case_number")
     stamped = rows.withColumn("loaded_at", F.current_timestamp())     # dropped where the table has none
@@ -302,12 +303,25 @@ def upsert_fact(wh: Warehouse, table: str, rows: DataFrame) -> None:
     if table in S.PARTITIONED_BY_YEAR and table in wh.current():
         moved = existing.select("case_number", "fiscal_year").join(keys, "case_number", "left_semi")
         years = [r[0] for r in rows.select("fiscal_year").union(moved.select("fiscal_year"))
-                 .distinct().collect()]
+                 .distinct().collect()]                  # a few fiscal years
         keep = existing.where(_year_in(years)).join(keys, "case_number", "left_anti")
         wh.publish(table, keep.select(*fields).unionByName(stamped.select(*fields)), years)
-        return
+        return years
     keep = existing.join(keys, "case_number", "left_anti")
     wh.publish(table, keep.select(*fields).unionByName(stamped.select(*fields)))
+    return None
+
+
+def refresh_serving(wh: Warehouse, fact_table: str, years: list | None, employers: DataFrame,
+                    locations: DataFrame, occupations: DataFrame) -> None:
+    """Rebuild the serving partitions of the given fiscal years (all when
+    None) as the view over the same, freshly written fact partitions."""
+    serving = SERVING[fact_table]
+    facts = wh.read(fact_table)
+    if years is not None:
+        facts = facts.where(_year_in(years))
+    rows = serving_rows(facts, employers, locations, occupations, S.WAREHOUSE_TABLES[serving])
+    wh.publish(serving, rows, years)
 
 
 def serving_rows(facts: DataFrame, employers: DataFrame, locations: DataFrame,
@@ -391,13 +405,10 @@ def load_batch(wh: Warehouse, lca_raw: DataFrame | None = None, perm_raw: DataFr
             fact_table, staged_cols, _, fact_cols = spec[kind]
             with _step(f"{kind} fact"):
                 latest = TR.latest_per_case(st, staged_cols)
-                facts = wh.materialise(resolve_fact_keys(latest, employers, locations, occupations),
-                                       f"facts_{kind}")        # read twice: fact and serving upserts
-                upsert_fact(wh, fact_table, facts.select(*fact_cols))
+                facts = resolve_fact_keys(latest, employers, locations, occupations)
+                years = upsert_fact(wh, fact_table, facts.select(*fact_cols))
             with _step(f"{kind} serving"):
-                serving = SERVING[fact_table]
-                rows = serving_rows(facts, employers, locations, occupations, S.WAREHOUSE_TABLES[serving])
-                upsert_fact(wh, serving, rows)
+                refresh_serving(wh, fact_table, years, employers, locations, occupations)
             per_file = st.groupBy("source_file").agg(F.count("*").alias("n"))
             r = _run_rows(spark, per_file, kind, started, "success", None)
             runs = r if runs is None else runs.unionByName(r)
