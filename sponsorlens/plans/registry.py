@@ -711,6 +711,33 @@ def b16(spark, sf):
     return H.grouped_view(FL.apply_filters(v, FL.Filters(state="NY")), "emp_asc", _gc(spark, sf))
 
 
+# The driver's landing list (TESTDATA.md): the files expected in a test folder.
+EXPECTED_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                   "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+_EXPECTED_VALUES = ", ".join(f"('{t}.parquet')" for t in EXPECTED_TABLES + ["uscis_employer_stats"])
+
+
+@register("m1_landing_report", f"""
+, exp AS (SELECT * FROM (VALUES {_EXPECTED_VALUES}) t(file_name)),
+landed AS (SELECT regexp_extract(filename, '[^/]+$', 0) AS file_name, size AS size_bytes,
+                  size < 100000.0 AS too_small,
+                  CASE WHEN contains(upper(regexp_extract(filename, '[^/]+$', 0)), 'PERM') THEN 'perm' ELSE 'lca' END AS route
+           FROM read_blob('/root/testdata/sf0.01/*.parquet')),
+keys AS (SELECT file_name FROM exp UNION SELECT file_name FROM landed)
+SELECT k.file_name, e.file_name IS NOT NULL AS expected, l.size_bytes IS NOT NULL AS landed, l.size_bytes,
+       l.too_small, l.route, CAST(NULL AS VARCHAR) AS last_status, CAST(NULL AS VARCHAR) AS via,
+       CAST(NULL AS BIGINT) AS attempts
+FROM keys k LEFT JOIN exp e USING (file_name) LEFT JOIN landed l USING (file_name)""")
+def m1(spark, sf):
+    """M1 over a test folder: expected tables (one declared but never
+    delivered), the landed files with sizes, and no download log."""
+    expected = LD.expected_files(spark, {"testdata": {"base_url": sf, "files":
+                                         [f"{t}.parquet" for t in EXPECTED_TABLES + ["uscis_employer_stats"]]}})
+    landed = LD.landed_files(spark, sf, "*.parquet", min_mb=0.1)
+    log = spark.createDataFrame([], "line_no int, status string, file_name string, size_mb double, via string")
+    return LD.landing_report(expected, landed, log)
+
+
 def queries() -> dict[str, Spark]:
     return {k: fn for k, (fn, _) in _REG.items()}
 
