@@ -1,9 +1,11 @@
 """The three warehouse views (V1-V3), built as DataFrames.
 
-Spark cannot drop a left join on its own (it does not know the dimension
-keys are unique), so the views take the columns a query needs and skip the
-joins that would not contribute any of them. The inner join to employers is
-always kept: it is part of the view's row set.
+V1 and V3 read the serving tables the load keeps equal to them (one
+partitioned scan, no joins). The star-join form is kept for loads and
+checks: Spark cannot drop a left join on its own (it does not know the
+dimension keys are unique), so it takes the columns a query needs and skips
+the joins that would not contribute any of them; the inner join to employers
+is always kept, since it is part of the view's row set.
 """
 from __future__ import annotations
 
