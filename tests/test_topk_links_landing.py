@@ -20,7 +20,7 @@ def test_top_k_matches_sorting(spark):
 
 def test_discover_links_year_filter_and_dedup(spark):
     pages = spark.createDataFrame([
-        (1, "https://www.dol.gov/agencies/eta/foreign-labor/performance",
+        (1, "https://data.example.gov/performance",
          '<a HREF="/sites/LCA_Disclosure_Data_FY2024_Q4.xlsx">old</a>'
          '<a href="/sites/LCA_Disclosure_Data_FY2025_Q1.xlsx">a</a>'
          '<a href="https://cdn.example/LCA_Disclosure_Data_FY2026_Q2.xlsx">b</a>'
@@ -29,10 +29,10 @@ def test_discover_links_year_filter_and_dedup(spark):
         (2, "https://mirror.example/x", '<a href="/sites/LCA_Disclosure_Data_FY2025_Q1.xlsx">again</a>'),
     ], "page_id long, url string, html string")
     got = sorted((r.link, r.page_id, r.pos, r.fiscal_year)
-                 for r in discover_links(pages, min_fy=2025, base_url="https://www.dol.gov").collect())
+                 for r in discover_links(pages, min_fy=2025, base_url="https://data.example.gov").collect())
     assert got == [
         ("https://cdn.example/LCA_Disclosure_Data_FY2026_Q2.xlsx", 1, 2, 2026),
-        ("https://www.dol.gov/sites/LCA_Disclosure_Data_FY2025_Q1.xlsx", 1, 1, 2025),
+        ("https://data.example.gov/sites/LCA_Disclosure_Data_FY2025_Q1.xlsx", 1, 1, 2025),
     ]
     own = {r.link for r in discover_links(pages, min_fy=None).collect()}
     assert "https://mirror.example/sites/LCA_Disclosure_Data_FY2025_Q1.xlsx" in own
