@@ -608,7 +608,7 @@ boards AS (SELECT key, kind, slug, CAST(ordinal AS BIGINT) AS ordinal FROM known
            UNION ALL
            SELECT {_norm_sql('c_name')}, CASE c_custkey % 3 WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'lever' ELSE 'ashby' END,
                   'cust-' || CAST(c_custkey AS VARCHAR), {len(_S.JOB_BOARDS)} + c_custkey
-           FROM customer WHERE c_custkey % 5 = 0),
+           FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
 en AS (SELECT employer_name, {_norm_sql('employer_name')} AS n FROM top_emp),
 matched AS (SELECT en.employer_name, b.kind, b.slug FROM en JOIN boards b
             ON en.n <> '' AND b.key <> '' AND (en.n = b.key OR contains(en.n, b.key) OR contains(b.key, en.n))
@@ -618,8 +618,9 @@ postings AS (SELECT CASE o.o_custkey % 3 WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'l
                     upper(p.p_name) AS title,
                     'https://jobs.example/' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS url,
                     COALESCE(p.p_brand, '') AS loc
-             FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey AND o.o_custkey % 5 = 0
-             JOIN part p ON p.p_partkey = l.l_partkey),
+             FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+             JOIN part p ON p.p_partkey = l.l_partkey
+             WHERE o.o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')),
 hits AS (SELECT * FROM postings WHERE contains(lower(title), '{ROLE}'))"""
 
 
