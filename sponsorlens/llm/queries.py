@@ -2,9 +2,11 @@
 from __future__ import annotations
 
 from .sentencepiece_codec import op4_sentencepiece
+from .token_counts import op8_token_counts
 
 QUERIES = {
     "op4_sentencepiece": op4_sentencepiece,
+    "op8_token_counts": op8_token_counts,
 }
 
 #: Queries that SQL cannot express have none; tests/llm holds them against brute force.
