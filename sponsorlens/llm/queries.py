@@ -1,12 +1,14 @@
 """Registered queries of the package and their DuckDB SQL, by name."""
 from __future__ import annotations
 
+from .decontaminate import op5_decontaminate
 from .secret_scan import op9_secret_scan
 from .sentencepiece_codec import op4_sentencepiece
 from .token_counts import op8_token_counts
 
 QUERIES = {
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_decontaminate": op5_decontaminate,
     "op8_token_counts": op8_token_counts,
     "op9_secret_scan": op9_secret_scan,
 }
