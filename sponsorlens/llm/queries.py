@@ -5,8 +5,10 @@ from .decontaminate import op5_decontaminate
 from .secret_scan import op9_secret_scan
 from .sentencepiece_codec import op4_sentencepiece
 from .token_counts import op8_token_counts
+from .warc import OP1_SQL, op1_warc
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_decontaminate": op5_decontaminate,
     "op8_token_counts": op8_token_counts,
@@ -14,4 +16,6 @@ QUERIES = {
 }
 
 #: Queries that SQL cannot express have none; tests/llm holds them against brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": OP1_SQL,
+}
