@@ -5,12 +5,14 @@ from .decontaminate import op5_decontaminate
 from .secret_scan import op9_secret_scan
 from .sentencepiece_codec import op4_sentencepiece
 from .token_counts import op8_token_counts
+from .token_files import op7_token_files
 from .warc import OP1_SQL, op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_decontaminate": op5_decontaminate,
+    "op7_token_files": op7_token_files,
     "op8_token_counts": op8_token_counts,
     "op9_secret_scan": op9_secret_scan,
 }
