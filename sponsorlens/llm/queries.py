@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from .decontaminate import op5_decontaminate
+from .hmm_scores import op2_hmm_scores
 from .secret_scan import op9_secret_scan
 from .sentencepiece_codec import op4_sentencepiece
 from .token_counts import op8_token_counts
@@ -10,6 +11,7 @@ from .warc import OP1_SQL, op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_hmm_scores": op2_hmm_scores,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_decontaminate": op5_decontaminate,
     "op7_token_files": op7_token_files,
