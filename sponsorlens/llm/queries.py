@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from .decontaminate import op5_decontaminate
+from .embedding_dedup import op10_embedding_dedup
 from .hmm_scores import op2_hmm_scores
 from .secret_scan import op9_secret_scan
 from .sentencepiece_codec import op4_sentencepiece
@@ -17,6 +18,7 @@ QUERIES = {
     "op7_token_files": op7_token_files,
     "op8_token_counts": op8_token_counts,
     "op9_secret_scan": op9_secret_scan,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 #: Queries that SQL cannot express have none; tests/llm holds them against brute force.
