@@ -4,6 +4,7 @@ from __future__ import annotations
 from .decontaminate import op5_decontaminate
 from .embedding_dedup import op10_embedding_dedup
 from .hmm_scores import op2_hmm_scores
+from .quality_crf import op3_quality_crf
 from .secret_scan import op9_secret_scan
 from .sentencepiece_codec import op4_sentencepiece
 from .token_counts import op8_token_counts
@@ -13,6 +14,7 @@ from .warc import OP1_SQL, op1_warc
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_hmm_scores": op2_hmm_scores,
+    "op3_quality_crf": op3_quality_crf,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_decontaminate": op5_decontaminate,
     "op7_token_files": op7_token_files,
