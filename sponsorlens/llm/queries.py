@@ -4,6 +4,7 @@ from __future__ import annotations
 from .decontaminate import op5_decontaminate
 from .embedding_dedup import op10_embedding_dedup
 from .hmm_scores import op2_hmm_scores
+from .minhash_dedup import op6_minhash_dedup
 from .quality_crf import op3_quality_crf
 from .secret_scan import op9_secret_scan
 from .sentencepiece_codec import op4_sentencepiece
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_quality_crf": op3_quality_crf,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_decontaminate": op5_decontaminate,
+    "op6_minhash_dedup": op6_minhash_dedup,
     "op7_token_files": op7_token_files,
     "op8_token_counts": op8_token_counts,
     "op9_secret_scan": op9_secret_scan,
