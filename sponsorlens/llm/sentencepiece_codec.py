@@ -73,10 +73,16 @@ class ChunkTable:
         return [list(chain.from_iterable(map(look.__getitem__, c))) for c in cut]
 
 
-def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with an int array ``ids``: the library's ids of each whole text."""
-    return add_columns(docs, text, lambda v, t: {ids: t.encode(v)}, f"`{ids}` array<int>",
-                       make=lambda: quiet_gc(ChunkTable(model)))
+def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with an int array ``ids``: the library's ids of each whole text.
+    ``decoded``: a column for the text that the ids decode to, made on the way."""
+
+    def made(texts: list, table: ChunkTable) -> dict:
+        found = table.encode(texts)
+        return {ids: found} if decoded is None else {ids: found, decoded: table.sp.decode(found, num_threads=1)}
+
+    schema = f"`{ids}` array<int>" + (f", `{decoded}` string" if decoded else "")
+    return add_columns(docs, text, made, schema, make=lambda: quiet_gc(ChunkTable(model)))
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -95,7 +101,7 @@ def op4_sentencepiece(spark, sf_dir: str) -> DataFrame:
 
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(encode(docs, model).drop("text"), model)
+    both = encode(docs, model, decoded="decoded")
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
