@@ -305,10 +305,11 @@ def candidate_pairs(classes: DataFrame) -> DataFrame:
         df = df.sort_values("node")
         nodes = df.node.to_numpy(np.int64)
         pairs, root = bucket_pairs(nodes, np.stack([np.frombuffer(s, "<u2") for s in df.sig]))
-        rows = [(min(p), max(p), None, None, None, None) for p in pairs]
+        # No nulls: pandas would make numbers beside them floating, and ids have 64 bits.
+        rows = [(False, min(p), max(p), 0, 0, 0, b"") for p in pairs]
         if df.g.iloc[0] > 1:                              # the clusters' representatives meet other blocks
-            rows += [(int(nodes[i]), None, int(df.key.iloc[0]), int(df.mine.iloc[0]), int(df.g.iloc[0]), df.sig.iloc[i]) for i in np.unique(root)]
-        return pd.DataFrame(rows, columns=["a", "b", "key", "mine", "g", "sig"])
+            rows += [(True, int(nodes[i]), 0, int(df.key.iloc[0]), int(df.mine.iloc[0]), int(df.g.iloc[0]), df.sig.iloc[i]) for i in np.unique(root)]
+        return pd.DataFrame(rows, columns=["leads", "a", "b", "key", "mine", "g", "sig"])
 
     def across(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
         x, y = df[df.mine == key[1]], df[df.mine == key[2]]
@@ -321,11 +322,11 @@ def candidate_pairs(classes: DataFrame) -> DataFrame:
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     got = written(blocks.groupBy("key", "mine").applyInPandas(
-        inside, "a long, b long, key long, mine int, g int, sig binary"), "clusters")
-    leaders = (got.filter(F.col("b").isNull()).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+        inside, "leads boolean, a long, b long, key long, mine int, g int, sig binary"), "clusters")
+    leaders = (got.filter("leads").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
                .filter("other <> mine").select("a", "key", "mine", "sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")))
     met = leaders.groupBy("key", "i", "j").applyInPandas(across, "a long, b long")
-    return written(got.filter(F.col("b").isNotNull()).select("a", "b").union(met).distinct(), "pairs")
+    return written(got.filter("not leads").select("a", "b").union(met).distinct(), "pairs")
 
 
 def checked(small: DataFrame, bound: int = WANTED_BOUND) -> DataFrame:
