@@ -27,23 +27,30 @@ def key_uniqueness(wh: Warehouse, tables: list[str], natural: bool = True) -> Da
     out = []
     for t in tables:
         keys = S.NATURAL_KEYS[t] if natural or t not in S.SURROGATE_KEYS else [S.SURROGATE_KEYS[t]]
-        dups = (wh.read(t).groupBy(*keys).count().where(F.col("count") > 1)
-                  .agg(F.count("*").alias("duplicate_keys")))
-        out.append(dups.select(F.lit(t).alias("table_name"), F.lit(",".join(keys)).alias("key_columns"),
-                               "duplicate_keys"))
+        out.append(duplicate_keys(wh.read(t), t, keys))
     return _union(out)
 
 
+def duplicate_keys(rows: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """How many key values of ``rows`` have more than one row."""
+    dups = (rows.groupBy(*keys).count().where(F.col("count") > 1)
+                .agg(F.count("*").alias("duplicate_keys")))
+    return dups.select(F.lit(name).alias("table_name"), F.lit(",".join(keys)).alias("key_columns"), "duplicate_keys")
+
+
+def orphans(rows: DataFrame, name: str, column: str, known: DataFrame) -> DataFrame:
+    """How many non-NULL references of ``rows`` aren't in ``known`` (one column of that name)."""
+    found = rows.select(column).where(F.col(column).isNotNull()).join(known, column, "left_anti")
+    return (found.agg(F.count("*").alias("orphan_rows"))
+                 .select(F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), "orphan_rows"))
+
+
 def foreign_keys(wh: Warehouse, pairs: list[tuple[str, str]]) -> DataFrame:
     """Fact rows whose non-NULL reference has no dimension row."""
     out = []
     for table, column in pairs:
         dim, dim_key = REFERENCES[column]
-        f = wh.read(table).select(column).where(F.col(column).isNotNull())
-        d = wh.read(dim).select(F.col(dim_key).alias(column))
-        orphans = f.join(d, column, "left_anti").agg(F.count("*").alias("orphan_rows"))
-        out.append(orphans.select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-                                  "orphan_rows"))
+        out.append(orphans(wh.read(table), table, column, wh.read(dim).select(F.col(dim_key).alias(column))))
     return _union(out)
 
 

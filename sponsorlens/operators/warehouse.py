@@ -3,11 +3,10 @@ insert-if-new (D2) with dense surrogate keys (D3), fact upsert (D4), run log
 (D6), the LCA and PERM load pipelines (D7, D8) and the load stamp (D9).
 
 Storage: every table is a series of immutable Parquet snapshots
-``<root>/<table>/v=<n>``; a small append-only manifest (itself Parquet)
-records which snapshot is current. A load never overwrites a path that is
-being read, so a failed or interrupted load leaves the previous snapshot in
-place. Dimensions are published before facts, as in the original, so a crash
-in between only leaves harmless extra dimension rows.
+``<root>/<table>/v=<n>-<attempt>``; a small append-only manifest (itself
+Parquet) records which snapshot is current. A load never overwrites a path, so
+a failed or interrupted load leaves the previous snapshots in place and can be
+tried again. Dimensions, facts and the run log of a load are committed together.
 
 A batch of files is loaded in one Spark job that gives the same result as
 loading the files one at a time in name order:
@@ -29,6 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from .. import schemas as S
+from ..sources.raw import is_perm_file
 from . import transform as TR
 from .keys import assign_dense_ids
 
@@ -71,7 +71,7 @@ class Warehouse:
     other readers atomically. ``rollback`` forgets uncommitted snapshots.
 
     Tables partitioned by fiscal year are versioned per partition: a write
-    produces folders ``<table>/v=N/fiscal_year=Y`` only for the years it
+    produces folders ``<table>/v=N-A/fiscal_year=Y`` only for the years it
     rewrites, and the manifest lists the current folder of every year, so
     an upsert touching two years leaves the others where they are.
     """
@@ -163,7 +163,9 @@ class Warehouse:
         new rows, which become one more folder of the table, unless
         ``replace`` makes ``df`` the whole table."""
         version = self.current().get(table, (0, None, None))[0] + 1
-        path = f"{self.table_root(table)}/v={version:06d}"
+        # A name of its own for every attempt: what a failed load left behind is never in the way.
+        folder = f"v={version:06d}-{uuid.uuid4().hex[:8]}"
+        path = f"{self.table_root(table)}/{folder}"
         schema = S.WAREHOUSE_TABLES[table]
         out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
         w = out.write.mode("errorifexists").option("compression", "zstd")
@@ -179,7 +181,7 @@ class Warehouse:
         elif table in S.APPEND_ONLY:
             w.parquet(path)
             old = [] if replace else ((self.current().get(table) or (0, None, None))[2] or [])
-            parts = old + [f"v={version:06d}"]
+            parts = old + [folder]
         else:
             w.parquet(path)
         self._pending[table] = (version, path, parts)
@@ -369,61 +371,100 @@ _DIM_COLUMNS = ["source_file", "employer_name_clean", "employer_name", "is_unive
 
 def load_batch(wh: Warehouse, lca_raw: DataFrame | None = None, perm_raw: DataFrame | None = None,
                file_names: list[str] | None = None) -> dict[str, DataFrame]:
-    """Load LCA and PERM files in one batch.
+    """Load LCA and PERM files in one batch (D7, D8) and return the staged tables by kind.
+
+    If the batch fails, nothing of it is committed, and its files are loaded
+    one by one in load order: good files stay loaded and are logged
+    ``success``, the others are logged ``failed`` with their kind and whole
+    error text, and the first error is raised at the end (D6).
+    ``file_names`` names the files for the log if they can't be read.
+    """
+    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    kinds = {k: v for k, v in (("lca", lca_raw), ("perm", perm_raw)) if v is not None}
+    try:
+        return _load(wh, kinds, started)
+    except Exception as exc:
+        wh.rollback()
+        files = _files(kinds, file_names)
+        if len(files) < 2:
+            _log_failure(wh, files or [(next(iter(kinds), "lca"), "<batch>")], started, exc)
+            raise
+        first = None
+        for kind, name in files:
+            began = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+            try:
+                _load(wh, {kind: kinds[kind].where(F.col("source_file") == name)}, began)
+            except Exception as one:  # logged, and the first one raised below (D6)
+                wh.rollback()
+                _log_failure(wh, [(kind, name)], began, one)
+                first = first or one
+        raise first or exc
+
+
+def _files(kinds: dict[str, DataFrame], file_names: list[str] | None) -> list[tuple[str, str]]:
+    """(kind, file name) of a batch in load order: from the data, or by the
+    given names, whose kind is that of the batch or told by the name."""
+    if file_names is None:
+        try:
+            return [(k, r[0]) for k in sorted(kinds, key=KIND_RANK.get)
+                    for r in kinds[k].select("source_file").distinct().orderBy("source_file").collect()]
+        except Exception:  # not even the names can be read
+            return []
+    kind = (lambda n: next(iter(kinds))) if len(kinds) == 1 else (lambda n: "perm" if is_perm_file(n) else "lca")
+    return sorted(((kind(n), n) for n in file_names), key=lambda x: (KIND_RANK[x[0]], x[1]))
+
+
+def _log_failure(wh: Warehouse, files: list[tuple[str, str]], started: _dt.datetime, exc: Exception) -> None:
+    for kind, name in files:
+        per_file = wh.spark.createDataFrame([(name, 0)], "source_file string, n long")
+        wh.append_runs(_run_rows(wh.spark, per_file, kind, started, "failed", str(exc)))
+        wh.commit(["etl_runs"])
+
+
+def _load(wh: Warehouse, kinds: dict[str, DataFrame], started: _dt.datetime) -> dict[str, DataFrame]:
+    """Load the given kinds and commit.
 
     Both staged tables feed the dimensions in one pass each, ordered as the
     original loads them (all LCA files in name order, then PERM files), so
     the result equals loading every file on its own. The run log gets one
     row per file; dimensions, facts, serving tables and the run log are
-    committed together. On failure nothing is committed but a failed run row,
-    and the error is raised again (D6). Returns the staged tables by kind.
+    committed together.
     """
     spark = wh.spark
-    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    kinds = {k: v for k, v in (("lca", lca_raw), ("perm", perm_raw)) if v is not None}
     spec = {"lca": ("lca_filings", TR.LCA_STAGED_COLUMNS, TR.stage_lca, LCA_FACT_COLUMNS),
             "perm": ("perm_filings", TR.PERM_STAGED_COLUMNS, TR.stage_perm, PERM_FACT_COLUMNS)}
-    try:
-        staged = {}
-        for kind, raw in kinds.items():
-            with _step(f"{kind} staged"):
-                staged[kind] = wh.materialise(spec[kind][2](raw), f"staged_{kind}")
-        src = None
-        for kind, st in staged.items():
-            part = st.select(*[F.col(c) if c in st.columns else F.lit(None).alias(c) for c in _DIM_COLUMNS],
-                             F.lit(KIND_RANK[kind]).alias("_rank"))
-            src = part if src is None else src.unionByName(part)
-        order = F.struct(F.col("_rank"), F.col("source_file"))
-        with _step("employers"):
-            employers = insert_if_new(wh, "employers", employer_candidates(src, order))
-        with _step("locations"):
-            locations = insert_if_new(wh, "locations", location_candidates(src))
-        with _step("occupations"):
-            occupations = insert_if_new(wh, "occupations", occupation_candidates(src, order))
-        runs = None
-        for kind, st in staged.items():
-            fact_table, staged_cols, _, fact_cols = spec[kind]
-            with _step(f"{kind} fact"):
-                latest = TR.latest_per_case(st, staged_cols)
-                facts = resolve_fact_keys(latest, employers, locations, occupations)
-                years = upsert_fact(wh, fact_table, facts.select(*fact_cols))
-            with _step(f"{kind} serving"):
-                refresh_serving(wh, fact_table, years, employers, locations, occupations)
-            per_file = st.groupBy("source_file").agg(F.count("*").alias("n"))
-            r = _run_rows(spark, per_file, kind, started, "success", None)
-            runs = r if runs is None else runs.unionByName(r)
-        with _step("run log + commit"):
-            wh.append_runs(runs)
-            wh.commit()                   # dimensions, facts and run log become visible together
-        return staged
-    except Exception as exc:  # log, then re-raise (D6)
-        wh.rollback()
-        names = file_names or ["<batch>"]
-        per_file = spark.createDataFrame([(n, 0) for n in names], "source_file string, n long")
-        kind = "perm" if list(kinds) == ["perm"] else "lca"
-        wh.append_runs(_run_rows(spark, per_file, kind, started, "failed", str(exc)[:4000]))
-        wh.commit(["etl_runs"])
-        raise
+    staged = {}
+    for kind, raw in kinds.items():
+        with _step(f"{kind} staged"):
+            staged[kind] = wh.materialise(spec[kind][2](raw), f"staged_{kind}")
+    src = None
+    for kind, st in staged.items():
+        part = st.select(*[F.col(c) if c in st.columns else F.lit(None).alias(c) for c in _DIM_COLUMNS],
+                         F.lit(KIND_RANK[kind]).alias("_rank"))
+        src = part if src is None else src.unionByName(part)
+    order = F.struct(F.col("_rank"), F.col("source_file"))
+    with _step("employers"):
+        employers = insert_if_new(wh, "employers", employer_candidates(src, order))
+    with _step("locations"):
+        locations = insert_if_new(wh, "locations", location_candidates(src))
+    with _step("occupations"):
+        occupations = insert_if_new(wh, "occupations", occupation_candidates(src, order))
+    runs = None
+    for kind, st in staged.items():
+        fact_table, staged_cols, _, fact_cols = spec[kind]
+        with _step(f"{kind} fact"):
+            latest = TR.latest_per_case(st, staged_cols)
+            facts = resolve_fact_keys(latest, employers, locations, occupations)
+            years = upsert_fact(wh, fact_table, facts.select(*fact_cols))
+        with _step(f"{kind} serving"):
+            refresh_serving(wh, fact_table, years, employers, locations, occupations)
+        per_file = st.groupBy("source_file").agg(F.count("*").alias("n"))
+        r = _run_rows(spark, per_file, kind, started, "success", None)
+        runs = r if runs is None else runs.unionByName(r)
+    with _step("run log + commit"):
+        wh.append_runs(runs)
+        wh.commit()                   # dimensions, facts and run log become visible together
+    return staged
 
 
 LCA_FACT_COLUMNS = [

@@ -7,20 +7,15 @@ written next to it. Queries then read the warehouse, as analysts do.
 """
 from __future__ import annotations
 
-import glob
-import hashlib
-import os
-import tempfile
 import threading
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.warehouse import Warehouse, load_batch
-from ..session import shared_dir
+from ..session import new_dir
 from ..sources import fixtures
+from ..sources.sinks import read_extract
 from . import views
 
 _LOCK = threading.Lock()
@@ -37,95 +32,35 @@ class Loaded:
 
     def sponsorships(self) -> DataFrame:
         """The flat dashboard extract (``sponsorships``)."""
-        return self.wh.spark.read.parquet(self.sponsorships_path)
+        return read_extract(self.wh.spark, self.sponsorships_path)
 
     def green_cards(self) -> DataFrame:
         """The PERM extract (``green_cards``)."""
         return self.wh.spark.read.parquet(self.green_cards_path)
 
 
-MARK_SCHEMA = "root string, staged_lca string, staged_perm string, sponsorships string, green_cards string"
-
-
 def build(spark: SparkSession, sf_dir: str, root: str) -> Loaded:
     from ..sources.sinks import write_extract, write_perm_extract
     wh = Warehouse(spark, root)
     staged = load_batch(wh, fixtures.raw_lca(spark, sf_dir), fixtures.raw_perm(spark, sf_dir))
     s_path = write_extract(views.sponsorships(wh), f"{wh.root}/extract/sponsorships")
     g_path = write_perm_extract(views.perm(wh), f"{wh.root}/extract/perm") or ""
-    # Completion marker, written last: a build without it is never reused.
-    mark = [(wh.root, wh.written["staged_lca"], wh.written["staged_perm"], s_path, g_path)]
-    spark.createDataFrame(mark, MARK_SCHEMA).coalesce(1).write.parquet(f"{wh.root}/_complete")
     return Loaded(wh, staged["lca"], staged["perm"], s_path, g_path)
 
 
-def _cache_base(spark: SparkSession) -> str:
-    """Builds are kept under the session's shared folder; a local session
-    without one uses a fixed folder under the temp directory, so separate
-    local sessions can reuse a build."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if conf:                    # the configured folder itself, not the per-application subfolder
-        return conf.rstrip("/") + "/sponsorlens-builds"
-    if not spark.sparkContext.master.startswith("local"):
-        return shared_dir(spark) + "/sponsorlens-builds"
-    return os.path.join(tempfile.gettempdir(), "sponsorlens-builds")
-
-
-def _build_tag(sf_dir: str) -> str | None:
-    """Hash of the engine's source and of the input files (name, size,
-    modification time); None when the input folder is not a local path."""
-    if not os.path.isdir(sf_dir):
-        return None
-    h = hashlib.sha256()
-    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    for f in sorted(glob.glob(os.path.join(pkg, "**", "*.py"), recursive=True)):
-        with open(f, "rb") as fh:
-            h.update(f.encode() + fh.read())
-    h.update(os.path.realpath(sf_dir).encode())
-    for name in sorted(os.listdir(sf_dir)):
-        st = os.stat(os.path.join(sf_dir, name))
-        h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
-    return h.hexdigest()[:20]
-
-
-def _reuse(spark: SparkSession, where: str) -> Loaded | None:
-    try:
-        marks = spark.read.schema(MARK_SCHEMA).parquet(f"{where}/*/_complete").collect()  # one row per build
-    except AnalysisException:
-        return None
-    for m in marks:
-        try:
-            wh = Warehouse(spark, m["root"])
-            if "sponsorships_serving" in wh.current():
-                return Loaded(wh, spark.read.parquet(m["staged_lca"]), spark.read.parquet(m["staged_perm"]),
-                              m["sponsorships"], m["green_cards"])
-        except AnalysisException:
-            continue
-    return None
-
-
 def build_fresh(spark: SparkSession, sf_dir: str) -> Loaded:
     """Always run the full load (for timing); later queries of this session
     use the new build."""
-    tag = _build_tag(sf_dir)
-    base = f"{_cache_base(spark)}/{tag}" if tag else f"{shared_dir(spark)}/warehouse"
-    found = build(spark, sf_dir, f"{base}/{uuid.uuid4().hex[:12]}")
+    found = build(spark, sf_dir, new_dir(spark, "warehouse"))
     with _LOCK:
-        _BUILT[(spark.sparkContext.applicationId, os.path.abspath(sf_dir))] = found
+        _BUILT[(spark.sparkContext.applicationId, sf_dir)] = found
     return found
 
 
 def loaded(spark: SparkSession, sf_dir: str) -> Loaded:
-    """The warehouse for ``sf_dir``: built once per session, and reused by
-    later sessions while the engine code and the input files are unchanged."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    """The warehouse for ``sf_dir``, built once per session under its shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     with _LOCK:
         if key not in _BUILT:
-            tag = _build_tag(sf_dir)
-            where = f"{_cache_base(spark)}/{tag}" if tag else None
-            found = _reuse(spark, where) if where else None
-            if found is None:
-                root = f"{where}/{uuid.uuid4().hex[:12]}" if where else f"{shared_dir(spark)}/warehouse/{uuid.uuid4().hex[:12]}"
-                found = build(spark, sf_dir, root)
-            _BUILT[key] = found
+            _BUILT[key] = build(spark, sf_dir, new_dir(spark, "warehouse"))
         return _BUILT[key]

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import certified, contains_ci, pct
 from ..operators import filters as FL
+from ..operators.medians import exact_medians, with_medians
+from ..session import new_dir
 
 asc = F.asc_nulls_last
 desc = F.desc_nulls_last
@@ -14,6 +17,7 @@ desc = F.desc_nulls_last
 ROWS_SHOWN = 2000
 DOWNLOAD_CAP = 100_000
 CONSOLE_ROWS = 500
+# FIXED VALUE: the console's default text.
 DEFAULT_CONSOLE_SQL = """SELECT employer_name, COUNT(*) AS filings, ROUND(MEDIAN(annual_wage)) AS median_wage
 FROM sponsorships
 WHERE job_category = 'AI/ML'
@@ -49,10 +53,10 @@ def approved_measure(s: DataFrame):
 
 def kpis(s: DataFrame) -> DataFrame:
     """H2: filings, certified %, median wage, distinct employers."""
-    return s.agg(F.count("*").alias("filings"),
-                 pct(F.count_if(certified()), F.count("*"), 1).alias("cert"),
-                 F.round(F.median("annual_wage"), 0).alias("med"),
-                 F.count_distinct("employer_name").alias("emps"))
+    totals = s.agg(F.count("*").alias("filings"),
+                   pct(F.count_if(certified()), F.count("*"), 1).alias("cert"),
+                   F.count_distinct("employer_name").alias("emps"))
+    return with_medians(totals, s, [], "annual_wage", "med").select("filings", "cert", "med", "emps")
 
 
 def top_employers(s: DataFrame, limit: int = 50) -> DataFrame:
@@ -63,9 +67,11 @@ def top_employers(s: DataFrame, limit: int = 50) -> DataFrame:
 
 def state_medians(s: DataFrame) -> DataFrame:
     """H4: median wage by state, at least 3 filings, top 12."""
-    return (s.groupBy("worksite_state")
-             .agg(F.median("annual_wage").alias("median_wage"), F.count("*").alias("_n"))
-             .where(F.col("_n") >= 3).drop("_n")
+    grouped = (s.groupBy("worksite_state").agg(F.count("*").alias("_n")).where(F.col("_n") >= 3)
+                .select(F.col("worksite_state").alias("_state")))
+    found = exact_medians(s, ["worksite_state"], "annual_wage", "median_wage")
+    return (grouped.join(found, grouped["_state"].eqNullSafe(found["worksite_state"]), "left")
+             .select(F.col("_state").alias("worksite_state"), "median_wage")
              .orderBy(desc("median_wage"), asc("worksite_state")).limit(12))
 
 
@@ -88,8 +94,8 @@ def row_view(s: DataFrame, sort: str = "wage_desc", gc: DataFrame | None = None,
 
 
 def grouped_view(s: DataFrame, sort: str = "approved_desc", gc: DataFrame | None = None,
-                 limit: int = ROWS_SHOWN) -> DataFrame:
-    """H7: certified filings by employer x title x city x state x year with
+                 limit: int | None = ROWS_SHOWN) -> DataFrame:
+    """H7 (all groups, unordered, with ``limit`` None): certified filings by employer x title x city x state x year with
     approved count, median wage and PERM filings per employer (E10)."""
     g = (s.where(certified())
           .groupBy(*FL.GROUP_KEYS)
@@ -98,15 +104,13 @@ def grouped_view(s: DataFrame, sort: str = "approved_desc", gc: DataFrame | None
     if gc is not None:
         g = (g.join(FL.gc_counts(gc), "employer_name", "left")
               .withColumn("green_cards", F.coalesce(F.col("green_cards"), F.lit(0).cast("long"))))
-    return g.orderBy(*FL.order_for(sort, grouped=True)).limit(limit)
+    return g if limit is None else g.orderBy(*FL.order_for(sort, grouped=True)).limit(limit)
 
 
-def suggestions(s: DataFrame, column: str, text: str, limit: int = 3) -> DataFrame | None:
-    """H8: top values containing the typed text (two characters at least)."""
+def suggestions(s: DataFrame, column: str, text: str, limit: int = 3) -> DataFrame:
+    """H8: top values containing the typed text; none for a text of under two characters."""
     text = text.strip()
-    if len(text) < 2:
-        return None
-    return (s.where(contains_ci(column, text))
+    return (s.where(contains_ci(column, text) if len(text) >= 2 else F.lit(False))
              .groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
              .orderBy(desc("n"), asc("v")).limit(limit))
 
@@ -123,12 +127,35 @@ def download_rows(s: DataFrame, sort: str = "wage_desc", gc: DataFrame | None =
     if gc is not None:
         out = FL.mark_gc_sponsor(out, gc, "green_card_sponsor")
     order = FL.order_for(sort, grouped=False) + [asc(c) for c in DOWNLOAD_COLUMNS]
-    return out.orderBy(*order).limit(cap)
+    return leading_rows(out, order, cap)
 
 
 PAGE_SIZE = 50
 
 
+def leading_rows(rows: DataFrame, order: list, cap: int) -> DataFrame:
+    """The first ``cap`` rows of a total order, for large caps: rows are dealt
+    out by ranges of the order and sorted, written with their place, and the
+    leading ranges are kept. A top-k would send ``cap`` rows of every partition
+    to one task. Only one count for each range comes to the driver."""
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_dir(spark, "download")
+    (rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+         .withColumn("_range", F.spark_partition_id())
+         .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+         .write.parquet(path))
+    placed = spark.read.schema(T.StructType([*rows.schema, T.StructField("_range", T.IntegerType()),
+                                             T.StructField("_place", T.LongType())])).parquet(path)
+    left, keep = cap, F.lit(False)
+    for r in placed.groupBy("_range").agg(F.count("*").alias("n")).orderBy("_range").collect():
+        if left <= 0:
+            break
+        keep = keep | ((F.col("_range") == r["_range"]) & (F.col("_place") < left))
+        left -= r["n"]
+    return placed.where(keep).select(*rows.columns)
+
+
 def page(rows: DataFrame, number: int, size: int = PAGE_SIZE) -> DataFrame:
     """one page of an ordered result (``rows`` must already carry a
     total order, e.g. from ``row_view``)."""

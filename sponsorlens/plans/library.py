@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import certified, contains_cs, contains_ci, month_start, pct
+from ..operators.medians import with_medians
 
 asc = F.asc_nulls_last
 desc = F.desc_nulls_last
@@ -59,11 +60,10 @@ def q6_top_filers(v: DataFrame, limit: int = 50) -> DataFrame:
 
 
 def q7_wage_by_state(v: DataFrame) -> DataFrame:
-    return (v.where(F.col("annual_wage").isNotNull())
-             .groupBy("worksite_state")
-             .agg(F.count("*").alias("filings"),
-                  F.round(F.avg("annual_wage"), 0).alias("avg_wage"),
-                  F.round(F.median("annual_wage"), 0).alias("median_wage"))
+    paid = v.where(F.col("annual_wage").isNotNull())
+    grouped = (paid.groupBy("worksite_state")
+                   .agg(F.count("*").alias("filings"), F.round(F.avg("annual_wage"), 0).alias("avg_wage")))
+    return (with_medians(grouped, paid, ["worksite_state"], "annual_wage", "median_wage")
              .orderBy(desc("median_wage"), asc("worksite_state")))
 
 
@@ -134,9 +134,9 @@ def q15_category_mix(v: DataFrame) -> DataFrame:
 
 
 def q16_top_paying_occupations(v: DataFrame, min_filings: int = 10) -> DataFrame:
-    return (v.groupBy("soc_code", "soc_title")
-             .agg(F.count("*").alias("filings"), F.round(F.median("annual_wage"), 0).alias("median_wage"))
-             .where(F.col("filings") >= min_filings)
+    grouped = (v.groupBy("soc_code", "soc_title").agg(F.count("*").alias("filings"))
+                .where(F.col("filings") >= min_filings))
+    return (with_medians(grouped, v, ["soc_code", "soc_title"], "annual_wage", "median_wage")
              .orderBy(desc("median_wage"), asc("soc_code"), asc("soc_title")))
 
 
@@ -153,12 +153,10 @@ def q18_recent_runs(etl_runs: DataFrame, limit: int = 20) -> DataFrame:
 
 def q19_university_vs_corporate(v: DataFrame, min_filings: int = 20) -> DataFrame:
     uni = F.col("is_university")
-    return (v.groupBy("soc_title")
-             .agg(F.round(F.median(F.when(uni, F.col("annual_wage"))), 0).alias("university_median"),
-                  F.round(F.median(F.when(~uni, F.col("annual_wage"))), 0).alias("corporate_median"),
-                  F.count("*").alias("_n"))
-             .where(F.col("_n") >= min_filings)
-             .drop("_n"))
+    grouped = (v.groupBy("soc_title").agg(F.count("*").alias("_n"))
+                .where(F.col("_n") >= min_filings).drop("_n"))
+    grouped = with_medians(grouped, v.where(uni), ["soc_title"], "annual_wage", "university_median")
+    return with_medians(grouped, v.where(~uni), ["soc_title"], "annual_wage", "corporate_median")
 
 
 def q20_full_vs_part_time(v: DataFrame, limit: int = 25) -> DataFrame:

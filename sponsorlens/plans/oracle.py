@@ -93,15 +93,15 @@ raw_lca0 AS (
     CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS RECEIVED_DATE,
     CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS DECISION_DATE,
     CASE o.o_orderpriority WHEN '1-URGENT' THEN 'E-3 Australian' WHEN '5-LOW' THEN 'H-1B1 Singapore' ELSE 'H-1B' END AS VISA_CLASS,
-    {_case_mod('l.l_partkey % 10', FX.FIXTURE_TITLES)} AS JOB_TITLE,
-    concat({_case_mod('l.l_partkey % 10', FX.FIXTURE_SOC_CODES)},
+    {_case_mod('l.l_partkey % 10', [t for t, _, _ in FX.FIXTURE_JOBS])} AS JOB_TITLE,
+    concat({_case_mod('l.l_partkey % 10', [c for _, c, _ in FX.FIXTURE_JOBS])},
            CASE WHEN l.l_partkey % 3 = 0 THEN '.00' ELSE '' END) AS SOC_CODE,
-    {_case_mod('l.l_partkey % 10', FX.FIXTURE_SOC_TITLES)} AS SOC_TITLE,
+    {_case_mod('l.l_partkey % 10', [t for _, _, t in FX.FIXTURE_JOBS])} AS SOC_TITLE,
     CASE WHEN l.l_quantity >= 3 THEN 'Y' ELSE 'N' END AS FULL_TIME_POSITION,
     concat(CASE WHEN c.c_custkey % 10 = 0 THEN 'University of ' ELSE '' END, c.c_name,
            {_case_mod('l.l_linenumber % 4', FX.FIXTURE_NAME_SUFFIXES)}) AS EMPLOYER_NAME,
     concat('City ', CAST(s.s_suppkey AS VARCHAR)) AS WORKSITE_CITY,
-    substr('{FX.FIXTURE_STATES}', 1 + 2 * s.s_nationkey, 2) AS WORKSITE_STATE,
+    {_case_mod('s.s_nationkey', FX.FIXTURE_STATES)} AS WORKSITE_STATE,
     CAST(10000 + s.s_suppkey AS VARCHAR) AS WORKSITE_POSTAL_CODE,
     CASE WHEN l.l_partkey % 97 = 0 THEN 'N/A'
          WHEN l.l_linenumber = 7 THEN CAST(CAST(floor(l.l_extendedprice / 1000) AS BIGINT) AS VARCHAR)
@@ -165,14 +165,14 @@ raw_perm AS (
          {na('CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR)')} AS OFFERED_WAGE,
          'Year' AS OFFERED_WAGE_UNIT,
          CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS CASE_RECEIVED_DATE,
-         concat(CASE WHEN c.c_custkey % 10 = 0 THEN 'University of ' ELSE '' END, c.c_name,
+         concat(CASE WHEN c.c_mktsegment IN ({', '.join(_q(x) for x in FX.AGENCY_SEGMENTS)}) THEN concat(n.n_name, ' Mobility')
+                     ELSE concat(CASE WHEN c.c_custkey % 10 = 0 THEN 'University of ' ELSE '' END, c.c_name) END,
                 CASE o.o_orderkey % 2 WHEN 0 THEN ' LLC' ELSE '' END) AS EMPLOYER_NAME_9089,
          CASE o_orderstatus WHEN 'F' THEN 'Denied' ELSE 'Certified' END AS CASE_STATUS,
          CASE o_orderkey % 10 WHEN 0 THEN '{FX.PERM_SOC_CODES[0]}' WHEN 1 THEN '{FX.PERM_SOC_CODES[1]}'
               WHEN 2 THEN '{FX.PERM_SOC_CODES[2]}' ELSE '{FX.PERM_SOC_DEFAULT}' END AS PW_SOC_CODE_9089,
          o_orderkey AS row_seq, 'perm_fixture.csv' AS source_file
-  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
-  WHERE o.o_custkey % 3 = 0
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
 ),
 perm_typed AS (
   SELECT CASE_NO AS case_number, CASE_STATUS AS case_status,

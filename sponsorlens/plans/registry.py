@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas as _S
 from ..operators import audits as AU
 from ..operators import filters as FL
-from ..sources import landing as LD, links as LK, postings as PO
+from ..sources import links as LK, postings as PO
 from . import api, context, dashboard as H, jobs as J, library as L, views
 from .oracle import with_views
 
@@ -195,9 +195,13 @@ def q17(spark, sf):
     return L.q17_monthly_volume(_ld(spark, sf).wh.read("lca_filings"))
 
 
-@register("q18_recent_runs", None)      # run ids and times exist only in the Spark run
+@register("q18_recent_runs", """
+SELECT 'lca' AS source, source_file AS file_name, COUNT(*) AS rows_loaded, 'success' AS status, CAST(NULL AS VARCHAR) AS error
+FROM lca_staged GROUP BY 2
+UNION ALL SELECT 'perm', source_file, COUNT(*), 'success', NULL FROM perm_staged GROUP BY 2""")
 def q18(spark, sf):
-    return L.q18_recent_runs(_ld(spark, sf).wh.read("etl_runs"))
+    """Without run ids and times, which differ from run to run."""
+    return L.q18_recent_runs(_ld(spark, sf).wh.read("etl_runs")).select("source", "file_name", "rows_loaded", "status", "error")
 
 
 @register("q19_university_vs_corporate", """
@@ -425,7 +429,7 @@ SELECT employer_name, job_title, worksite_city, worksite_state, fiscal_year, COU
 FROM sponsorships s WHERE {CERT}
 GROUP BY 1, 2, 3, 4, 5""")
 def h7b(spark, sf):
-    return H.grouped_view(_s(spark, sf), "approved_desc", _gc(spark, sf), limit=H.DOWNLOAD_CAP)
+    return H.grouped_view(_s(spark, sf), "approved_desc", _gc(spark, sf), limit=None)
 
 
 @register("h8_suggest_employers", """
@@ -447,19 +451,24 @@ SELECT employer_name, job_title, job_category, soc_code, soc_title, worksite_cit
        fiscal_year, visa_class, case_status, annual_wage, prevailing_wage, is_university,
        {GC_EMP} AS green_card_sponsor
 FROM sponsorships WHERE NOT is_university AND visa_class = 'H-1B'
-ORDER BY fiscal_year DESC, annual_wage DESC NULLS LAST LIMIT 100000""")
+ORDER BY fiscal_year DESC NULLS LAST, annual_wage DESC NULLS LAST, employer_name, job_title, worksite_city, worksite_state,
+         fiscal_year, case_status, annual_wage, job_category, soc_code, soc_title, visa_class, prevailing_wage, is_university
+LIMIT 100000""")
 def h9(spark, sf):
     gc = _gc(spark, sf)
     s = FL.apply_filters(_s(spark, sf), FL.Filters(university="0", visa="H-1B"), gc)
     return H.download_rows(s, "year_desc", gc)
 
 
-@register("h10_console_default", None)   # user SQL text: ties at its LIMIT are the user's
+CONSOLE_SQL = H.DEFAULT_CONSOLE_SQL.replace("filings DESC", "filings DESC, employer_name")    # a total order
+
+
+@register("h10_console_default", CONSOLE_SQL)
 def h10(spark, sf):
     ld = _ld(spark, sf)
     from ..sources.sinks import register_extracts
     register_extracts(spark, ld.sponsorships_path, ld.green_cards_path)
-    return H.console(spark)
+    return H.console(spark, CONSOLE_SQL)
 
 
 @register("e7_semi_join_employer", f"SELECT * FROM sponsorships WHERE {GC_EMP}")
@@ -554,10 +563,14 @@ UNION ALL SELECT 'occupations', 'soc_code',
 UNION ALL SELECT 'lca_filings', 'case_number',
        (SELECT COUNT(*) FROM (SELECT case_number FROM lca_fact GROUP BY 1 HAVING COUNT(*) > 1))
 UNION ALL SELECT 'perm_filings', 'case_number',
-       (SELECT COUNT(*) FROM (SELECT case_number FROM perm_fact GROUP BY 1 HAVING COUNT(*) > 1))""")
+       (SELECT COUNT(*) FROM (SELECT case_number FROM perm_fact GROUP BY 1 HAVING COUNT(*) > 1))
+UNION ALL SELECT 'lineitem', 'l_orderkey',
+       (SELECT COUNT(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING COUNT(*) > 1))""")
 def c1(spark, sf):
-    return AU.key_uniqueness(_ld(spark, sf).wh, ["employers", "occupations", "lca_filings", "perm_filings"],
-                             natural=True)
+    """The warehouse's keys, and one that does repeat: lines by their order."""
+    keys = AU.key_uniqueness(_ld(spark, sf).wh, ["employers", "occupations", "lca_filings", "perm_filings"], natural=True)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return keys.unionByName(AU.duplicate_keys(lines, "lineitem", ["l_orderkey"]))
 
 
 @register("c2_foreign_keys", """
@@ -568,10 +581,15 @@ UNION ALL SELECT 'lca_filings', 'occupation_id',
 UNION ALL SELECT 'perm_filings', 'employer_id',
        (SELECT COUNT(*) FROM perm_fact WHERE employer_name_clean NOT IN (SELECT employer_name_clean FROM employers))
 UNION ALL SELECT 'perm_filings', 'occupation_id',
-       (SELECT COUNT(*) FROM perm_fact WHERE soc_code IS NOT NULL AND soc_code NOT IN (SELECT soc_code FROM occupations))""")
+       (SELECT COUNT(*) FROM perm_fact WHERE soc_code IS NOT NULL AND soc_code NOT IN (SELECT soc_code FROM occupations))
+UNION ALL SELECT 'lineitem', 'l_partkey',
+       (SELECT COUNT(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10))""")
 def c2(spark, sf):
-    return AU.foreign_keys(_ld(spark, sf).wh, [("lca_filings", "employer_id"), ("lca_filings", "occupation_id"),
-                                               ("perm_filings", "employer_id"), ("perm_filings", "occupation_id")])
+    """The warehouse's references, and one with orphans: lines of parts that the large parts don't hold."""
+    large = spark.read.parquet(f"{sf}/part.parquet").where("p_size > 10").select(F.col("p_partkey").alias("l_partkey"))
+    lines = AU.orphans(spark.read.parquet(f"{sf}/lineitem.parquet"), "lineitem", "l_partkey", large)
+    return lines.unionByName(AU.foreign_keys(_ld(spark, sf).wh, [("lca_filings", "employer_id"), ("lca_filings", "occupation_id"),
+                                               ("perm_filings", "employer_id"), ("perm_filings", "occupation_id")]))
 
 
 @register("c3_not_null_and_bounds", f"""
@@ -588,7 +606,7 @@ def c3(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# Job boards (J1), link discovery (X19), landed files
+# Job boards (J1), link discovery
 # ---------------------------------------------------------------------------
 
 ROLE = "widget"
@@ -608,8 +626,9 @@ boards AS (SELECT key, kind, slug, CAST(ordinal AS BIGINT) AS ordinal FROM known
            UNION ALL
            SELECT {_norm_sql('c_name')}, CASE c_custkey % 3 WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'lever' ELSE 'ashby' END,
                   'cust-' || CAST(c_custkey AS VARCHAR), {len(_S.JOB_BOARDS)} + c_custkey
-           FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
-en AS (SELECT employer_name, {_norm_sql('employer_name')} AS n FROM top_emp),
+           FROM customer),
+emp AS (SELECT employer_name FROM top_emp UNION ALL SELECT n_name FROM nation),
+en AS (SELECT employer_name, {_norm_sql('employer_name')} AS n FROM emp),
 matched AS (SELECT en.employer_name, b.kind, b.slug FROM en JOIN boards b
             ON en.n <> '' AND b.key <> '' AND (en.n = b.key OR contains(en.n, b.key) OR contains(b.key, en.n))
             QUALIFY row_number() OVER (PARTITION BY en.employer_name ORDER BY b.ordinal) = 1),
@@ -619,20 +638,21 @@ postings AS (SELECT CASE o.o_custkey % 3 WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'l
                     'https://jobs.example/' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS url,
                     COALESCE(p.p_brand, '') AS loc
              FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-             JOIN part p ON p.p_partkey = l.l_partkey
-             WHERE o.o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')),
+             JOIN part p ON p.p_partkey = l.l_partkey),
 hits AS (SELECT * FROM postings WHERE contains(lower(title), '{ROLE}'))"""
 
 
 def _jobs_inputs(spark, sf):
-    employers = H.top_employers(_s(spark, sf)).select("employer_name")
+    """The page's top employers, and the nations: employers without a board."""
+    nations = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_name").alias("employer_name"))
+    employers = H.top_employers(_s(spark, sf)).select("employer_name").union(nations)
     return employers, PO.fixture_boards(spark, sf), PO.fixture_postings(spark, sf)
 
 
 @register("j1_open_roles", JOBS_SQL + """
 SELECT t.employer_name, m.kind AS board_kind, m.slug AS board_slug, m.kind IS NOT NULL AS has_feed,
        CASE WHEN m.kind IS NOT NULL THEN COALESCE(h.c, 0) END AS open_roles
-FROM top_emp t LEFT JOIN matched m USING (employer_name)
+FROM emp t LEFT JOIN matched m USING (employer_name)
 LEFT JOIN (SELECT kind, slug, COUNT(*) AS c FROM hits GROUP BY 1, 2) h ON h.kind = m.kind AND h.slug = m.slug""")
 def j1(spark, sf):
     return J.open_roles(*_jobs_inputs(spark, sf), role=ROLE)
@@ -661,20 +681,6 @@ def x19(spark, sf):
     return LK.discover_links(pages, LK.ANY_LINK, min_fy=None)
 
 
-@register("a8_landed_inventory", """
-SELECT regexp_extract(filename, '[^/]+$', 0) AS file_name, size AS size_bytes, size < 100000.0 AS too_small,
-       CASE WHEN contains(upper(regexp_extract(filename, '[^/]+$', 0)), 'PERM') THEN 'perm' ELSE 'lca' END AS route
-FROM read_blob('/root/testdata/sf0.01/*.parquet')""")
-def a8(spark, sf):
-    return LD.landed_files(spark, sf, "*.parquet", min_mb=0.1)
-
-
-@register("d2_dimension_load_order", """
-SELECT employer_name_clean, first_seen_date FROM employers""")
-def d2_first_seen(spark, sf):
-    return _ld(spark, sf).wh.read("employers").select("employer_name_clean", "first_seen_date")
-
-
 @register("f7_row_view_page", f"""
 SELECT employer_name, job_title, worksite_city, worksite_state, fiscal_year, case_status, annual_wage,
        {GC_EMP} AS gc_sponsor
@@ -712,33 +718,6 @@ def b16(spark, sf):
     return H.grouped_view(FL.apply_filters(v, FL.Filters(state="NY")), "emp_asc", _gc(spark, sf))
 
 
-# The driver's landing list (TESTDATA.md): the files expected in a test folder.
-EXPECTED_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-                   "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-_EXPECTED_VALUES = ", ".join(f"('{t}.parquet')" for t in EXPECTED_TABLES + ["uscis_employer_stats"])
-
-
-@register("m1_landing_report", f"""
-, exp AS (SELECT * FROM (VALUES {_EXPECTED_VALUES}) t(file_name)),
-landed AS (SELECT regexp_extract(filename, '[^/]+$', 0) AS file_name, size AS size_bytes,
-                  size < 100000.0 AS too_small,
-                  CASE WHEN contains(upper(regexp_extract(filename, '[^/]+$', 0)), 'PERM') THEN 'perm' ELSE 'lca' END AS route
-           FROM read_blob('/root/testdata/sf0.01/*.parquet')),
-keys AS (SELECT file_name FROM exp UNION SELECT file_name FROM landed)
-SELECT k.file_name, e.file_name IS NOT NULL AS expected, l.size_bytes IS NOT NULL AS landed, l.size_bytes,
-       l.too_small, l.route, CAST(NULL AS VARCHAR) AS last_status, CAST(NULL AS VARCHAR) AS via,
-       CAST(NULL AS BIGINT) AS attempts
-FROM keys k LEFT JOIN exp e USING (file_name) LEFT JOIN landed l USING (file_name)""")
-def m1(spark, sf):
-    """M1 over a test folder: expected tables (one declared but never
-    delivered), the landed files with sizes, and no download log."""
-    expected = LD.expected_files(spark, {"testdata": {"base_url": sf, "files":
-                                         [f"{t}.parquet" for t in EXPECTED_TABLES + ["uscis_employer_stats"]]}})
-    landed = LD.landed_files(spark, sf, "*.parquet", min_mb=0.1)
-    log = spark.createDataFrame([], "line_no int, status string, file_name string, size_mb double, via string")
-    return LD.landing_report(expected, landed, log)
-
-
 def queries() -> dict[str, Spark]:
     return {k: fn for k, (fn, _) in _REG.items()}
 

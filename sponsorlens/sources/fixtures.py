@@ -1,7 +1,8 @@
 """Raw LCA and PERM filings derived from the driver's TPC-H-style tables.
 
-One raw LCA row per ``lineitem`` row; one raw PERM row per order of every
-third customer. The output has the shape of a freshly scanned raw file: all
+One raw LCA row per ``lineitem`` row; one raw PERM row per order, filed by the
+customer or, in two market segments, by an agency named after its nation, so
+that some employers have no PERM filing. The output has the shape of a freshly scanned raw file: all
 columns are strings under upper-case headers, plus ``source_file`` and
 ``row_seq`` (row order inside a file). The same mapping is written in SQL in
 ``plans/oracle.py`` for the DuckDB check.
@@ -13,27 +14,28 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import na_to_null
 
-# ---------------------------------------------------------------------------
-# FIXED VALUES: fixture mapping tables (one entry per l_partkey % 10).
-# ---------------------------------------------------------------------------
-FIXTURE_TITLES = [
-    "Software Engineer", " senior software engineer ", "DATA SCIENTIST", "Data Engineer",
-    "MACHINE LEARNING ENGINEER", "AI Engineer", "SYSTEMS ANALYST", "SENIOR ACCOUNTANT",
-    "SECURITY ENGINEER", "ELECTRICAL ENGINEER",
-]
-FIXTURE_SOC_CODES = [
-    "15-1252", "15-1252", "15-2051", "15-1243", "15-2051",
-    "15-2051", "15-1211", "13-2011", "15-1212", "17-2071",
-]
-FIXTURE_SOC_TITLES = [
-    "Software Developers", "Software Developers", "Data Scientists", "Database Architects",
-    "Data Scientists", "Data Scientists", "Computer Systems Analysts", "Accountants and Auditors",
-    "Information Security Analysts", "Electrical Engineers",
+# Own mapping tables of the fixture: title, SOC code and SOC title by l_partkey % 10.
+FIXTURE_JOBS = [
+    ("Platform Software Engineer", "15-1252", "Software Developers"),
+    (" staff software engineer ", "15-1252", "Software Developers"),
+    ("APPLIED DATA SCIENTIST", "15-2051", "Data Scientists"),
+    ("Streaming Data Engineer", "15-1243", "Database Architects"),
+    ("MACHINE LEARNING RESEARCHER", "15-2051", "Data Scientists"),
+    ("Hardware Test Engineer", "17-2061", "Computer Hardware Engineers"),
+    ("NETWORK ANALYST", "15-1244", "Network and Computer Systems Administrators"),
+    ("TAX ACCOUNTANT", "13-2011", "Accountants and Auditors"),
+    ("CLOUD SECURITY ENGINEER", "15-1212", "Information Security Analysts"),
+    ("STRUCTURAL ENGINEER", "17-2051", "Civil Engineers"),
 ]
 FIXTURE_NAME_SUFFIXES = [" LLC", ", Inc.", " CORP", ""]          # by l_linenumber % 4
-FIXTURE_STATES = "CAWATXNYOHNJVAARILPAMAGAFLNCMICOAZORMNMOTNMDWIUTCT"  # two letters per nation
+FIXTURE_STATES = [                                                # by s_nationkey
+    "CA", "WA", "TX", "NY", "OH", "NJ", "VA", "AR", "IL", "PA", "MA", "GA", "FL",
+    "NC", "MI", "CO", "AZ", "OR", "MN", "MO", "TN", "MD", "WI", "UT", "CT",
+]
 PERM_SOC_CODES = ["15-1252", "15-2051", "15-1243"]                # o_orderkey % 10 = 0, 1, 2; else 13-2011
 PERM_SOC_DEFAULT = "13-2011"
+#: Customers of these segments leave PERM filings to an agency of their nation.
+AGENCY_SEGMENTS = ["HOUSEHOLD", "MACHINERY"]
 
 
 def _pick(index: Column, values: list[str]) -> Column:
@@ -48,20 +50,10 @@ def _read(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataF
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Spread a driving scan over the cores when it has fewer splits than
-    cores (a small file with a single row group is one split), like a split
-    CSV scan of a raw file would be. A large scan is left as it is: it is
-    already split, and a repartition would only add a shuffle."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 def raw_lca(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = _read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                           "l_quantity", "l_extendedprice", "l_returnflag",
                                           "l_linestatus", "l_shipdate"])
-    l = _spread(l)
     o = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
     c = _read(spark, sf_dir, "customer", ["c_custkey", "c_name"])
     s = _read(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
@@ -95,14 +87,14 @@ def raw_lca(spark: SparkSession, sf_dir: str) -> DataFrame:
         _date_str(F.col("o_orderdate")).alias("RECEIVED_DATE"),
         _date_str(F.col("l_shipdate")).alias("DECISION_DATE"),
         visa.alias("VISA_CLASS"),
-        _pick(pk10, FIXTURE_TITLES).alias("JOB_TITLE"),
-        F.concat(_pick(pk10, FIXTURE_SOC_CODES),
+        _pick(pk10, [t for t, _, _ in FIXTURE_JOBS]).alias("JOB_TITLE"),
+        F.concat(_pick(pk10, [c for _, c, _ in FIXTURE_JOBS]),
                  F.when(F.col("l_partkey") % 3 == 0, ".00").otherwise("")).alias("SOC_CODE"),
-        _pick(pk10, FIXTURE_SOC_TITLES).alias("SOC_TITLE"),
+        _pick(pk10, [t for _, _, t in FIXTURE_JOBS]).alias("SOC_TITLE"),
         F.when(F.col("l_quantity") >= 3, "Y").otherwise("N").alias("FULL_TIME_POSITION"),
         employer.alias("EMPLOYER_NAME"),
         F.concat(F.lit("City "), F.col("s_suppkey").cast("string")).alias("WORKSITE_CITY"),
-        F.substring(F.lit(FIXTURE_STATES), 1 + 2 * F.col("s_nationkey"), 2).alias("WORKSITE_STATE"),
+        _pick(F.col("s_nationkey"), FIXTURE_STATES).alias("WORKSITE_STATE"),
         (F.lit(10000) + F.col("s_suppkey")).cast("string").alias("WORKSITE_POSTAL_CODE"),
         wage.alias("WAGE_RATE_OF_PAY_FROM"),
         unit.alias("WAGE_UNIT_OF_PAY"),
@@ -122,8 +114,11 @@ def raw_lca(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_perm(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus",
                                         "o_totalprice", "o_orderdate"])
-    c = _read(spark, sf_dir, "customer", ["c_custkey", "c_name"])
-    j = _spread(o.where(F.col("o_custkey") % 3 == 0)).join(c, c.c_custkey == o.o_custkey)
+    c = _read(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
+    n = _read(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
+    j = o.join(c, c.c_custkey == o.o_custkey).join(n, n.n_nationkey == c.c_nationkey)
+    own = F.concat(F.when(F.col("c_custkey") % 10 == 0, "University of ").otherwise(""), F.col("c_name"))
+    agency = F.concat(F.col("n_name"), F.lit(" Mobility"))
     soc = (F.when(F.col("o_orderkey") % 10 == 0, PERM_SOC_CODES[0])
            .when(F.col("o_orderkey") % 10 == 1, PERM_SOC_CODES[1])
            .when(F.col("o_orderkey") % 10 == 2, PERM_SOC_CODES[2])
@@ -133,7 +128,7 @@ def raw_perm(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor("o_totalprice").cast("bigint").cast("string").alias("OFFERED_WAGE"),
         F.lit("Year").alias("OFFERED_WAGE_UNIT"),
         _date_str(F.col("o_orderdate")).alias("CASE_RECEIVED_DATE"),
-        F.concat(F.when(F.col("c_custkey") % 10 == 0, "University of ").otherwise(""), F.col("c_name"),
+        F.concat(F.when(F.col("c_mktsegment").isin(AGENCY_SEGMENTS), agency).otherwise(own),
                  F.when(F.col("o_orderkey") % 2 == 0, " LLC").otherwise("")).alias("EMPLOYER_NAME_9089"),
         F.when(F.col("o_orderstatus") == "F", "Denied").otherwise("Certified").alias("CASE_STATUS"),
         soc.alias("PW_SOC_CODE_9089"),

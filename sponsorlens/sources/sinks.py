@@ -1,7 +1,8 @@
 """Sinks: dashboard extracts (A12, A13) and the filtered CSV download."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from .. import schemas as S
 
@@ -12,11 +13,18 @@ def write_extract(v1: DataFrame, out: str) -> str:
     """The 13-column flat LCA extract, Parquet with ZSTD (A12). Partitioned
     by fiscal year so year filters prune files."""
     (v1.select(*S.EXTRACT_COLUMNS)
+       .hint("rebalance", "fiscal_year")                # a few files for each year, also for a large year
        .write.mode("errorifexists").option("compression", "zstd")
-       .parquet(out))
+       .partitionBy("fiscal_year").parquet(out))
     return out
 
 
+def read_extract(spark: SparkSession, path: str) -> DataFrame:
+    """The extract with its columns in their order."""
+    fields = [S.WAREHOUSE_TABLES["sponsorships_serving"][c] for c in S.EXTRACT_COLUMNS]
+    return spark.read.schema(T.StructType(fields)).parquet(path).select(*S.EXTRACT_COLUMNS)
+
+
 def write_perm_extract(v3: DataFrame, out: str) -> str | None:
     """The PERM extract, only when PERM rows exist."""
     if v3.isEmpty():
@@ -44,7 +52,7 @@ def write_csv_download(df: DataFrame, out: str, order: list | None = None,
 def register_extracts(spark, sponsorships_path: str, green_cards_path: str | None = None) -> bool:
     """Register the extracts as ``sponsorships`` / ``green_cards`` (A14);
     returns whether PERM data is present."""
-    spark.read.parquet(sponsorships_path).createOrReplaceTempView("sponsorships")
+    read_extract(spark, sponsorships_path).createOrReplaceTempView("sponsorships")
     if green_cards_path:
         spark.read.parquet(green_cards_path).createOrReplaceTempView("green_cards")
         return True
