@@ -7,9 +7,10 @@ scored by the log-likelihood ratio of two first-order character models, one of
 random strings and one of ordinary identifiers, and added as kind ``random``
 where the ratio reaches ``MIN_RATIO``.
 
-The models are trained from labelled samples. Every run of 12 or more key
-characters in the corpus is one: random where it lies in a base span, ordinary
-elsewhere. Random samples of known origin (``SYNTHETIC`` digests in base 64,
+The models are trained from labelled samples. A run of 12 or more key characters
+in the corpus is random where it lies in a base span, ordinary elsewhere if it
+has no digit or no letter; the others carry no label, so that no string is
+judged by a model that has learned it as ordinary. Random samples of known origin (``SYNTHETIC`` digests in base 64,
 so that letters outside hexadecimal are seen) are added. Only the transition
 counts, at most one row for each pair of the alphabet's 67 characters, come to
 the driver.
@@ -85,7 +86,8 @@ def samples(docs: DataFrame, text: str = "text") -> DataFrame:
            .withColumn(spans, base_spans(F.col(text)))
            .select(text, F.explode(_runs(F.col(text), F.col(spans), SAMPLE)).alias(run))
            .select(F.col(text).substr(F.col(run)["s"] + 1, F.col(run)["e"] - F.col(run)["s"]).alias("sample"),
-                   F.col(run)["touched"].alias("is_random")))
+                   F.col(run)["touched"].alias("is_random"))
+           .filter(F.col("is_random") | ~F.col("sample").rlike("[0-9]") | ~F.col("sample").rlike("[A-Za-z]")))
     made = docs.sparkSession.range(SYNTHETIC).select(
         F.base64(F.unhex(F.sha2(F.concat(F.lit("sample "), F.col("id").cast("string")), 256))).alias("sample"),
         F.lit(True).alias("is_random"))
