@@ -184,3 +184,65 @@ def test_compaction_keeps_rows(spark, tmp_path):
     assert len(wh.current()["employers"][2]) == 1
     assert all(p.startswith("v=000003/") for p in wh.current()["lca_filings"][2])
     assert Warehouse(spark, wh.root).read("employers").count() == len(before["employers"])
+
+
+def _failing(spark, raw, name):
+    """``raw`` with a wage column that raises for one file's rows."""
+    return raw.withColumn("WAGE_RATE_OF_PAY_FROM", F.when(F.col("source_file") == name, F.raise_error(F.lit("boom " * 2000)).cast("string"))
+                          .otherwise(F.col("WAGE_RATE_OF_PAY_FROM")))
+
+
+def _state(wh):
+    facts = wh.read("lca_filings").drop("loaded_at", "employer_id", "worksite_location_id", "occupation_id")
+    return sorted(map(str, facts.collect())), sorted(r.employer_name_clean for r in wh.read("employers").collect())
+
+
+@pytest.mark.parametrize("at", ["resolve_fact_keys", "refresh_serving", "_run_rows"])
+def test_failed_load_can_be_tried_again(spark, tmp_path, monkeypatch, at):
+    """Fails after the dimensions, after the facts, and after all tables."""
+    from sponsorlens.operators import warehouse as M
+
+    raw = _raw_rows(spark, ROWS).where("source_file = 'f1.csv'")
+    clean, wh = Warehouse(spark, str(tmp_path / "clean")), Warehouse(spark, str(tmp_path / "retry"))
+    load_lca(clean, raw)
+    kept = getattr(M, at)
+
+    def broken(*a, **k):
+        if at == "_run_rows" and "failed" in a:
+            return kept(*a, **k)
+        raise RuntimeError("broken")
+
+    monkeypatch.setattr(M, at, broken)
+    with pytest.raises(RuntimeError):
+        load_lca(wh, raw)
+    monkeypatch.setattr(M, at, kept)
+    assert "lca_filings" not in wh.current()
+    load_lca(wh, raw)
+    again = Warehouse(spark, str(tmp_path / "retry"))
+    assert _state(again) == _state(clean)
+    assert [r.status for r in again.read("etl_runs").orderBy("started_at").collect()] == ["failed", "success"]
+
+
+def test_good_files_of_a_failed_batch_stay(spark, tmp_path):
+    from sponsorlens.operators.warehouse import load_batch
+
+    raw = _raw_rows(spark, ROWS)
+    wh, clean = Warehouse(spark, str(tmp_path / "mixed")), Warehouse(spark, str(tmp_path / "good"))
+    with pytest.raises(Exception):
+        load_batch(wh, lca_raw=_failing(spark, raw, "f2.csv"))
+    load_lca(clean, raw.where("source_file = 'f1.csv'"))
+    assert _state(wh) == _state(clean)
+    runs = {r.file_name: r for r in wh.read("etl_runs").collect()}
+    assert (runs["f1.csv"].status, runs["f2.csv"].status) == ("success", "failed")
+    assert len(runs["f2.csv"].error) > 9000                    # the whole text
+
+
+def test_failed_files_are_logged_with_their_kind(spark, wh):
+    from sponsorlens.operators.warehouse import load_batch
+
+    lca = make_rows(spark, 5, seed=7).withColumn("RECEIVED_DATE", F.raise_error(F.lit("boom")))
+    perm = lca.select(F.raise_error(F.lit("boom")).cast("string").alias("CASE_NO"), F.lit("PERM_b.csv").alias("source_file"), "row_seq")
+    with pytest.raises(Exception):
+        load_batch(wh, lca, perm, ["a.csv", "PERM_b.csv"])
+    assert {(r.file_name, r.source, r.status) for r in wh.read("etl_runs").collect()} == {
+        ("a.csv", "lca", "failed"), ("PERM_b.csv", "perm", "failed")}
