@@ -11,15 +11,18 @@ import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.transform import stage_lca
 from ..operators.warehouse import Warehouse, load_batch
 from ..session import new_dir
 from ..sources import fixtures
+from ..sources.raw import read_raw_csv
 from ..sources.sinks import read_extract
 from . import views
 
 _LOCK = threading.Lock()
-_BUILT: dict[tuple[str, str], "Loaded"] = {}
+_BUILT: dict[tuple, "Loaded | Warehouse"] = {}
 
 
 @dataclass
@@ -64,3 +67,27 @@ def loaded(spark: SparkSession, sf_dir: str) -> Loaded:
         if key not in _BUILT:
             _BUILT[key] = build(spark, sf_dir, new_dir(spark, "warehouse"))
         return _BUILT[key]
+
+
+def reloaded(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse of filings whose cases occur in several files, loaded in two
+    batches, the second one twice."""
+    key = (spark.sparkContext.applicationId, sf_dir, "reloaded")
+    with _LOCK:
+        if key not in _BUILT:
+            wh = Warehouse(spark, new_dir(spark, "warehouse"))
+            raw = fixtures.raw_lca_by_ship_year(spark, sf_dir)
+            later = raw.where("source_file > 'lca_ship_1995.csv'")
+            for batch in (raw.where("source_file <= 'lca_ship_1995.csv'"), later, later):
+                load_batch(wh, batch)
+            _BUILT[key] = wh
+        return _BUILT[key]
+
+
+def staged_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The LCA fixture written as CSV files, scanned and staged."""
+    paths = fixtures.raw_lca_as_files(fixtures.raw_lca(spark, sf_dir), new_dir(spark, "raw"))
+    # Spark names the files; the folder keeps the name that the file stands for.
+    raw = read_raw_csv(spark, paths)
+    name = F.regexp_extract("source_path", "source_file=([^/]+)/", 1)
+    return stage_lca(raw.withColumn("source_file", name))

@@ -18,7 +18,7 @@ from ..operators import audits as AU
 from ..operators import filters as FL
 from ..sources import links as LK, postings as PO
 from . import api, context, dashboard as H, jobs as J, library as L, views
-from .oracle import with_views
+from .oracle import AS_FILES, BY_SHIP_YEAR, RAW_LCA, with_views
 
 Spark = Callable[[SparkSession, str], DataFrame]
 YEAR = 1998
@@ -26,9 +26,9 @@ YEAR = 1998
 _REG: dict[str, tuple[Spark, str | None]] = {}
 
 
-def register(name: str, sql: str | None):
+def register(name: str, sql: str | None, chain: str = RAW_LCA):
     def deco(fn: Spark) -> Spark:
-        _REG[name] = (fn, with_views(sql) if sql else None)
+        _REG[name] = (fn, with_views(sql, chain) if sql else None)
         return fn
     return deco
 
@@ -546,6 +546,45 @@ def d8(spark, sf):
         "annual_wage", "source_file")
 
 
+@register("a1_staged_from_files", "SELECT * FROM lca_staged", AS_FILES)
+def a1(spark, sf):
+    """CSV files of two header layouts, with line breaks in cells, month-first
+    dates, non-ASCII names, missing employers and short case numbers (A1, A2, A4, A6, B3, B4)."""
+    return context.staged_from_files(spark, sf)
+
+
+@register("d4_reloaded_fact", f"SELECT {FACT_NATURAL} FROM lca_fact", BY_SHIP_YEAR)
+def d4b(spark, sf):
+    """Cases in several files, loaded in two batches, the last one twice: the last file's row stays."""
+    return context.reloaded(spark, sf).read("lca_filings").select(*[c.strip() for c in FACT_NATURAL.split(",")])
+
+
+@register("d2_reloaded_employers", """
+SELECT employer_name_clean, min(employer_name) AS employer_name, bool_or(is_university) AS is_university
+FROM (SELECT *, CASE WHEN source_file <= 'lca_ship_1995.csv' THEN 0 ELSE 1 END AS batch FROM lca_staged
+      QUALIFY dense_rank() OVER (PARTITION BY employer_name_clean ORDER BY source_file) = 1)
+GROUP BY 1""", BY_SHIP_YEAR)
+def d2r(spark, sf):
+    """Later loads add new employers and change none."""
+    return context.reloaded(spark, sf).read("employers").select("employer_name_clean", "employer_name", "is_university")
+
+
+@register("d3_surrogate_keys", """
+SELECT 'employers' AS table_name, COUNT(*) AS n, CAST(1 AS BIGINT) AS least, COUNT(*) AS most, COUNT(*) AS ids
+FROM (SELECT DISTINCT employer_name_clean FROM lca_staged)
+UNION ALL SELECT 'locations', COUNT(*), 1, COUNT(*), COUNT(*)
+FROM (SELECT DISTINCT worksite_city, worksite_state, worksite_postal_code FROM lca_staged)
+UNION ALL SELECT 'occupations', COUNT(*), 1, COUNT(*), COUNT(*)
+FROM (SELECT DISTINCT soc_code FROM lca_staged WHERE soc_code IS NOT NULL)""", BY_SHIP_YEAR)
+def d3(spark, sf):
+    """Ids of a reloaded warehouse: 1 to n, without gaps (D3)."""
+    wh = context.reloaded(spark, sf)
+    parts = [wh.read(t).agg(F.lit(t).alias("table_name"), F.count("*").alias("n"), F.min(c).cast("long").alias("least"),
+                            F.max(c).cast("long").alias("most"), F.count_distinct(c).alias("ids"))
+             for t, c in _S.SURROGATE_KEYS.items() if t in ("employers", "locations", "occupations")]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 @register("g19_rows_per_source_file", """
 SELECT file_name, rows_loaded FROM (
   SELECT source_file AS file_name, COUNT(*) AS rows_loaded FROM lca_staged GROUP BY 1

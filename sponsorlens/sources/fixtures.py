@@ -137,3 +137,47 @@ def raw_perm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return raw.select(*[na_to_null(c).alias(c) if c not in ("row_seq", "source_file") else F.col(c)
                         for c in raw.columns])
+
+
+def raw_lca_by_ship_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The LCA rows as filings of whole orders, in files by ship year: the lines
+    of an order that ship in different years are one case in several files."""
+    raw = raw_lca(spark, sf_dir)
+    return raw.withColumns({
+        "CASE_NUMBER": F.regexp_replace("CASE_NUMBER", r"-\d+$", ""),
+        "source_file": F.concat(F.lit("lca_ship_"), F.substring("row_seq", 1, 4), F.lit(".csv"))})
+
+
+#: Columns that files of odd years lack, and how all files name the others there.
+ODD_YEAR_LACKS = ["PREVAILING_WAGE", "PW_UNIT_OF_PAY"]
+
+
+def raw_lca_as_files(raw: DataFrame, root: str) -> list[str]:
+    """``raw`` as CSV files, one folder per source file, with what real files
+    differ in: files of odd years have lower-case headers with spaces around
+    them, other column order, fewer columns and month-first dates; line 2 of an
+    order has a line break in its title, line 3 a non-ASCII employer, line 5 of
+    some parts none, line 6 of some a short case number. Returns the files."""
+    spark = raw.sparkSession
+    line = F.regexp_extract("CASE_NUMBER", r"-(\d+)$", 1)
+    third = F.col("JOB_TITLE").startswith("TAX")
+    us = lambda c: F.date_format(F.to_date(c), "MM/dd/yyyy")
+    odd = F.substring("source_file", 8, 4).cast("int") % 2 == 1
+    rows = raw.withColumns({
+        "JOB_TITLE": F.when(line == "2", F.concat("JOB_TITLE", F.lit("\nGrade 2"))).otherwise(F.col("JOB_TITLE")),
+        "EMPLOYER_NAME": F.when((line == "5") & third, None).when(line == "3", F.concat(F.lit("Société "), "EMPLOYER_NAME"))
+                          .otherwise(F.col("EMPLOYER_NAME")),
+        "CASE_NUMBER": F.when((line == "6") & third, F.lit("I-6")).otherwise(F.col("CASE_NUMBER"))})
+    columns = [c for c in raw.columns if c not in ("source_file", "row_seq")]
+    out = []
+    for name, some, cols, rename in (
+            ("even", rows.where(~odd), columns, str),
+            ("odd", rows.where(odd).withColumns({c: us(F.col(c)) for c in ("RECEIVED_DATE", "DECISION_DATE")}),
+             sorted(set(columns) - set(ODD_YEAR_LACKS)), lambda c: f" {c.lower()} ")):
+        path = f"{root}/{name}"
+        (some.repartition("source_file").sortWithinPartitions("source_file", "row_seq")
+             .select(*[F.col(c).alias(rename(c)) for c in cols], "source_file")
+             .write.partitionBy("source_file").option("header", True).option("escape", '"')
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+        out += spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(path).inputFiles()
+    return out

@@ -1,6 +1,8 @@
 """Raw disclosure files: all-string scans with tolerant headers."""
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -8,6 +10,9 @@ from .. import schemas as S
 from ..functions.scalars import na_to_null
 
 
+HEADERS_AT_ONCE = 16
+
+
 def normalise_headers(df: DataFrame) -> DataFrame:
     """Strip and upper-case every header (A2)."""
     return df.toDF(*[c.strip().upper() for c in df.columns])
@@ -60,34 +65,52 @@ def _read_group(spark: SparkSession, paths: list[str], header: tuple[str, ...],
                        F.monotonically_increasing_id().alias("pos"))
     return df.select(*keep,
                      F.col("_metadata.file_name").alias("source_file"),
+                     F.col("_metadata.file_path").alias("source_path"),
                      row_seq.alias("row_seq"))
 
 
+def _broken_lines(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Files with a quoted cell that goes on in the next line: some line of
+    theirs has an odd number of quotes. One pass over the lines; the driver
+    gets file names only."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    found = (spark.read.text(paths).where(quotes % 2 == 1)
+             .select(F.col("_metadata.file_name").alias("f")).distinct().collect())
+    return {r["f"] for r in found}
+
+
 def read_raw_csv(spark: SparkSession, paths: list[str], needed: list[str] | None = None,
-                 multiline: bool = False) -> DataFrame:
+                 multiline: bool | None = None) -> DataFrame:
     """All-string scan of one or more CSV files with header normalisation,
     pruning to the needed columns, NA tokens as NULL, and a source-file tag
     and row-order column (A1-A4, A6).
 
     Headers differ between fiscal years, and a multi-file CSV scan maps
     columns by position using one header. So the header line of each file is
-    read first (one line per file), files are grouped by identical header,
-    and each group is one split scan; the groups are unioned by name. A
-    thousand files with three header layouts make three scans.
+    read first (many files at a time), files are grouped by identical header,
+    and each group is one scan; the groups are unioned by name. Files whose
+    cells hold line breaks are scanned whole, the others in splits;
+    ``multiline`` says which it is instead of a look at the lines.
     """
     needed = needed or S.LCA_NEEDED_COLS
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for p in sorted(paths):
-        header = tuple(_csv_reader(spark, multiline).csv(p).columns)
-        groups.setdefault(header, []).append(p)
-    parts = [_read_group(spark, files, header, needed, multiline) for header, files in groups.items()]
+    whole = _broken_lines(spark, paths) if multiline is None else {p.rsplit("/", 1)[-1] for p in paths} if multiline else set()
+
+    def layout(p: str) -> tuple[tuple[str, ...], bool]:
+        lines = p.rsplit("/", 1)[-1] in whole
+        return tuple(_csv_reader(spark, lines).csv(p).columns), lines
+
+    groups: dict[tuple, list[str]] = {}
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        for p, key in zip(sorted(paths), pool.map(layout, sorted(paths))):
+            groups.setdefault(key, []).append(p)
+    parts = [_read_group(spark, files, header, needed, lines) for (header, lines), files in groups.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def read_raw_perm_csv(spark: SparkSession, paths: list[str], multiline: bool = False) -> DataFrame:
+def read_raw_perm_csv(spark: SparkSession, paths: list[str], multiline: bool | None = None) -> DataFrame:
     """PERM scan: keep every candidate header (A5 resolves them later)."""
     return read_raw_csv(spark, paths, S.PERM_COLS, multiline)
 

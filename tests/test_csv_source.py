@@ -47,3 +47,15 @@ def test_file_listing_routes(spark, tmp_path):
     (tmp_path / "notes.txt").write_text("x")
     got = {r.file_name: r.route for r in list_raw_files(spark, str(tmp_path)).collect()}
     assert got == {"LCA_2025.csv": "lca", "PERM_FY2025.csv": "perm"}
+
+
+def test_line_breaks_inside_cells(spark, tmp_path):
+    """Only the file that has them is scanned whole; no row is made up."""
+    a = tmp_path / "LCA_A.csv"
+    a.write_text('CASE_NUMBER,EMPLOYER_NAME,JOB_TITLE\nI-200-0001,"Acme\nInc","a ""b"""\nI-200-0002,Beta,x\n')
+    b = tmp_path / "LCA_B.csv"
+    b.write_text('CASE_NUMBER,EMPLOYER_NAME,JOB_TITLE\nI-200-0003,"Gamma, Ltd",y\n')
+    from sponsorlens.sources.raw import _broken_lines
+    assert _broken_lines(spark, [str(a), str(b)]) == {"LCA_A.csv"}
+    rows = {r.CASE_NUMBER: (r.EMPLOYER_NAME, r.JOB_TITLE) for r in read_raw_csv(spark, [str(a), str(b)]).collect()}
+    assert rows == {"I-200-0001": ("Acme\nInc", 'a "b"'), "I-200-0002": ("Beta", "x"), "I-200-0003": ("Gamma, Ltd", "y")}
