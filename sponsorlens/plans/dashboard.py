@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.scalars import certified, contains_ci, pct
 from ..operators import filters as FL
 from ..operators.medians import exact_medians, with_medians
-from ..session import new_dir
+from ..operators.topk import leading_rows
 
 asc = F.asc_nulls_last
 desc = F.desc_nulls_last
@@ -133,29 +132,6 @@ def download_rows(s: DataFrame, sort: str = "wage_desc", gc: DataFrame | None =
 PAGE_SIZE = 50
 
 
-def leading_rows(rows: DataFrame, order: list, cap: int) -> DataFrame:
-    """The first ``cap`` rows of a total order, for large caps: rows are dealt
-    out by ranges of the order and sorted, written with their place, and the
-    leading ranges are kept. A top-k would send ``cap`` rows of every partition
-    to one task. Only one count for each range comes to the driver."""
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = new_dir(spark, "download")
-    (rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-         .withColumn("_range", F.spark_partition_id())
-         .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-         .write.parquet(path))
-    placed = spark.read.schema(T.StructType([*rows.schema, T.StructField("_range", T.IntegerType()),
-                                             T.StructField("_place", T.LongType())])).parquet(path)
-    left, keep = cap, F.lit(False)
-    for r in placed.groupBy("_range").agg(F.count("*").alias("n")).orderBy("_range").collect():
-        if left <= 0:
-            break
-        keep = keep | ((F.col("_range") == r["_range"]) & (F.col("_place") < left))
-        left -= r["n"]
-    return placed.where(keep).select(*rows.columns)
-
-
 def page(rows: DataFrame, number: int, size: int = PAGE_SIZE) -> DataFrame:
     """one page of an ordered result (``rows`` must already carry a
     total order, e.g. from ``row_view``)."""

@@ -2,9 +2,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..operators.topk import leading_rows
 
 CSV_DOWNLOAD_CAP = 100_000
 
@@ -35,12 +37,12 @@ def write_perm_extract(v3: DataFrame, out: str) -> str | None:
 
 def write_csv_download(df: DataFrame, out: str, order: list | None = None,
                        cap: int = CSV_DOWNLOAD_CAP) -> str:
-    """Quoted CSV with header, at most ``cap`` rows in the given order
-    (A15). ``cap`` is the feature (the download limit), not a shortcut. The
-    top-k runs distributed; the capped result (at most ``cap`` rows) is
-    written by one task so the file keeps the order."""
-    ordered = df.orderBy(*order) if order else df
-    (ordered.limit(cap)
+    """Quoted CSV with byte-order mark and header, at most ``cap`` rows in the
+    given order (A15). ``cap`` is the feature (the download limit), not a
+    shortcut; no more than these rows reach the one task that writes the file."""
+    rows = leading_rows(df, order, cap) if order else df.limit(cap)
+    first, *rest = df.columns
+    (rows.select(F.col(f"`{first}`").alias("\ufeff" + first), *[F.col(f"`{c}`") for c in rest])
        .coalesce(1)
        .write.mode("errorifexists")
        .option("header", True).option("quote", '"').option("escape", '"')

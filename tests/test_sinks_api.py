@@ -33,7 +33,7 @@ def test_csv_download(spark, loaded, tmp_path):
     rows = H.download_rows(views.sponsorships(loaded), "year_desc")
     out = sinks.write_csv_download(rows, str(tmp_path / "dl"), [], cap=100_000)
     files = glob.glob(out + "/part-*.csv")
-    with open(files[0], newline="") as f:
+    with open(files[0], newline="", encoding="utf-8-sig") as f:
         data = list(csv.reader(f))
     assert data[0] == H.DOWNLOAD_COLUMNS and len(data) == 401
     assert any("," in v for r in data[1:] for v in r)       # quoted commas survive
