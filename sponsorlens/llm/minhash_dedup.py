@@ -15,13 +15,13 @@ task; these candidates are counted exactly, over all documents. At most
 Signatures are improved consistent weighted sampling (Ioffe 2010): two texts
 agree in a sample with the probability of their weighted Jaccard similarity.
 ``BANDS`` bands of ``ROWS`` samples are buckets. Equal texts are one class
-first. In a bucket, classes that agree in nearly all samples are joined by a
-spanning forest, and a class is paired with the most similar member of each
-other cluster if they agree in ``MAYBE`` of the samples; large buckets are cut
-into salted blocks, whose clusters are compared by block pairs through their
-representatives. Salts differ by band. Every pair is then verified by the exact
-weighted Jaccard similarity of its shingles, and pairs of ``LEAST`` or more are
-the links; their components are the near-duplicate classes.
+first. In a bucket, the pairs of a forest of the best agreements, and each
+class's ``BEST`` best, are candidates if they agree in ``MAYBE`` of the samples;
+large buckets are cut into salted blocks, of whose clusters ``BEST`` members each
+are compared by block pairs. Salts and blocks differ by band. Every candidate is
+verified by the exact weighted Jaccard similarity of its shingles, and pairs of
+``LEAST`` or more are the links; their components are the near-duplicate classes.
+Classes are joined through the best of their links, so not every link is listed.
 
 Null and empty texts are equal; texts without words are near nothing but their
 copies. Repeated rows share a class. The class id is its smallest doc_id, null
@@ -43,12 +43,12 @@ from .components import components
 WORDS = 5
 LEAST = 0.8
 ROWS, BANDS = 4, 10
-MAYBE, SURE = 0.55, 0.95
+MAYBE, BEST = 0.55, 3
 IDF = 0.5
 RARE = 0.001
-BLOCK = 1500                 # classes compared in one task
-HELD_SHINGLES = 6_000_000    # of documents counted together by a task
-KNOWN_WORDS = 400_000
+BLOCK = 800                  # classes compared in one task
+HELD_SHINGLES = 2_500_000    # of documents counted together by a task
+KNOWN_WORDS = 250_000
 WANTED_BOUND = 2_000_000     # classes whose ids may be broadcast (16 bytes each)
 HEAVY_BLOCK = 2_000_000      # candidates counted in one pass (8 bytes each)
 
@@ -259,39 +259,49 @@ def agreement(sigs: np.ndarray, others: np.ndarray) -> np.ndarray:
     return same / np.float32(sigs.shape[1])
 
 
-def forest(sure: np.ndarray) -> np.ndarray:
-    """Components of a symmetric matrix of links: each row's smallest index."""
-    root = np.arange(len(sure))
-    i, j = np.nonzero(sure)
-    while len(i):
-        low = np.minimum(root[i], root[j])
-        new = root.copy()
-        np.minimum.at(new, i, low)
-        new = new[new]
-        if (new == root).all():
-            break
-        root = new
-    return root
+def joined(root: np.ndarray, edges: list[tuple[int, int]]) -> np.ndarray:
+    """Components (each the smallest index) after some edges between components."""
+    up = root.copy()
+
+    def find(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for x, y in edges:
+        x, y = find(x), find(y)
+        up[max(x, y)] = min(x, y)
+    return np.array([find(i) for i in range(len(up))])
 
 
 def bucket_pairs(nodes: np.ndarray, sigs: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """Pairs to verify among the classes of a block, and its clusters (smallest indices)."""
+    """Pairs to verify among the classes of a block, and its clusters (smallest
+    indices). The pairs are a forest of the best agreements (of every group that
+    isn't joined yet, its best pair with another, again and again) and each
+    class's ``BEST`` best, so they grow with the classes, not with their square."""
     est = agreement(sigs, sigs)
     np.fill_diagonal(est, 0)
-    root = forest(est >= SURE)
-    pairs: set[tuple[int, int]] = set()
-    # In a cluster: every class with the most similar one of those before it, or its cluster's first.
-    for i in np.flatnonzero(root != np.arange(len(root))):
-        before = np.flatnonzero(root[:i] == root[i])
-        pairs.add((int(before[est[i, before].argmax()]), int(i)))
-    # Between clusters: the most similar member of each other cluster.
-    i, j = np.nonzero((est >= MAYBE) & (root[:, None] != root[None, :]))
-    if len(i):
-        order = np.lexsort((-est[i, j], root[j], i))
-        i, j = i[order], j[order]
-        first = np.concatenate([[True], (i[1:] != i[:-1]) | (root[j[1:]] != root[j[:-1]])])
-        pairs.update((min(a, b), max(a, b)) for a, b in zip(i[first].tolist(), j[first].tolist()))
-    return [(int(nodes[a]), int(nodes[b])) for a, b in pairs], root
+    est[est < MAYBE] = 0
+    m = len(nodes)
+    root, clusters, pairs = np.arange(m), np.arange(m), set()
+    while True:
+        out = np.where(root[:, None] != root[None, :], est, 0)
+        best = out.argmax(1)
+        value = out[np.arange(m), best]
+        order = np.lexsort((-value, root))
+        first = order[np.concatenate([[True], root[order][1:] != root[order][:-1]])]
+        first = first[value[first] > 0]
+        if not len(first):
+            break
+        edges = list(zip(first.tolist(), best[first].tolist()))
+        pairs.update((min(e), max(e)) for e in edges)
+        root = joined(root, edges)
+        clusters = joined(clusters, [e for e in edges if est[e] >= LEAST])
+    k = min(BEST, m - 1)
+    for i, js in enumerate(np.argpartition(-est, k - 1, 1)[:, :k].tolist() if k else []):
+        pairs.update((min(i, j), max(i, j)) for j in js if est[i, j] > 0)
+    return [(int(nodes[x]), int(nodes[y])) for x, y in pairs], clusters
 
 
 def candidate_pairs(classes: DataFrame) -> DataFrame:
@@ -307,8 +317,11 @@ def candidate_pairs(classes: DataFrame) -> DataFrame:
         pairs, root = bucket_pairs(nodes, np.stack([np.frombuffer(s, "<u2") for s in df.sig]))
         # No nulls: pandas would make numbers beside them floating, and ids have 64 bits.
         rows = [(False, min(p), max(p), 0, 0, 0, b"") for p in pairs]
-        if df.g.iloc[0] > 1:                              # the clusters' representatives meet other blocks
-            rows += [(True, int(nodes[i]), 0, int(df.key.iloc[0]), int(df.mine.iloc[0]), int(df.g.iloc[0]), df.sig.iloc[i]) for i in np.unique(root)]
+        if df.g.iloc[0] > 1:                              # some of every cluster meet other blocks
+            order = np.argsort(root, kind="stable")
+            place = np.arange(len(order)) - np.searchsorted(root[order], root[order])
+            rows += [(True, int(nodes[i]), 0, int(df.key.iloc[0]), int(df.mine.iloc[0]), int(df.g.iloc[0]), df.sig.iloc[i])
+                     for i in order[place < BEST]]
         return pd.DataFrame(rows, columns=["leads", "a", "b", "key", "mine", "g", "sig"])
 
     def across(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
