@@ -13,7 +13,19 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from sponsorlens.session import new_dir
 
 
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts have some kilobytes each, so Spark's default of 10,000 rows in an
+    Arrow batch is lowered; a setting made by the user stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -21,6 +33,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a fresh table in the shared folder and read back: the
     lineage ends there and a lost executor costs no recomputation."""
     spark = df.sparkSession
+    small_batches(spark)
     path = new_dir(spark, "llm", name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -29,10 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import fresh_name, table, with_outputs, words_of, written
+from .common import add_columns, fresh_name, table, with_outputs, words_of, written
 
 WINDOW = 10
-SHARD_WORDS = 1_500_000
+SHARD_WORDS = 500_000
 BLOCK_WORDS = 2_000_000
 SAMPLE_EVERY = 8
 LOCATE_ROWS = 1_000_000
@@ -232,9 +232,11 @@ def merged(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(start[new].tolist(), reach[np.concatenate([new[1:], [True]])].tolist()))
 
 
-def _hits(docs: DataFrame, text: str, phrases: Phrases, shard_words: int) -> DataFrame:
-    """``docs`` with n_words, word_spans and item_ids for one block of items."""
-    full, kept = with_outputs(docs, "n_words long, word_spans array<struct<s:int,e:int>>, item_ids array<string>")
+def _hits(docs: DataFrame, text: str, phrases: Phrases, shard_words: int, cleaned: str | None = None) -> DataFrame:
+    """``docs`` with n_words, word_spans and item_ids for one block of items,
+    and with the text without its removal spans in ``cleaned``."""
+    full, kept = with_outputs(docs, "n_words long, word_spans array<struct<s:int,e:int>>, item_ids array<string>"
+                              + (f", `{cleaned}` string" if cleaned else ""))
     arrow = to_arrow_schema(full)
     shared = docs.sparkSession.sparkContext.broadcast(phrases)
 
@@ -252,6 +254,8 @@ def _hits(docs: DataFrame, text: str, phrases: Phrases, shard_words: int) -> Dat
             items.append(sorted({p.ids[k] for k in ks}))
         cols = [rows.column(c).combine_chunks().cast(arrow.field(c).type) for c in kept]
         made = {"n_words": [len(w) for w in words], "word_spans": spans, "item_ids": items}
+        if cleaned:
+            made[cleaned] = [without(t, x) for t, x in zip(rows.column(text).to_pylist(), spans)]
         out = pa.Table.from_arrays([*cols, *(pa.array(made[f.name], f.type) for f in list(arrow)[len(kept):])], schema=arrow)
         yield from out.to_batches(max_chunksize=2000)
 
@@ -276,15 +280,16 @@ def _hits(docs: DataFrame, text: str, phrases: Phrases, shard_words: int) -> Dat
 
 
 def find(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-         window: int = WINDOW, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` with n_words, word_spans (merged, word numbers, end exclusive) and item_ids (sorted strings)."""
+         window: int = WINDOW, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS, cleaned: str | None = None) -> DataFrame:
+    """``docs`` with n_words, word_spans (merged, word numbers, end exclusive) and
+    item_ids (sorted strings); ``cleaned``: a column for the text without its spans."""
     some = items.select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t")).filter(F.col("t").isNotNull())
     total = some.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, -(-int(total) // (4 * block_words)))
     part = lambda k: some.filter(F.pmod(F.hash("i", "t"), F.lit(blocks)) == k) if blocks > 1 else some
     phrases = lambda k: Phrases([(r.i, r.t) for r in part(k).toLocalIterator()], window)
     if blocks == 1:
-        return _hits(docs, text, phrases(0), shard_words)
+        return _hits(docs, text, phrases(0), shard_words, cleaned)
     key = fresh_name(docs, "row_key")
     keyed = docs.withColumn(key, F.monotonically_increasing_id())
     found = None
@@ -306,32 +311,25 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "ite
         .otherwise(F.concat(acc, F.array(x))))
     empty = _hits(keyed, text, Phrases([], window), shard_words).drop("word_spans", "item_ids")
     none = F.expr("cast(array() as array<struct<s:int,e:int>>)")
-    return (empty.join(by_doc.select(key, merge.alias("word_spans"), F.col("items").alias("item_ids")), key, "left")
-            .withColumn("word_spans", F.coalesce("word_spans", none))
-            .withColumn("item_ids", F.coalesce("item_ids", F.expr("cast(array() as array<string>)"))).drop(key))
-
-
-def remove(found: DataFrame, text: str = "text") -> DataFrame:
-    """``found`` with the words of its removal spans cut out of the text (and what stands between them)."""
-    names = list(found.columns)
-    arrow = to_arrow_schema(found.schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for t, spans in zip(b.column(text).to_pylist(), b.column("word_spans").to_pylist()):
-                if spans:
-                    at = [m.span() for m in WORD.finditer(t)]
-                    left, end = [], 0
-                    for x in spans:
-                        left.append(t[end : at[x["s"]][0]])
-                        end = at[x["e"] - 1][1]
-                    t = "".join([*left, t[end:]])
-                out.append(t)
-            cols = [pa.array(out, arrow.field(c).type) if c == text else b.column(c).cast(arrow.field(c).type) for c in names]
-            yield pa.RecordBatch.from_arrays(cols, schema=arrow)
-
-    return found.mapInArrow(run, found.schema)
+    found = (empty.join(by_doc.select(key, merge.alias("word_spans"), F.col("items").alias("item_ids")), key, "left")
+             .withColumn("word_spans", F.coalesce("word_spans", none))
+             .withColumn("item_ids", F.coalesce("item_ids", F.expr("cast(array() as array<string>)"))).drop(key))
+    if not cleaned:
+        return found
+    return add_columns(found.withColumn(cleaned, F.struct(F.col(text).alias("t"), F.col("word_spans").alias("x"))), cleaned,
+                       lambda rows, _: {cleaned: [without(r["t"], r["x"]) for r in rows]}, f"`{cleaned}` string")
+
+
+def without(text: str | None, spans: list) -> str | None:
+    """``text`` without the words of its spans, and without what stands between them."""
+    if not spans:
+        return text
+    at = [m.span() for m in WORD.finditer(text)]
+    left, end = [], 0
+    for x in spans:
+        left.append(text[end : at[x["s"]][0]])
+        end = at[x["e"] - 1][1]
+    return "".join([*left, text[end:]])
 
 
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import add_columns, quiet_gc, table
 
 MARK = "▁"
-TABLE_ENTRIES = 400_000
+TABLE_ENTRIES = 250_000
 LONG_CHUNK = 64          # longer chunks (no whitespace inside) aren't worth keeping
 
 
