@@ -238,42 +238,47 @@ def score(docs: DataFrame, train: DataFrame, states: int = STATES, top: int = TO
     whole = counts.agg(F.sum("c"), F.count("*")).first()
     n, v = whole[0] or 0, whole[1]
     m = Model(own_words(counts, top), hashed, states)
-    own = spark.sparkContext.broadcast(m.own)
+    listed = spark.sparkContext.broadcast(m.own)
     # Totals and distinct words of each class, a bounded table.
-    word_class = F.pandas_udf(lambda w: w.map(lambda x: class_of(x.encode(), own.value, hashed)), "long")
+    word_class = F.pandas_udf(lambda w: w.map(lambda x: class_of(x.encode(), listed.value, hashed)), "long")
     classed = written(counts.withColumn("k", word_class("token")), "classed")
     per_class = {r["k"]: (r["n"], r["v"]) for r in classed.groupBy("k").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
     m.begin(np.array([per_class.get(k, (0, 0))[0] for k in range(m.n)], float))
     m = baum_welch(train, m, rounds) if n else m
     shared = spark.sparkContext.broadcast(m)
     log_class = [math.log10(per_class.get(k, (0, 0))[0] + 0.5 * (per_class.get(k, (0, 0))[1] + 1)) for k in range(m.n)]
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("token", pa.string()), ("tf", pa.int64()), ("n_tokens", pa.int64()), ("ll", pa.float64())])
+    own = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ll", pa.float64())])
+    schema = pa.schema([("key", pa.int64()), ("token", pa.string()), ("tf", pa.int32()), ("own", own)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, known = shared.value, {}
+        m, known, share = shared.value, {}, np.array(log_class)
 
         def out(ids: list, keys: list, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
             seqs = [m.encode(t, known) for t in texts]
-            ll = np.zeros(len(texts))
             which, classes, begin = by_step(seqs)
-            ll[which] = forward(m, classes, begin)
-            share = np.array(log_class)
-            cols: list[list] = [[] for _ in schema]
-
-            def batch():
-                return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
-
-            for d, key, t, s, x in zip(ids, keys, texts, seqs, ll):
+            ll = np.zeros(len(texts))
+            ll[which] = forward(m, classes, begin) / math.log(10)
+            ll -= [share[s].sum() for s in seqs]
+            # The text's own row: a token that can't occur, spread over the partitions.
+            yield pa.RecordBatch.from_arrays([
+                pa.array(keys, pa.int64()), pa.array([f" {k}" for k in keys]), pa.array(np.zeros(len(keys), np.int32)),
+                pa.StructArray.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in seqs], pa.int64()), pa.array(ll)], fields=list(own))],
+                schema=schema)
+            words: list[bytes] = []
+            counts: list[int] = []
+            sizes: list[int] = []
+            at = 0
+            for i, t in enumerate(texts):
                 tf = Counter(tokens(t))
                 tf[END.encode()] = 1
-                # The text's own row: a token that can't occur, spread over the partitions.
-                for col, val in zip(cols, ([d] * (len(tf) + 1), [key] * (len(tf) + 1), [*(w.decode() for w in tf), f" {key}"], [*tf.values(), 0],
-                                           [*[0] * len(tf), len(s)], [*[0.0] * len(tf), x / math.log(10) - share[s].sum()])):
-                    col.extend(val)
-                if len(cols[0]) > 100_000:
-                    yield batch()
-                    cols = [[] for _ in schema]
-            yield batch()
+                words += tf
+                counts += tf.values()
+                sizes.append(len(tf))
+                if len(words) > 200_000 or i == len(texts) - 1:
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.repeat(np.array(keys[at : i + 1], np.int64), sizes)), pa.array(words, pa.binary()).cast(pa.string()),
+                        pa.array(counts, pa.int32()), pa.nulls(len(words), own)], schema=schema)
+                    words, counts, sizes, at = [], [], [], i + 1
 
         held: list[tuple] = []
         size = 0
@@ -287,22 +292,21 @@ def score(docs: DataFrame, train: DataFrame, states: int = STATES, top: int = TO
         if held:
             yield from out(*map(list, zip(*held)))
 
-    keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull()).alias("key"), "text")
-    words = keyed.mapInArrow(run, "doc_id long, key long, token string, tf long, n_tokens long, ll double")
+    doc_id = F.col("doc_id").cast("long")
+    key = F.xxhash64(doc_id, F.coalesce("text", F.lit("")), F.col("text").isNull(), doc_id.isNull())
+    words = docs.select(doc_id.alias("doc_id"), key.alias("key"), "text").mapInArrow(
+        run, "key long, token string, tf int, own struct<doc_id:long,n_tokens:long,ll:double>")
     # Frequent words are hot keys of the join; Spark splits them, as both its sides are shuffled by it.
     c = F.coalesce(F.col("c"), F.lit(0))
-    text_row = F.col("tf") == 0
-    sums = words.join(classed.select("token", "c"), "token", "left").groupBy("doc_id", "key").agg(
-        F.sum(F.when(text_row, 1).otherwise(0)).alias("copies"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("n_known"), F.sum("ll").alias("ll"),
-        F.sum(F.col("tf") * F.log10(c + 0.5)).alias("words"))
+    sums = words.join(classed.select("token", "c"), "token", "left").groupBy("key").agg(
+        F.count("own").alias("copies"), *[F.max(f"own.{x}").alias(x) for x in ("doc_id", "n_tokens", "ll")],
+        F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("n_known"), F.sum(F.col("tf") * F.log10(c + 0.5)).alias("words"))
     # Repeated rows were summed together: a share for each.
     per = lambda x: F.col(x) / F.col("copies")
     return (sums.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-            .select("doc_id", per("n_tokens").cast("long").alias("n_tokens"), per("n_known").cast("long").alias("n_known"),
-                    F.lit(n).cast("long").alias("train_tokens"),
-                    (per("words") - per("n_tokens") * math.log10(n + 0.5 * (v + 1))).alias("base_score"),
-                    (per("words") + per("ll")).alias("score")))
+            .select("doc_id", "n_tokens", per("n_known").cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+                    (per("words") - F.col("n_tokens") * math.log10(n + 0.5 * (v + 1))).alias("base_score"),
+                    (per("words") + F.col("ll")).alias("score")))
 
 
 def op2_hmm_scores(spark, sf_dir: str) -> DataFrame:
