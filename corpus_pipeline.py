@@ -37,8 +37,9 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words that are part of a benchmark passage."""
-    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
-    return counted_again(decontaminate.remove(found), docs, F.size("word_spans") > 0)
+    cleaned = fresh_name(docs, "cleaned")
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), cleaned=cleaned)
+    return counted_again(found.drop("text").withColumnRenamed(cleaned, "text"), docs, F.size("word_spans") > 0)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
