@@ -162,7 +162,7 @@ def test_upsert_rewrites_only_touched_years(spark, tmp_path):
     assert "fiscal_year=2020" not in parts                        # emptied year dropped
     assert parts["fiscal_year=2021"] == v1_parts["fiscal_year=2021"]   # untouched years keep folders
     assert parts["fiscal_year=2022"] == v1_parts["fiscal_year=2022"]
-    assert parts["fiscal_year=2023"].startswith("v=000002/")
+    assert parts["fiscal_year=2023"].startswith("v=000002-")
     got = sorted((r.case_number, r.fiscal_year) for r in wh.read("lca_filings").collect())
     assert got == [("I-200-1", 2023), ("I-200-2", 2021), ("I-200-3", 2022), ("I-200-4", 2023)]
     served = sorted((r.case_number, r.fiscal_year, r.worksite_city) for r in views.sponsorships(wh).collect())
@@ -182,14 +182,14 @@ def test_compaction_keeps_rows(spark, tmp_path):
     after = {t: sorted(map(tuple, wh.read(t).collect())) for t in before}
     assert after == before
     assert len(wh.current()["employers"][2]) == 1
-    assert all(p.startswith("v=000003/") for p in wh.current()["lca_filings"][2])
+    assert all(p.startswith("v=000003-") for p in wh.current()["lca_filings"][2])
     assert Warehouse(spark, wh.root).read("employers").count() == len(before["employers"])
 
 
 def _failing(spark, raw, name):
-    """``raw`` with a wage column that raises for one file's rows."""
-    return raw.withColumn("WAGE_RATE_OF_PAY_FROM", F.when(F.col("source_file") == name, F.raise_error(F.lit("boom " * 2000)).cast("string"))
-                          .otherwise(F.col("WAGE_RATE_OF_PAY_FROM")))
+    """``raw`` with a title that raises for one file's rows."""
+    return raw.withColumn("JOB_TITLE", F.when(F.col("source_file") == name, F.raise_error(F.lit("boom " * 2000)).cast("string"))
+                          .otherwise(F.col("JOB_TITLE")))
 
 
 def _state(wh):
@@ -240,7 +240,7 @@ def test_good_files_of_a_failed_batch_stay(spark, tmp_path):
 def test_failed_files_are_logged_with_their_kind(spark, wh):
     from sponsorlens.operators.warehouse import load_batch
 
-    lca = make_rows(spark, 5, seed=7).withColumn("RECEIVED_DATE", F.raise_error(F.lit("boom")))
+    lca = make_rows(spark, 5, seed=7).withColumns({"RECEIVED_DATE": F.raise_error(F.lit("boom")), "source_file": F.lit("a.csv")})
     perm = lca.select(F.raise_error(F.lit("boom")).cast("string").alias("CASE_NO"), F.lit("PERM_b.csv").alias("source_file"), "row_seq")
     with pytest.raises(Exception):
         load_batch(wh, lca, perm, ["a.csv", "PERM_b.csv"])

@@ -15,8 +15,9 @@ SHOW = [
     ("q01_software_engineers_in_year", "year filter prunes partitions; title filter pushed to Parquet; partial aggregate"),
     ("q10_growing_sponsors", "window over the per-year aggregate only"),
     ("h6_row_view_gc", "semi join and mark join on distinct PERM employers; top-k"),
+    ("q07_wage_by_state", "median by counts per bucket: no percentile over a few hot groups"),
     ("h7_grouped_view", "5-key aggregate with exact median; pre-aggregated correlated count"),
-    ("j1_open_roles", "substring equi-joins (no nested loop), partial min_by per employer"),
+    ("j1_open_roles", "the short list of names against every board in one pass, partial min_by per employer"),
     ("x19_link_discovery", "regex over whole pages, partial min per link"),
 ]
 
