@@ -46,8 +46,9 @@ ROWS, BANDS = 4, 10
 MAYBE, BEST = 0.55, 3
 IDF = 0.5
 RARE = 0.001
-BLOCK = 800                  # classes compared in one task
+BLOCK = 400                  # classes compared in one task
 HELD_SHINGLES = 2_500_000    # of documents counted together by a task
+BLOCK_DOCUMENTS = 2000       # that a task should count together, on average
 KNOWN_WORDS = 250_000
 WANTED_BOUND = 2_000_000     # classes whose ids may be broadcast (16 bytes each)
 HEAVY_BLOCK = 2_000_000      # candidates counted in one pass (8 bytes each)
@@ -174,7 +175,8 @@ def _block_shingles(docs: DataFrame, n: int, t: int) -> DataFrame:
         if held:
             yield out()
 
-    return docs.select("text").mapInArrow(run, "s long").distinct()
+    # Tasks of few documents would have a share below one, and emit every shingle.
+    return docs.select("text").coalesce(max(1, n // BLOCK_DOCUMENTS)).mapInArrow(run, "s long").distinct()
 
 
 def _document_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
