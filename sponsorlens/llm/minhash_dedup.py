@@ -15,13 +15,15 @@ task; these candidates are counted exactly, over all documents. At most
 Signatures are improved consistent weighted sampling (Ioffe 2010): two texts
 agree in a sample with the probability of their weighted Jaccard similarity.
 ``BANDS`` bands of ``ROWS`` samples are buckets. Equal texts are one class
-first. In a bucket, the pairs of a forest of the best agreements, and each
-class's ``BEST`` best, are candidates if they agree in ``MAYBE`` of the samples;
-large buckets are cut into salted blocks, of whose clusters ``BEST`` members each
-are compared by block pairs. Salts and blocks differ by band. Every candidate is
-verified by the exact weighted Jaccard similarity of its shingles, and pairs of
-``LEAST`` or more are the links; their components are the near-duplicate classes.
-Classes are joined through the best of their links, so not every link is listed.
+first. Pairs of a bucket that agree in ``MAYBE`` of the samples are candidates,
+tried in two passes. First the pairs of a forest of the best agreements, and each
+class's ``BEST`` best; large buckets are cut into salted blocks, of whose clusters
+``BEST`` members each are compared by block pairs. Then the verified components
+are contracted, and every other candidate between different components is tried,
+by block pairs of all members. A candidate is verified by the exact weighted
+Jaccard similarity of its shingles, and pairs of ``LEAST`` or more are the links;
+their components are the near-duplicate classes. So each candidate is verified or
+joins classes that other links join already; not every link is listed.
 
 Null and empty texts are equal; texts without words are near nothing but their
 copies. Repeated rows share a class. The class id is its smallest doc_id, null
@@ -52,6 +54,7 @@ BLOCK_DOCUMENTS = 2000       # that a task should count together, on average
 KNOWN_WORDS = 250_000
 WANTED_BOUND = 2_000_000     # classes whose ids may be broadcast (16 bytes each)
 HEAVY_BLOCK = 2_000_000      # candidates counted in one pass (8 bytes each)
+BLOCK_BYTES = 16_000_000     # of features in a block, on average
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -396,16 +399,123 @@ def verified(pairs: DataFrame, feats: DataFrame) -> DataFrame:
     return two.select("a", "b", "sa", "wa", "sb", "wb").mapInArrow(run, "a long, b long, similarity double")
 
 
+def untried(a: pd.DataFrame, b: pd.DataFrame, at: int) -> np.ndarray:
+    """Which classes of a and b are candidates of table ``at``: they agree in ``MAYBE``
+    of the samples, are in different components and share no earlier table."""
+    est = agreement(*(np.stack([np.frombuffer(s, "<u2") for s in d.sig]) for d in (a, b)))
+    pairs = (est >= MAYBE) & (a.component.to_numpy(np.int64)[:, None] != b.component.to_numpy(np.int64)[None, :])
+    x, y = np.stack(a.bands.to_list()), np.stack(b.bands.to_list())
+    for k in range(at):
+        pairs &= x[:, k][:, None] != y[:, k][None, :]
+    return pairs
+
+
+def dealt(entries: DataFrame) -> DataFrame:
+    """``entries`` (key, component, node, share: of a block's room) in block pairs (i, j)
+    of their bucket. All meet all, but those of its largest component not each other."""
+    count = entries.groupBy("key", "component").agg(F.count("*").alias("m"), F.sum("share").alias("load"))
+    sizes = count.groupBy("key").agg(F.sum("m").alias("size"), F.count("*").alias("parts"), F.sum("load").alias("load"),
+                                     F.max(F.struct("m", "component", "load")).alias("top"))
+    whole = F.col("load") <= 1
+    sizes = written(sizes.filter("parts > 1").select(
+        "key", "size", F.col("top.component").alias("top"),
+        F.when(whole, 1).otherwise(F.ceil(F.col("load") - F.col("top.load") + 1e-9)).cast("int").alias("rest"),
+        F.when(whole, 0).otherwise(F.ceil(F.col("top.load"))).cast("int").alias("big")), "sizes")
+    is_top = (F.col("component") == F.col("top")) & (F.col("big") > 0)
+    salt = F.xxhash64("node", "key")
+    mine = F.when(is_top, F.col("rest") + F.pmod(salt, F.greatest("big", F.lit(1)))).otherwise(F.pmod(salt, F.col("rest"))).cast("int")
+    last = F.when(is_top, F.col("rest")).otherwise(F.col("rest") + F.col("big")) - 1
+    return (entries.join(sizes, "key").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+            .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")).drop("share", "other", "top", "rest", "big"))
+
+
+def exact_links(a: pd.DataFrame, b: pd.DataFrame | None, at: int, least: float) -> list[tuple[int, int]]:
+    """Links that join the components of all candidates of a and b (else of a) that are near enough."""
+    both = a if b is None else pd.concat([a, b])
+    lo = 0 if b is None else len(a)
+    pairs = untried(a, a if b is None else b, at)
+    nodes = both.node.to_numpy(np.int64)
+    _, root = np.unique(both.component.to_numpy(np.int64), return_inverse=True)
+    shingles = [np.frombuffer(x, "<u4") for x in both.s]
+    weights = [np.frombuffer(x, "<f4") for x in both.w]
+    names, place = np.unique(np.concatenate(shingles), return_inverse=True)
+    place = np.split(place, np.cumsum([len(x) for x in shingles])[:-1])
+    total = np.array([x.sum(dtype=float) for x in weights])
+    dense = np.zeros(len(names), np.float32)
+    found = []
+    for x in np.argsort(-pairs.sum(1), kind="stable"):
+        ys = np.flatnonzero(pairs[x]) + lo
+        ys = ys[root[ys] != root[x]]
+        if not len(ys):
+            continue
+        dense[place[x]] = weights[x]
+        held = [np.minimum(dense[place[y]], weights[y]).sum(dtype=float) for y in ys]
+        dense[place[x]] = 0
+        for y in ys[np.array(held) / (total[x] + total[ys] - held) >= least]:
+            if root[y] != root[x]:
+                found.append((int(nodes[x]), int(nodes[y])))
+                root[root == root[y]] = root[x]
+    return found
+
+
+def links_of_the_rest(docs: DataFrame, classes: DataFrame, links: DataFrame, feats: DataFrame, weights: Weights, least: float) -> DataFrame | None:
+    """(a, b) that join the components of ``links`` over all candidates that aren't tried yet."""
+    entries = classes.select("node", "first", "sig", "bands", F.posexplode("bands").alias("at", "key"))
+    # A smaller bucket's pairs are all among each class's best.
+    large = written(entries.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > BEST + 1).select("key"), "large")
+    if large.isEmpty():
+        return None
+    some = entries.join(large, "key").join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    some = written(some.withColumn("share", F.lit(1 / BLOCK)), "entries")
+
+    def left(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
+        df = df.sort_values("node")
+        a, b = df[df.mine == key[1]], df[df.mine == key[2]]
+        if not len(a) or not len(b):
+            return pd.DataFrame({"key": [], "node": []}).astype("int64")
+        pairs = untried(a, b, int(df["at"].iloc[0]))
+        if len(df) == df["size"].iloc[0] and len(df) <= BLOCK and pairs.any():  # the block of the first pass
+            nodes = df.node.to_numpy(np.int64)
+            tried, _ = bucket_pairs(nodes, np.stack([np.frombuffer(s, "<u2") for s in df.sig]))
+            for x, y in np.searchsorted(nodes, np.array(tried, np.int64).reshape(-1, 2)):
+                pairs[x, y] = pairs[y, x] = False
+        hit = np.concatenate([a.node[pairs.any(1)], b.node[pairs.any(0)]]).astype(np.int64)
+        return pd.DataFrame({"key": np.full(len(hit), key[0], np.int64), "node": hit})
+
+    wide = dealt(some).select("key", "i", "j", "mine", "size", "at", "node", "component", "sig", "bands")
+    needed = written(wide.groupBy("key", "i", "j").applyInPandas(left, "key long, node long").distinct(), "untried")
+    if needed.isEmpty():
+        return None
+    more = written(needed.select("node").distinct().join(feats.select("node"), "node", "left_anti")
+                   .join(classes.select("node", "first"), "node"), "wanted")
+    if not more.isEmpty():
+        feats = feats.unionByName(features(docs, more, weights))
+    load = feats.select("node", F.greatest(F.lit(1 / BLOCK), (F.length("s") + F.length("w")) / BLOCK_BYTES).alias("share"))
+    full = dealt(some.drop("share", "first").join(needed, ["key", "node"]).join(load, "node")).join(feats, "node")
+
+    def verify(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
+        a, b = df[df.mine == key[1]], df[df.mine == key[2]]
+        alone = key[1] == key[2]
+        found = exact_links(a, None if alone else b, int(df["at"].iloc[0]), least) if len(a) and len(b) else []
+        return pd.DataFrame({"a": [x for x, _ in found], "b": [y for _, y in found]}).astype("int64")
+
+    return written(full.select("key", "i", "j", "mine", "at", "node", "component", "sig", "bands", "s", "w")
+                   .groupBy("key", "i", "j").applyInPandas(verify, "a long, b long"), "links")
+
+
 def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """(doc_id, node, class_id, kept) of every row of ``docs`` (doc_id, text)."""
     weights = weigh(docs)
     signed = written(signatures(docs, weights), "signatures")
     classes = written(signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("sig").alias("sig"), F.min("bands").alias("bands")), "classes")
-    pairs = candidate_pairs(classes.filter(F.col("sig").isNotNull() & F.col("first").isNotNull()))
+    worded = classes.filter(F.col("sig").isNotNull() & F.col("first").isNotNull())
+    pairs = candidate_pairs(worded)
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = written(ends.join(classes.select("node", "first"), "node"), "wanted")
-    links = written(verified(pairs, features(docs, wanted, weights)).filter(F.col("similarity") >= least), "links")
-    comp = components(links.select("a", "b"))
+    feats = features(docs, wanted, weights)
+    links = written(verified(pairs, feats).filter(F.col("similarity") >= least).select("a", "b"), "links")
+    rest = links_of_the_rest(docs, worded, links, feats, weights, least)
+    comp = components(links if rest is None else links.union(rest))
     named = classes.select("node", "first").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = written(named, "named")
     ids = written(named.groupBy("component").agg(F.min("first").alias("class_id")), "class_ids")

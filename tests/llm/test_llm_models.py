@@ -250,6 +250,60 @@ def test_large_buckets_are_cut_into_blocks(spark, monkeypatch):
     assert {x.class_id for x in minhash_dedup.near_duplicates(docs).collect()} == {0}
 
 
+def variants(n=1000, words=210, seed=3):
+    """Copies of one text with some words of their own, so that many pairs lie close to 0.8 on either side."""
+    r = random.Random(seed)
+    base = [f"w{r.randrange(5000)}" for _ in range(words)]
+    out = []
+    for k in range(n):
+        copy = list(base)
+        for at in r.sample(range(words), r.choice((2, 3, 3, 4, 4))):
+            copy[at] = f"own{k}x{at}"
+        out.append(" ".join(copy))
+    return out
+
+
+def components_by_hand(texts, least=0.8):
+    """Smallest index of each text's component: over all pairs, and over those that
+    share a band and agree in MAYBE of the samples; and how many links there are."""
+    cut = minhash_dedup.Shingler()
+    sets = [np.unique(cut(t), return_counts=True) for t in texts]
+    names, df = np.unique(np.concatenate([s for s, _ in sets]), return_counts=True)
+    t = max(2, int(2 * minhash_dedup.RARE * len(texts)))
+    w = minhash_dedup.Weights(names[df >= t], df[df >= t], len(texts), t)
+    total = np.array([w.of(s, c).sum() for s, c in sets])
+    shared = names[df > 1]                                # a shingle of one text adds to no other's overlap
+    m = np.zeros((len(texts), len(shared)), np.float32)
+    for i, (s, c) in enumerate(sets):
+        hit = np.isin(s, shared)
+        m[i, np.searchsorted(shared, s[hit])] = w.of(s, c)[hit]
+    sample = minhash_dedup.Sampler()
+    z = np.stack([sample(s, w.of(s, c)) for s, c in sets])
+    key, low = z.reshape(len(z), minhash_dedup.BANDS, minhash_dedup.ROWS), z.astype(np.uint16)
+    root, met, links = np.arange(len(texts)), np.arange(len(texts)), 0
+    for i in range(len(texts)):
+        both = np.minimum(m[i], m[i + 1 :]).sum(1, dtype=float)
+        near = i + 1 + np.flatnonzero(both / (total[i] + total[i + 1 :] - both) >= least)
+        links += len(near)
+        for j in near:
+            root[root == max(root[i], root[j])] = min(root[i], root[j])
+            if (key[i] == key[j]).all(1).any() and (low[i] == low[j]).mean(dtype=np.float32) >= minhash_dedup.MAYBE:
+                met[met == max(met[i], met[j])] = min(met[i], met[j])
+    return root.tolist(), met.tolist(), links
+
+
+@pytest.mark.parametrize("block", [minhash_dedup.BLOCK, 150])
+def test_a_large_group_close_to_the_threshold_equals_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash_dedup, "BLOCK", block)
+    texts = variants()
+    want, met, links = components_by_hand(texts)
+    assert 100 < links < 250_000 and 10 < len(set(want)) < 900  # not one component, nor none
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.class_id for r in minhash_dedup.near_duplicates(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == met      # no candidate is left out
+    assert sum(got[i] != want[i] for i in range(len(texts))) <= 5  # the recall of bands and MAYBE
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 201), (201, 200), (202, 201)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
