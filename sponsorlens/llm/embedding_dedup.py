@@ -2,8 +2,11 @@
 
 A rotation of the principal axes is learned (ITQ: it alternates between the
 nearest binary codes and the rotation nearest to them) on a bounded sample, from
-several starts; each bit's threshold is the sample's median, so codes are
-balanced. Every vector is encoded. The codes are cut into substrings of
+several starts. The sample is thinned first: a cell of near vectors counts no more
+than ``CELL`` of it, so that a large group draws no axis or threshold to itself.
+Each bit's threshold is near the median of the thinned sample, where few vectors of
+the whole one are, so codes are about balanced and groups keep their bits. Every
+vector is encoded. The codes are cut into substrings of
 ``TABLE_BITS`` bits, each a hash table: vectors of a label that share a whole
 substring are candidates, and are reranked by the cosine of their original
 vectors in double precision.
@@ -38,6 +41,31 @@ ITQ_ROUNDS = 40
 TABLE_BITS = 16
 TABLES = 12
 BLOCK = 1024
+CELL, CELL_COSINE = 0.005, 0.95
+
+
+def thinned(x: np.ndarray) -> np.ndarray:
+    """Of the vectors within ``CELL_COSINE`` of one that comes first, a share of ``CELL`` of all at most."""
+    most = max(1, int(CELL * len(x)))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    free, kept = np.ones(len(x), bool), []
+    for i in range(len(x)):
+        if free[i]:
+            cell = np.flatnonzero(free & (unit @ unit[i] >= CELL_COSINE))
+            free[cell] = False
+            free[i] = False
+            kept.append(cell[:most] if len(cell) else [i])
+    return x[np.sort(np.concatenate(kept))] if kept else x
+
+
+def sparse_middle(few: np.ndarray, all_: np.ndarray, reach: float) -> float:
+    """A number near the median of ``few`` with few of ``all_`` within ``reach``."""
+    at = np.quantile(few, np.linspace(0.3, 0.7, 41))
+    at = np.concatenate([at, (at[1:] + at[:-1]) / 2])
+    all_ = np.sort(all_)
+    about = (np.searchsorted(all_, at + reach) - np.searchsorted(all_, at - reach)) / len(all_)
+    few = np.sort(few)
+    return float(at[np.argmin(about + 0.5 * np.abs(np.searchsorted(few, at) / len(few) - 0.5))])
 
 
 class Quantiser:
@@ -45,8 +73,9 @@ class Quantiser:
 
     def __init__(self, sample: np.ndarray, seed: int):
         d = sample.shape[1]
-        self.mean = sample.mean(0)
-        x = sample - self.mean
+        few = thinned(sample)
+        self.mean = few.mean(0)
+        x = few - self.mean
         axes = np.linalg.eigh(x.T @ x)[1][:, ::-1][:, : min(d, 64)]
         r = np.linalg.qr(np.random.default_rng(seed).standard_normal((axes.shape[1],) * 2))[0]
         v = x @ axes
@@ -54,7 +83,8 @@ class Quantiser:
             u, _, w = np.linalg.svd(np.where(v @ r >= 0, 1.0, -1.0).T @ v)
             r = (u @ w).T
         self.turn = axes @ r
-        self.middle = np.median(x @ self.turn, 0)
+        spread = (sample - self.mean) @ self.turn
+        self.middle = np.array([sparse_middle(a, b, 0.25 / np.sqrt(d)) for a, b in zip((x @ self.turn).T, spread.T)])
 
     def keys(self, x: np.ndarray) -> np.ndarray:
         """The codes' substrings, one column a table."""

@@ -358,6 +358,33 @@ def test_embedding_recall_on_pairs_at_the_threshold(spark, monkeypatch):
     assert 0.9 <= found <= 1
 
 
+@pytest.mark.parametrize("clustered", [False, True])
+@pytest.mark.parametrize("share", [0.34, 0.4, 0.5])
+def test_embedding_recall_inside_a_group_of_much_of_the_rows(share, clustered):
+    x = one_group(4000, share, clustered)
+    keys = embedding_dedup.Tables(list(x)).keys(x)
+    i, j = np.nonzero(np.triu(x[:1500] @ x[:1500].T >= 0.98, 1))
+    assert len(i) > 50_000 and (keys[i] == keys[j]).any(1).mean() > 0.99
+
+
+def one_group(n, share, clustered, d=64):
+    """Unit vectors; a share of them is near (mean cosine 0.99), not equal."""
+    r = np.random.default_rng(1)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    m = int(share * n)
+    group = unit(unit(r.standard_normal(d)) + 0.1 / math.sqrt(d) * r.standard_normal((m, d)))
+    other = r.standard_normal((n - m, d))
+    if clustered:
+        other = unit(r.standard_normal((10, d)))[r.integers(0, 10, n - m)] + 0.5 / math.sqrt(d) * other
+    return r.permutation(np.concatenate([group, unit(other)]))
+
+
+def test_embedding_links_of_a_group_of_half_of_the_rows(spark):
+    x = one_group(1000, 0.5, True)
+    got = embedding_dedup.link(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int"))
+    assert sum(r.n_links for r in got.collect()) >= 0.99 * ((x @ x.T >= 0.98).sum() - len(x))
+
+
 # -- pipeline
 
 def test_pipeline_stage_by_stage(spark):
