@@ -6,6 +6,7 @@ from .embedding_dedup import op10_embedding_dedup
 from .hmm_scores import op2_hmm_scores
 from .merkle import OP13_SQL, op13_merkle_manifest
 from .minhash_dedup import op6_minhash_dedup
+from .prefix_trie import OP11_SQL, op11_prefix_trie
 from .quality_crf import op3_quality_crf
 from .secret_scan import op9_secret_scan
 from .sentencepiece_codec import op4_sentencepiece
@@ -24,11 +25,13 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_secret_scan": op9_secret_scan,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: Queries that SQL cannot express have none; tests/llm holds them against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": OP1_SQL,
+    "op11_prefix_trie": OP11_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }
