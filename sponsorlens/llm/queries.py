@@ -8,6 +8,7 @@ from .merkle import OP13_SQL, op13_merkle_manifest
 from .minhash_dedup import op6_minhash_dedup
 from .prefix_trie import OP11_SQL, op11_prefix_trie
 from .quality_crf import op3_quality_crf
+from .repeated_text import OP12_SQL, op12_repeated_text
 from .secret_scan import op9_secret_scan
 from .sentencepiece_codec import op4_sentencepiece
 from .token_counts import op8_token_counts
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_repeated_text": op12_repeated_text,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -33,5 +35,6 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": OP1_SQL,
     "op11_prefix_trie": OP11_SQL,
+    "op12_repeated_text": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }
