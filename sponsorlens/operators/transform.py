@@ -1,15 +1,19 @@
 """Raw -> staged transforms (B1-B4) and keep-last dedup.
 
 The input is a raw scan: upper-case string columns plus ``source_file`` and
-``row_seq`` (any orderable column giving row order inside a file).
+``row_seq`` (any orderable column giving row order inside a file; a number keeps
+the grouped maximum in a hash aggregate).
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import scalars as X
+from ..session import new_dir
 from ..sources.raw import column_or_null, first_present
 
 LCA_STAGED_COLUMNS = [
@@ -105,33 +109,55 @@ def validate(df: DataFrame) -> DataFrame:
               .where(F.length("case_number") > 5))
 
 
-def keep_last(df: DataFrame, keys: list[str], order: Column, columns: list[str]) -> DataFrame:
+ROW, LATEST = "_row", "_latest"
+Write = Callable[[DataFrame, str], DataFrame]
+
+
+def _shared(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = new_dir(df.sparkSession, "staging", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def keep_last(df: DataFrame, keys: list[str], order: Column, columns: list[str], write: Write = _shared) -> DataFrame:
     """Keep the row with the greatest ``order`` per key.
 
-    A grouped ``max_by`` rather than a ranking window: the aggregate is
-    partial, so each map task sends one row per key to the shuffle and a hot
-    key (even a third of all rows) never lands whole in a single task.
+    Rows are written with a number each. The winners are a grouped ``max_by`` of that number, so the
+    aggregate holds two narrow values per key, is partial (a hot key, even a third of all rows, is
+    reduced by the map tasks), and sorts no payload; a semi join on the number, which spreads evenly,
+    fetches the winners' columns.
     """
-    payload = F.struct(*[F.col(c) for c in columns if c not in keys])
-    rest = [c for c in columns if c not in keys]
-    return (df.groupBy(*keys)
-              .agg(F.max_by(payload, order).alias("_row"))
-              .select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
-              .select(*columns))
+    rows = write(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    winners = rows.groupBy(*keys).agg(F.max_by(ROW, order).alias(ROW))
+    return rows.join(winners.select(ROW), ROW, "left_semi").select(*columns)
+
+
+def typed_rows(raw: DataFrame, kind: str) -> DataFrame:
+    """Typed columns (B1, B2) of the rows with their keys."""
+    return validate({"lca": _typed_lca, "perm": _typed_perm}[kind](raw))
+
+
+def staged_rows(raw: DataFrame, kind: str, write: Write = _shared) -> DataFrame:
+    """Typed, validated rows of one kind of file, the last of each (source_file, case_number), as when
+    files are loaded one at a time, and ``_latest``: whether the row is the one of its case's last file
+    (by name), which replaces the others (D4). Both come from the same narrow table of winners."""
+    columns = {"lca": LCA_STAGED_COLUMNS, "perm": PERM_STAGED_COLUMNS}[kind]
+    rows = write(typed_rows(raw, kind).withColumn(ROW, F.monotonically_increasing_id()), f"typed_{kind}")
+    winners = rows.groupBy("case_number", "source_file").agg(F.max_by(ROW, "row_seq").alias(ROW))
+    last = F.max("source_file").over(Window.partitionBy("case_number"))        # one row a file
+    marks = winners.select(ROW, (F.col("source_file") == last).alias(LATEST))
+    return rows.join(marks, ROW).select(*columns, LATEST)
 
 
 def stage_lca(raw: DataFrame) -> DataFrame:
-    """LCA transform (B1): typed columns, validation, keep-last per
-    (source_file, case_number) — one staged table per file, as when files are
-    loaded one at a time."""
-    typed = validate(_typed_lca(raw))
-    return keep_last(typed, ["source_file", "case_number"], F.col("row_seq"), LCA_STAGED_COLUMNS)
+    """LCA transform (B1): typed columns, validation, keep-last per (source_file, case_number)."""
+    return staged_rows(raw, "lca").drop(LATEST)
 
 
 def stage_perm(raw: DataFrame) -> DataFrame:
     """PERM transform (B2) through candidate headers (A5)."""
-    typed = validate(_typed_perm(raw))
-    return keep_last(typed, ["source_file", "case_number"], F.col("row_seq"), PERM_STAGED_COLUMNS)
+    return staged_rows(raw, "perm").drop(LATEST)
 
 
 def latest_per_case(staged: DataFrame, columns: list[str]) -> DataFrame:

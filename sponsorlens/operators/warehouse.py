@@ -21,6 +21,7 @@ import datetime as _dt
 import logging
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,23 +44,31 @@ def _step(name: str):
 
 
 MANIFEST_SCHEMA = "table string, version long, path string, parts array<string>, committed_at timestamp"
-YEAR_DIR = "fiscal_year="
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+BUCKET = "case_bucket"
 
 # Load order of source kinds inside one batch: all LCA files, then all PERM files.
 KIND_RANK = {"lca": 0, "perm": 1}
 
 
-def _year_of(part: str):
-    """Fiscal year of a partition folder ``v=N/fiscal_year=Y`` (None for NULL)."""
-    value = part.rsplit(YEAR_DIR, 1)[1]
-    return None if value == NULL_PARTITION else int(value)
+def case_bucket(case: str = "case_number") -> F.Column:
+    """The part of its year that a case belongs to."""
+    return F.pmod(F.xxhash64(case), F.lit(S.CASE_BUCKETS)).cast("int")
 
 
-def _year_in(years) -> F.Column:
-    known = [y for y in years if y is not None]
-    cond = F.col("fiscal_year").isin(known) if known else F.lit(False)
-    return cond | F.col("fiscal_year").isNull() if None in years else cond
+def _key_of(part: str) -> tuple:
+    """(fiscal year, bucket) of a folder ``v=N/fiscal_year=Y/case_bucket=B`` (None for a NULL year)."""
+    year, bucket = (x.split("=", 1)[1] for x in part.rsplit("/", 2)[1:])
+    return None if year == NULL_PARTITION else int(year), int(bucket)
+
+
+def _in_parts(parts: list[tuple]) -> F.Column:
+    """Rows of the given (fiscal year, bucket) pairs, as a partition filter."""
+    cond = F.lit(False)
+    for year in {y for y, _ in parts}:
+        same = F.col("fiscal_year").isNull() if year is None else F.col("fiscal_year") == year
+        cond = cond | (same & F.col(BUCKET).isin([b for y, b in parts if y == year]))
+    return cond
 
 
 class Warehouse:
@@ -71,9 +80,9 @@ class Warehouse:
     other readers atomically. ``rollback`` forgets uncommitted snapshots.
 
     Tables partitioned by fiscal year are versioned per partition: a write
-    produces folders ``<table>/v=N-A/fiscal_year=Y`` only for the years it
-    rewrites, and the manifest lists the current folder of every year, so
-    an upsert touching two years leaves the others where they are.
+    produces folders ``<table>/v=N-A/fiscal_year=Y/case_bucket=B`` only for the
+    years and hash buckets of case numbers it rewrites, and the manifest lists
+    the current folder of each, so an upsert leaves all others where they are.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -132,7 +141,8 @@ class Warehouse:
     def table_root(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def read(self, table: str) -> DataFrame:
+    def read(self, table: str, bucket: bool = False) -> DataFrame:
+        """The current rows of ``table``; with ``bucket``, the case bucket of year-partitioned rows too."""
         schema = S.WAREHOUSE_TABLES[table]
         cur = self.current().get(table)
         if cur is None:
@@ -141,23 +151,25 @@ class Warehouse:
             return self.spark.read.schema(schema).parquet(cur[1]).select(*schema.fieldNames())
         parts = cur[2] or []
         if not parts:
-            return self.spark.createDataFrame([], schema)
+            empty = self.spark.createDataFrame([], schema)
+            return empty.withColumn(BUCKET, F.lit(0)) if bucket else empty
         if table in S.APPEND_ONLY:
             read_schema = T.StructType(list(schema.fields) + [T.StructField("v", T.StringType())])
         else:
             data = [f for f in schema.fields if f.name != "fiscal_year"]
             read_schema = T.StructType(data + [T.StructField("v", T.StringType()),
-                                               T.StructField("fiscal_year", T.IntegerType())])
+                                               T.StructField("fiscal_year", T.IntegerType()),
+                                               T.StructField(BUCKET, T.IntegerType())])
         base = self.table_root(table)
         df = (self.spark.read.schema(read_schema).option("basePath", base)
               .parquet(*[f"{base}/{p}" for p in parts]))
-        return df.select(*schema.fieldNames())
+        return df.select(*schema.fieldNames(), *([BUCKET] if bucket else []))
 
-    def publish(self, table: str, df: DataFrame, years: list | None = None, replace: bool = False) -> str:
+    def publish(self, table: str, df: DataFrame, replaced: list[tuple] | None = None, replace: bool = False) -> str:
         """Write ``df`` as the next snapshot of ``table`` (uncommitted).
 
-        For a year-partitioned table, ``years`` names the fiscal years that
-        ``df`` replaces (``df`` must hold all their rows); the other years
+        For a year-partitioned table, ``replaced`` names the (fiscal year, bucket)
+        parts that ``df`` replaces (``df`` must hold all their rows); the others
         keep their current folders. ``None`` replaces the whole table.
         For an append-only table (dimensions, run log), ``df`` holds only the
         new rows, which become one more folder of the table, unless
@@ -168,15 +180,18 @@ class Warehouse:
         path = f"{self.table_root(table)}/{folder}"
         schema = S.WAREHOUSE_TABLES[table]
         out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-        w = out.write.mode("errorifexists").option("compression", "zstd")
         parts = None
         if table in S.PARTITIONED_BY_YEAR:
-            w.partitionBy("fiscal_year").parquet(path)
+            # Rows of a part together, in few files; Spark splits a part that is too large for a task.
+            out = out.withColumn(BUCKET, case_bucket()).hint("rebalance", "fiscal_year", BUCKET)
+        w = out.write.mode("errorifexists").option("compression", "zstd")
+        if table in S.PARTITIONED_BY_YEAR:
+            w.partitionBy("fiscal_year", BUCKET).parquet(path)
             # The folders just written, from the file index (a listing, no job).
             files = self.spark.read.schema(schema).parquet(path).inputFiles()
-            written = sorted({"/".join(f.rsplit("/", 3)[1:3]) for f in files})
+            written = sorted({"/".join(f.rsplit("/", 4)[1:4]) for f in files})
             old = (self.current().get(table) or (0, None, None))[2] or []
-            kept = [] if years is None else [p for p in old if _year_of(p) not in set(years)]
+            kept = [] if replaced is None else [p for p in old if _key_of(p) not in set(replaced)]
             parts = sorted(kept + written)
         elif table in S.APPEND_ONLY:
             w.parquet(path)
@@ -277,74 +292,65 @@ def resolve_fact_keys(latest: DataFrame, employers: DataFrame, locations: DataFr
                       occupations: DataFrame) -> DataFrame:
     """Star-join the staged rows to the dimensions: inner on the clean
     employer name (E1), null-safe left on the three location columns (E2),
-    left on the SOC code (E3). Join strategies are left to AQE, which turns
+    left on the SOC code (E3). Columns that the views take from the
+    dimensions come along as ``_v_*``, so that the serving rows need no star
+    join of their own. Join strategies are left to AQE, which turns
     a join into a broadcast only when the runtime size of a side is under
     ``spark.sql.adaptive.autoBroadcastJoinThreshold``."""
-    e = employers.select("employer_name_clean", "employer_id")
+    e = employers.select("employer_name_clean", "employer_id", F.col("employer_name").alias("_v_employer_name"),
+                         F.col("is_university").alias("_v_is_university"))
     l = locations.select("location_id", "city", "state", "postal_code")
-    o = occupations.select(F.col("soc_code").alias("_soc"), "occupation_id")
+    o = occupations.select(F.col("soc_code").alias("_v_soc_code"), "occupation_id", F.col("soc_title").alias("_v_soc_title"),
+                           F.col("job_category").alias("_v_job_category"))
     j = latest.join(e, "employer_name_clean", "inner")
     j = j.join(l, j.worksite_city.eqNullSafe(l.city) & j.worksite_state.eqNullSafe(l.state)
                & j.worksite_postal_code.eqNullSafe(l.postal_code), "left")
-    j = j.join(o, j.soc_code == o._soc, "left")
-    return j.withColumnRenamed("location_id", "worksite_location_id")
+    j = j.join(o, j.soc_code == o._v_soc_code, "left")
+    return j.withColumnsRenamed({"location_id": "worksite_location_id", "city": "_v_worksite_city", "state": "_v_worksite_state"})
+
 
+VIEW_COLUMNS = ["_v_employer_name", "_v_is_university", "_v_soc_code", "_v_soc_title", "_v_job_category",
+                "_v_worksite_city", "_v_worksite_state"]
 
-def upsert_fact(wh: Warehouse, table: str, rows: DataFrame) -> list | None:
+
+def upsert_fact(wh: Warehouse, table: str, rows: DataFrame) -> list[tuple] | None:
     """Replace-on-primary-key (D4): existing rows whose case number is not in
-    the batch, plus the batch, stamped with the load time (D9).
+    the batch, plus the batch (``rows``, a written table), stamped with the load time (D9).
 
-    Only the fiscal years the batch touches are rewritten: the years of the
-    batch rows, and the years where a replaced case number used to be. The
-    list of years is tiny and is the only thing the driver collects; it is
+    Only the parts (fiscal year and case bucket) the batch touches are rewritten: those of the
+    batch rows, and those where a replaced case number used to be, which lie in the batch's
+    buckets. The pairs are the only thing the driver collects (at most years x buckets); they are
     returned (None when the whole table was written)."""
-    existing = wh.read(table)
-    keys = rows.select("case_number")
-    stamped = rows.withColumn("loaded_at", F.current_timestamp())     # dropped where the table has none
     fields = S.WAREHOUSE_TABLES[table].fieldNames()
-    if table in S.PARTITIONED_BY_YEAR and table in wh.current():
-        moved = existing.select("case_number", "fiscal_year").join(keys, "case_number", "left_semi")
-        years = [r[0] for r in rows.select("fiscal_year").union(moved.select("fiscal_year"))
-                 .distinct().collect()]                  # a few fiscal years
-        keep = existing.where(_year_in(years)).join(keys, "case_number", "left_anti")
-        wh.publish(table, keep.select(*fields).unionByName(stamped.select(*fields)), years)
-        return years
-    keep = existing.join(keys, "case_number", "left_anti")
-    wh.publish(table, keep.select(*fields).unionByName(stamped.select(*fields)))
-    return None
-
-
-def refresh_serving(wh: Warehouse, fact_table: str, years: list | None, employers: DataFrame,
-                    locations: DataFrame, occupations: DataFrame) -> None:
-    """Rebuild the serving partitions of the given fiscal years (all when
-    None) as the view over the same, freshly written fact partitions."""
-    serving = SERVING[fact_table]
-    facts = wh.read(fact_table)
-    if years is not None:
-        facts = facts.where(_year_in(years))
-    rows = serving_rows(facts, employers, locations, occupations, S.WAREHOUSE_TABLES[serving])
-    wh.publish(serving, rows, years)
-
-
-def serving_rows(facts: DataFrame, employers: DataFrame, locations: DataFrame,
-                 occupations: DataFrame, schema) -> DataFrame:
-    """The view rows of a batch of fact rows (with their surrogate keys):
-    inner join to employers, left joins to occupations and locations — the
-    view definition, applied to the batch only."""
-    e = employers.select("employer_id", "employer_name", "is_university")
-    o = occupations.select("occupation_id", F.col("soc_code").alias("_o_soc"), F.col("soc_title").alias("_o_title"),
-                           F.col("job_category").alias("_o_cat"))
-    l = locations.select(F.col("location_id").alias("worksite_location_id"),
-                         F.col("city").alias("_l_city"), F.col("state").alias("_l_state"))
-    base = facts.drop("employer_name", "is_university", "soc_title", "job_category")
-    j = (base.join(e, "employer_id", "inner")
-             .join(o, "occupation_id", "left")
-             .join(l, "worksite_location_id", "left"))
-    j = (j.drop("soc_code", "worksite_city", "worksite_state")
-          .withColumnRenamed("_o_soc", "soc_code").withColumnRenamed("_o_title", "soc_title")
-          .withColumnRenamed("_o_cat", "job_category").withColumnRenamed("_l_city", "worksite_city")
-          .withColumnRenamed("_l_state", "worksite_state"))
-    return j.select(*schema.fieldNames())
+    stamped = rows.withColumn("loaded_at", F.current_timestamp()).select(*fields)
+    if table not in S.PARTITIONED_BY_YEAR or table not in wh.current():
+        keep = wh.read(table).join(rows.select("case_number"), "case_number", "left_anti")
+        wh.publish(table, keep.select(*fields).unionByName(stamped))
+        return None
+    came = [tuple(r) for r in rows.select("fiscal_year", case_bucket().alias(BUCKET)).distinct().collect()]
+    existing = wh.read(table, bucket=True).where(F.col(BUCKET).isin(sorted({b for _, b in came})))
+    moved = existing.select("case_number", "fiscal_year", BUCKET).join(rows.select("case_number"), "case_number", "left_semi")
+    parts = sorted(set(came) | {tuple(r) for r in moved.select("fiscal_year", BUCKET).distinct().collect()}, key=str)
+    wh.publish(table, _others(wh, table, rows, parts).select(*fields).unionByName(stamped), parts)
+    return parts
+
+
+def _others(wh: Warehouse, table: str, rows: DataFrame, parts: list[tuple]) -> DataFrame:
+    """Existing rows of some parts whose case is not in the batch."""
+    return wh.read(table, bucket=True).where(_in_parts(parts)).join(rows.select("case_number"), "case_number", "left_anti")
+
+
+def refresh_serving(wh: Warehouse, fact_table: str, parts: list[tuple] | None, rows: DataFrame) -> None:
+    """The serving table after an upsert of ``rows`` (with the views' columns) into ``parts`` of the
+    facts: the batch's view rows and, in those parts, the rows of other cases as they were (dimensions
+    never change, so their view rows don't either)."""
+    table = SERVING[fact_table]
+    fields = S.WAREHOUSE_TABLES[table].fieldNames()
+    seen = {c.removeprefix("_v_"): c for c in VIEW_COLUMNS}
+    served = rows.select(*[F.col(seen.get(f, f)).alias(f) for f in fields])
+    if parts is not None:
+        served = _others(wh, table, rows, parts).select(*fields).unionByName(served)
+    wh.publish(table, served, parts)
 
 
 # ---------------------------------------------------------------------------
@@ -373,10 +379,11 @@ def load_batch(wh: Warehouse, lca_raw: DataFrame | None = None, perm_raw: DataFr
                file_names: list[str] | None = None) -> dict[str, DataFrame]:
     """Load LCA and PERM files in one batch (D7, D8) and return the staged tables by kind.
 
-    If the batch fails, nothing of it is committed, and its files are loaded
-    one by one in load order: good files stay loaded and are logged
-    ``success``, the others are logged ``failed`` with their kind and whole
-    error text, and the first error is raised at the end (D6).
+    If the batch fails, nothing of it is committed. A pass over its files, in groups,
+    names those that can't be read and typed: they are logged ``failed`` with their kind and
+    whole error text, the others are loaded as one batch and logged ``success``, and the
+    first error is raised at the end (D6). If no file is at fault alone, all are logged
+    ``failed`` and the batch's error is raised, so that it can be tried again.
     ``file_names`` names the files for the log if they can't be read.
     """
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -386,19 +393,45 @@ def load_batch(wh: Warehouse, lca_raw: DataFrame | None = None, perm_raw: DataFr
     except Exception as exc:
         wh.rollback()
         files = _files(kinds, file_names)
-        if len(files) < 2:
-            _log_failure(wh, files or [(next(iter(kinds), "lca"), "<batch>")], started, exc)
+        bad = _bad_files(kinds, files) if len(files) > 1 else {}
+        good = {k: [n for f, n in files if f == k and (f, n) not in bad] for k in kinds}
+        log.warning("load failed; files at fault: %s", sorted(bad) or "none alone")
+        if not bad:                       # one file, or a fault that no file shows by itself
+            _log_failure(wh, {f: exc for f in files or [(next(iter(kinds), "lca"), "<batch>")]}, started)
             raise
-        first = None
-        for kind, name in files:
-            began = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-            try:
-                _load(wh, {kind: kinds[kind].where(F.col("source_file") == name)}, began)
-            except Exception as one:  # logged, and the first one raised below (D6)
-                wh.rollback()
-                _log_failure(wh, [(kind, name)], began, one)
-                first = first or one
-        raise first or exc
+        _log_failure(wh, bad, started)
+        if any(good.values()):
+            load_batch(wh, *(kinds[k].where(F.col("source_file").isin(good[k])) if good.get(k) else None for k in ("lca", "perm")),
+                       [n for k in good for n in good[k]])
+        raise bad[min(bad, key=lambda f: (KIND_RANK[f[0]], f[1]))]
+
+
+PROBES = 8
+
+
+def _bad_files(kinds: dict[str, DataFrame], files: list[tuple[str, str]]) -> dict[tuple[str, str], Exception]:
+    """The files whose rows can't be read and typed, and why.
+
+    Groups of files are evaluated by themselves, ``PROBES`` at a time and nothing of them kept; only a
+    group that fails is split further. All files are so read about once, and the bad ones'
+    neighbours a few times, in about PROBES * log(files) small jobs for each bad file."""
+    def probe(group: list[tuple[str, str]]) -> Exception | None:
+        try:
+            for kind in {k for k, _ in group}:
+                raw = kinds[kind].where(F.col("source_file").isin([n for k, n in group if k == kind]))
+                TR.typed_rows(raw, kind).write.format("noop").mode("overwrite").save()
+        except Exception as exc:  # reported with the file's run row
+            return exc
+        return None
+
+    bad: dict[tuple[str, str], Exception] = {}
+    groups = [files[i::PROBES] for i in range(min(PROBES, len(files)))]
+    with ThreadPoolExecutor(PROBES) as pool:
+        while groups:
+            failed = [(g, x) for g, x in zip(groups, pool.map(probe, groups)) if x is not None]
+            bad.update({g[0]: x for g, x in failed if len(g) == 1})
+            groups = [part for g, _ in failed if len(g) > 1 for part in (g[i::PROBES] for i in range(min(PROBES, len(g))))]
+    return bad
 
 
 def _files(kinds: dict[str, DataFrame], file_names: list[str] | None) -> list[tuple[str, str]]:
@@ -414,11 +447,15 @@ def _files(kinds: dict[str, DataFrame], file_names: list[str] | None) -> list[tu
     return sorted(((kind(n), n) for n in file_names), key=lambda x: (KIND_RANK[x[0]], x[1]))
 
 
-def _log_failure(wh: Warehouse, files: list[tuple[str, str]], started: _dt.datetime, exc: Exception) -> None:
-    for kind, name in files:
+def _log_failure(wh: Warehouse, failed: dict[tuple[str, str], Exception], started: _dt.datetime) -> None:
+    """One failed run row a file, with its kind and whole error text, committed together."""
+    runs = None
+    for (kind, name), exc in failed.items():
         per_file = wh.spark.createDataFrame([(name, 0)], "source_file string, n long")
-        wh.append_runs(_run_rows(wh.spark, per_file, kind, started, "failed", str(exc)))
-        wh.commit(["etl_runs"])
+        r = _run_rows(wh.spark, per_file, kind, started, "failed", str(exc))
+        runs = r if runs is None else runs.unionByName(r)
+    wh.append_runs(runs)
+    wh.commit(["etl_runs"])
 
 
 def _load(wh: Warehouse, kinds: dict[str, DataFrame], started: _dt.datetime) -> dict[str, DataFrame]:
@@ -431,12 +468,11 @@ def _load(wh: Warehouse, kinds: dict[str, DataFrame], started: _dt.datetime) ->
     committed together.
     """
     spark = wh.spark
-    spec = {"lca": ("lca_filings", TR.LCA_STAGED_COLUMNS, TR.stage_lca, LCA_FACT_COLUMNS),
-            "perm": ("perm_filings", TR.PERM_STAGED_COLUMNS, TR.stage_perm, PERM_FACT_COLUMNS)}
+    spec = {"lca": ("lca_filings", LCA_FACT_COLUMNS), "perm": ("perm_filings", PERM_FACT_COLUMNS)}
     staged = {}
     for kind, raw in kinds.items():
         with _step(f"{kind} staged"):
-            staged[kind] = wh.materialise(spec[kind][2](raw), f"staged_{kind}")
+            staged[kind] = wh.materialise(TR.staged_rows(raw, kind, wh.materialise), f"staged_{kind}")
     src = None
     for kind, st in staged.items():
         part = st.select(*[F.col(c) if c in st.columns else F.lit(None).alias(c) for c in _DIM_COLUMNS],
@@ -451,20 +487,21 @@ def _load(wh: Warehouse, kinds: dict[str, DataFrame], started: _dt.datetime) ->
         occupations = insert_if_new(wh, "occupations", occupation_candidates(src, order))
     runs = None
     for kind, st in staged.items():
-        fact_table, staged_cols, _, fact_cols = spec[kind]
+        fact_table, fact_cols = spec[kind]
+        with _step(f"{kind} star join"):
+            facts = resolve_fact_keys(st.where(TR.LATEST), employers, locations, occupations)
+            facts = wh.materialise(facts.select(*fact_cols, *VIEW_COLUMNS), f"batch_{kind}")
         with _step(f"{kind} fact"):
-            latest = TR.latest_per_case(st, staged_cols)
-            facts = resolve_fact_keys(latest, employers, locations, occupations)
-            years = upsert_fact(wh, fact_table, facts.select(*fact_cols))
+            parts = upsert_fact(wh, fact_table, facts)
         with _step(f"{kind} serving"):
-            refresh_serving(wh, fact_table, years, employers, locations, occupations)
+            refresh_serving(wh, fact_table, parts, facts)
         per_file = st.groupBy("source_file").agg(F.count("*").alias("n"))
         r = _run_rows(spark, per_file, kind, started, "success", None)
         runs = r if runs is None else runs.unionByName(r)
     with _step("run log + commit"):
         wh.append_runs(runs)
         wh.commit()                   # dimensions, facts and run log become visible together
-    return staged
+    return {k: st.drop(TR.LATEST) for k, st in staged.items()}
 
 
 LCA_FACT_COLUMNS = [
