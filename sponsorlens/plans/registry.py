@@ -9,6 +9,7 @@ the functions themselves take them as arguments.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,10 @@ from pyspark.sql import functions as F
 from .. import schemas as _S
 from ..operators import audits as AU
 from ..operators import filters as FL
-from ..sources import links as LK, postings as PO
+from ..functions.jobboard import split_list
+from ..session import new_dir
+from ..sources import fixtures as FX, landing as LD, links as LK, postings as PO, sinks as SK
+from ..sources.raw import route_of
 from . import api, context, dashboard as H, jobs as J, library as L, views
 from .oracle import AS_FILES, BY_SHIP_YEAR, RAW_LCA, with_views
 
@@ -757,6 +761,149 @@ def b16(spark, sf):
     return H.grouped_view(FL.apply_filters(v, FL.Filters(state="NY")), "emp_asc", _gc(spark, sf))
 
 
+# ---------------------------------------------------------------------------
+# Landed files: job boards, logs, downloads, routing, stamps
+# ---------------------------------------------------------------------------
+LANDED_SQL = """SELECT kind, slug, row_number() OVER (PARTITION BY kind, slug ORDER BY pos, title, url, loc) - 1 AS pos, title, url,
+       CASE WHEN pos % 7 = 0 THEN '' ELSE loc END AS loc FROM postings"""
+
+
+def _landed(spark, sf):
+    """The postings as landed JSON pages of three shapes, read back."""
+    return PO.read_landed_pages(spark, PO.land_pages(PO.fixture_postings(spark, sf), new_dir(spark, "boards")))
+
+
+@register("a16_landed_postings", JOBS_SQL + LANDED_SQL)
+def a16(spark, sf):
+    """Nested JSON of three shapes as one relation."""
+    return _landed(spark, sf)
+
+
+@register("j1_open_roles_landed", JOBS_SQL + """
+SELECT t.employer_name, m.kind AS board_kind, m.slug AS board_slug, m.kind IS NOT NULL AS has_feed,
+       CASE WHEN m.kind IS NOT NULL THEN COALESCE(h.c, 0) END AS open_roles
+FROM emp t LEFT JOIN matched m USING (employer_name)
+LEFT JOIN (SELECT kind, slug, COUNT(*) AS c FROM hits GROUP BY 1, 2) h ON h.kind = m.kind AND h.slug = m.slug""")
+def j1c(spark, sf):
+    employers, boards, _ = _jobs_inputs(spark, sf)
+    return J.open_roles(employers, boards, _landed(spark, sf), role=ROLE)
+
+
+LOG_SQL = """, attempts AS (SELECT event_id, 'LCA_' || user_id || '.xlsx' AS file_name, CASE event_type WHEN 'error' THEN 'FAIL' ELSE 'OK' END AS status,
+    CASE WHEN event_type <> 'error' THEN value END AS size_mb, CASE WHEN event_type NOT IN ('error', 'view') THEN event_type || ' mirror' END AS via
+  FROM events)"""
+
+
+@register("a9_download_log", LOG_SQL + """
+SELECT file_name, max_by(status, event_id) AS status, max_by({'v': size_mb}, event_id).v AS size_mb, max_by({'v': via}, event_id).v AS via, COUNT(*) AS attempts
+FROM attempts GROUP BY 1""")
+def a9(spark, sf):
+    """Last outcome of every file in logs read by splits."""
+    return LD.last_outcome(LD.parse_download_log(spark, FX.download_log(spark, sf, new_dir(spark, "logs"))))
+
+
+DOWNLOAD_SQL = ", ".join(H.DOWNLOAD_COLUMNS)
+
+
+@register("a15_csv_download", f"""
+, marked AS (SELECT * REPLACE (job_title || ' "' || worksite_state || '",' || chr(10) || 'x' AS job_title) FROM sponsorships)
+SELECT {DOWNLOAD_SQL}, row_number() OVER (ORDER BY annual_wage DESC NULLS LAST, employer_name, job_title, worksite_city, worksite_state,
+       fiscal_year, case_status, annual_wage, job_category, soc_code, soc_title, visa_class, prevailing_wage, is_university) - 1 AS place
+FROM marked QUALIFY place < 100000""")
+def a15(spark, sf):
+    """Written as CSV files by ranges and read back with the rows' places; titles hold quotes, commas and line breaks."""
+    title = F.concat("job_title", F.lit(' "'), "worksite_state", F.lit('",\nx'))
+    rows = _s(spark, sf).withColumn("job_title", title).select(*H.DOWNLOAD_COLUMNS)
+    path = SK.write_csv_download(rows, new_dir(spark, "csv"), FL.order_for("wage_desc", grouped=False) + [H.asc(c) for c in H.DOWNLOAD_COLUMNS])
+    return SK.read_csv_download(spark, path, rows.schema)
+
+
+def _order_sql(mode: str, grouped: bool) -> str:
+    table, ties = (FL.GROUP_ORDERS, FL.GROUP_KEYS) if grouped else (FL.ROW_ORDERS, FL.ROW_TIEBREAK)
+    return ", ".join([f"{c} {d.upper()} NULLS LAST" for c, d in table[mode]] + [f"{c} ASC NULLS LAST" for c in ties])
+
+
+def _placed(df, mode: str):
+    """A limited result, in one partition, with its rows' places as they come."""
+    return df.select(F.lit(mode).alias("sort"), "*", F.monotonically_increasing_id().alias("place"))
+
+
+ROW_COLUMNS = ", ".join(FL.ROW_TIEBREAK)
+
+
+@register("f1_row_orders", " UNION ALL ".join(f"""
+SELECT '{m}' AS sort, {ROW_COLUMNS}, row_number() OVER (ORDER BY {_order_sql(m, False)}) - 1 AS place FROM sponsorships QUALIFY place < 2000""" for m in FL.ROW_ORDERS))
+def f1(spark, sf):
+    """The places of rows in each sort mode of the row view."""
+    return reduce(DataFrame.unionByName, [_placed(H.row_view(_s(spark, sf), m), m) for m in FL.ROW_ORDERS])
+
+
+GROUPED_COLUMNS = ", ".join(FL.GROUP_KEYS)
+
+
+@register("f1_group_orders", f""", g AS (SELECT {GROUPED_COLUMNS}, COUNT(*) AS approved, ROUND(MEDIAN(annual_wage), 0) AS median_wage
+  FROM sponsorships WHERE {CERT} GROUP BY ALL)""" + " UNION ALL ".join(f"""
+SELECT '{m}' AS sort, *, row_number() OVER (ORDER BY {_order_sql(m, True)}) - 1 AS place FROM g QUALIFY place < 2000""" for m in FL.GROUP_ORDERS))
+def f1b(spark, sf):
+    """The places of groups in each sort mode of the grouped view."""
+    return reduce(DataFrame.unionByName, [_placed(H.grouped_view(_s(spark, sf), m), m) for m in FL.GROUP_ORDERS])
+
+
+@register("f4_employer_search_order", """
+SELECT 'search' AS sort, employer_name, fiscal_year, filings, certified, avg_wage, median_wage,
+       row_number() OVER (ORDER BY fiscal_year DESC, filings DESC, employer_name) - 1 AS place FROM v2
+WHERE employer_name ILIKE '%university%' QUALIFY place < 500""")
+def f4(spark, sf):
+    """Two sort keys in opposite interest, and the largest limit allowed."""
+    return _placed(api.employers(views.employer_yearly(_ld(spark, sf).wh), search="university", limit=500), "search")
+
+
+@register("a7_routes", """
+SELECT file_name, CASE WHEN contains(upper(file_name), 'PERM') THEN 'perm' ELSE 'lca' END AS route, COUNT(*) AS rows
+FROM (SELECT SOURCE_FILE AS file_name FROM raw_lca UNION ALL SELECT source_file FROM perm_typed) GROUP BY 1, 2""")
+def a7(spark, sf):
+    """Rows of the fixture's files by the loader that their name sends them to."""
+    names = FX.raw_lca(spark, sf).select("source_file").unionByName(FX.raw_perm(spark, sf).select("source_file"))
+    return (names.select(F.col("source_file").alias("file_name"), route_of("source_file").alias("route"))
+            .groupBy("file_name", "route").agg(F.count("*").alias("rows")))
+
+
+@register("d9_load_stamps", """
+SELECT 'lca_filings' AS table_name, fiscal_year, COUNT(*) AS rows, COUNT(*) AS stamped, true AS not_before_load FROM lca_fact GROUP BY 2
+UNION ALL SELECT 'perm_filings', fiscal_year, COUNT(*), COUNT(*), true FROM perm_fact GROUP BY 2""")
+def d9(spark, sf):
+    """Rows with a load stamp, which is none before the start of the load that the run log names."""
+    wh = _ld(spark, sf).wh
+    runs = wh.read("etl_runs").where("status = 'success'").groupBy("source").agg(F.min("started_at").alias("started"))
+    parts = []
+    for table, kind in (("lca_filings", "lca"), ("perm_filings", "perm")):
+        rows = wh.read(table).join(runs.where(F.col("source") == kind))          # one row of the run log
+        parts.append(rows.groupBy("fiscal_year").agg(
+            F.lit(table).alias("table_name"), F.count("*").alias("rows"), F.count("loaded_at").alias("stamped"),
+            F.bool_and(F.col("loaded_at") >= F.col("started")).alias("not_before_load")))
+    return parts[0].unionByName(parts[1])
+
+
+@register("x20_list_argument", """
+, lists AS (SELECT n_regionkey, string_agg(' ' || n_name || CASE n_nationkey % 3 WHEN 0 THEN ' , ' WHEN 1 THEN ',' ELSE '' END, ',' ORDER BY n_nationkey) AS arg
+  FROM nation GROUP BY 1)
+SELECT n_regionkey, unnest(list_filter(list_transform(string_split(arg, ','), lambda x: trim(x)), lambda x: x <> '')) AS item FROM lists""")
+def x20(spark, sf):
+    """Lists of nations as an argument with blanks and empty parts."""
+    part = F.concat(F.lit(" "), "n_name", F.when(F.col("n_nationkey") % 3 == 0, " , ").when(F.col("n_nationkey") % 3 == 1, ",").otherwise(""))
+    lists = (spark.read.parquet(f"{sf}/nation.parquet").groupBy("n_regionkey")
+             .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n_nationkey", part.alias("p")))), lambda x: x["p"]), ",").alias("arg")))
+    return lists.select("n_regionkey", F.explode(split_list("arg")).alias("item"))
+
+
+@register("b15_description", "SELECT column_name AS col_name, lower(column_type) AS data_type FROM (DESCRIBE SELECT * FROM sponsorships)")
+def b15(spark, sf):
+    """Column names and types of the extract, in SQL's names of types."""
+    _s(spark, sf).createOrReplaceTempView("sponsorships")
+    names = F.create_map(*[F.lit(x) for x in ("string", "varchar", "int", "integer")])
+    return H.describe(spark).select("col_name", F.coalesce(names[F.col("data_type")], "data_type").alias("data_type"))
+
+
 def queries() -> dict[str, Spark]:
     return {k: fn for k, (fn, _) in _REG.items()}
 

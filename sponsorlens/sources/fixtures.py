@@ -9,6 +9,8 @@ columns are strings under upper-case headers, plus ``source_file`` and
 """
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,9 +103,7 @@ def raw_lca(spark: SparkSession, sf_dir: str) -> DataFrame:
         prevailing.alias("PREVAILING_WAGE"),
         unit.alias("PW_UNIT_OF_PAY"),
         F.col("l_quantity").cast("bigint").cast("string").alias("TOTAL_WORKER_POSITIONS"),
-        F.concat(_date_str(F.col("l_shipdate")), F.lit("-"),
-                 F.lpad(F.col("l_partkey").cast("string"), 10, "0"), F.lit("-"),
-                 F.lpad(F.col("l_suppkey").cast("string"), 10, "0")).alias("row_seq"),
+        _line_order().alias("row_seq"),
         F.concat(F.lit("lca_fy_"), F.year("o_orderdate").cast("string"), F.lit(".csv")).alias("source_file"),
     )
     # The raw files pass through the CSV reader's missing-value tokens.
@@ -111,6 +111,13 @@ def raw_lca(spark: SparkSession, sf_dir: str) -> DataFrame:
                         for c in raw.columns])
 
 
+def _line_order() -> Column:
+    """Ship date, part and supplier as one number."""
+    day = F.unix_date(F.col("l_shipdate").cast("date")).cast("decimal(17,0)")
+    low = F.col("l_partkey").cast("decimal(20,0)") * F.lit(Decimal(10) ** 10) + F.col("l_suppkey")
+    return (day * F.lit(Decimal(10) ** 20) + low).cast("decimal(38,0)")
+
+
 def raw_perm(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus",
                                         "o_totalprice", "o_orderdate"])
@@ -145,7 +152,7 @@ def raw_lca_by_ship_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_lca(spark, sf_dir)
     return raw.withColumns({
         "CASE_NUMBER": F.regexp_replace("CASE_NUMBER", r"-\d+$", ""),
-        "source_file": F.concat(F.lit("lca_ship_"), F.substring("row_seq", 1, 4), F.lit(".csv"))})
+        "source_file": F.concat(F.lit("lca_ship_"), F.substring("DECISION_DATE", 1, 4), F.lit(".csv"))})
 
 
 #: Columns that files of odd years lack, and how all files name the others there.
@@ -181,3 +188,15 @@ def raw_lca_as_files(raw: DataFrame, root: str) -> list[str]:
              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
         out += spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(path).inputFiles()
     return out
+
+
+def download_log(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """``events`` as download logs in event order: an error is a failed attempt (and its cause in the
+    next line), anything else a landed file; views name no route. One log for each range of events."""
+    e = _read(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "value"])
+    file = F.concat(F.lit("LCA_"), F.col("user_id").cast("string"), F.lit(".xlsx"))
+    lines = (F.when(F.col("event_type") == "error", F.concat(F.lit("FAIL "), file, F.lit("\n     attempt 1: HTTPError: 404")))
+             .when(F.col("event_type") == "view", F.concat(F.lit("OK   "), file, F.lit(" "), F.col("value").cast("string"), F.lit("MB")))
+             .otherwise(F.concat(F.lit("OK   "), file, F.lit(" "), F.col("value").cast("string"), F.lit("MB via "), F.col("event_type"), F.lit(" mirror"))))
+    e.repartitionByRange("event_id").sortWithinPartitions("event_id").select(lines.alias("line")).write.text(root)
+    return root

@@ -6,6 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import new_dir
+from .raw import places
+
 MIN_MB = 2.0   # smaller files are error pages, not disclosure workbooks
 
 
@@ -22,23 +25,26 @@ def landed_files(spark: SparkSession, root: str, glob: str = "*", min_mb: float
 
 
 def parse_download_log(spark: SparkSession, path: str) -> DataFrame:
-    """``OK   <file> <mb>MB via <route>`` / ``FAIL <file>`` lines with their
-    line number (a log is read whole per file to keep its order)."""
-    lines = (spark.read.option("wholetext", True).text(path)
-             .select(F.posexplode(F.split("value", "\n")).alias("line_no", "line")))
-    status = F.regexp_extract("line", r"^(OK|FAIL)\s+(\S+)", 1)
-    return (lines.where(status != "")
-            .select("line_no", status.alias("status"),
-                    F.regexp_extract("line", r"^(OK|FAIL)\s+(\S+)", 2).alias("file_name"),
-                    F.regexp_extract("line", r"\s([0-9.]+)MB\b", 1).try_cast("double").alias("size_mb"),
-                    F.when(F.col("line").contains(" via "),
-                           F.regexp_extract("line", r" via (.*)$", 1)).alias("via")))
+    """``OK   <file> <mb>MB via <route>`` / ``FAIL <file>`` lines with the log they are in and their
+    line number there. Logs are read in splits; a split's byte offset and the place in it give a
+    line's order, and the counts of the splits before it its number."""
+    word = lambda k: F.regexp_extract("value", r"^(OK|FAIL)\s+(\S+)", k)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("log"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"), word(1).alias("status"), word(2).alias("file_name"),
+        F.regexp_extract("value", r"\s([0-9.]+)MB\b", 1).try_cast("double").alias("size_mb"),
+        F.when(F.col("value").contains(" via "), F.regexp_extract("value", r" via (.*)$", 1)).alias("via"))
+    out = new_dir(spark, "log")
+    lines.write.parquet(out)
+    numbered = places(spark.read.schema(lines.schema).parquet(out), ["log"], "block", "pos")
+    return (numbered.where(F.col("status") != "")
+            .select("log", F.col("place").alias("line_no"), "status", "file_name", "size_mb", "via"))
 
 
 def last_outcome(log: DataFrame) -> DataFrame:
-    """Per file, the outcome of its last log line."""
+    """Per file, the outcome of its last log line (logs in name order)."""
     return (log.groupBy("file_name")
-               .agg(F.max_by(F.struct("status", "size_mb", "via"), "line_no").alias("_l"),
+               .agg(F.max_by(F.struct("status", "size_mb", "via"), F.struct("log", "line_no")).alias("_l"),
                     F.count("*").alias("attempts"))
                .select("file_name", "_l.status", "_l.size_mb", "_l.via", "attempts"))
 

@@ -1,18 +1,16 @@
 """Raw disclosure files: all-string scans with tolerant headers."""
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.scalars import na_to_null
 
 
-HEADERS_AT_ONCE = 16
-
-
 def normalise_headers(df: DataFrame) -> DataFrame:
     """Strip and upper-case every header (A2)."""
     return df.toDF(*[c.strip().upper() for c in df.columns])
@@ -36,6 +34,11 @@ def is_perm_file(name: str) -> bool:
     return "PERM" in name.upper()
 
 
+def route_of(name: str | Column) -> Column:
+    """The kind of file that a name tells, as a column."""
+    return F.when(F.upper(name).contains("PERM"), "perm").otherwise("lca")
+
+
 def _csv_reader(spark: SparkSession, multiline: bool):
     return (spark.read
             .option("header", True)
@@ -46,37 +49,45 @@ def _csv_reader(spark: SparkSession, multiline: bool):
             .option("mode", "PERMISSIVE"))
 
 
-def _read_group(spark: SparkSession, paths: list[str], header: tuple[str, ...], needed: list[str],
-                multiline: bool) -> DataFrame:
-    """One split scan over all files that share a header layout."""
+def _read_group(spark: SparkSession, paths: list[str], needed: list[str], multiline: bool) -> DataFrame:
+    """One scan over all files that share a header layout."""
     df = _csv_reader(spark, multiline).csv(paths)
-    raw_cols = list(header)
-    norm = [c.strip().upper() for c in raw_cols]
+    norm = [c.strip().upper() for c in df.columns]
     keep = []
     for name in needed:
         if name in norm:
-            src = df.columns[norm.index(name)]
-            keep.append(na_to_null(F.col(f"`{src}`")).alias(name))      # A3
+            keep.append(na_to_null(F.col(f"`{df.columns[norm.index(name)]}`")).alias(name))      # A3
         else:
             keep.append(F.lit(None).cast("string").alias(name))         # A4
-    # Row order inside a file: the split's byte offset, then the row's
-    # position inside the task (monotonic within a partition).
-    row_seq = F.struct(F.col("_metadata.file_block_start").alias("block"),
-                       F.monotonically_increasing_id().alias("pos"))
+    # Row order inside a file, as one number (so that grouped maxima stay in a hash aggregate): the
+    # split's byte offset, then the row's place among the rows of its task.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    row_seq = (F.col("_metadata.file_block_start").cast("decimal(20,0)") * F.lit(1 << 33).cast("decimal(11,0)") + place.cast("decimal(11,0)"))
     return df.select(*keep,
                      F.col("_metadata.file_name").alias("source_file"),
                      F.col("_metadata.file_path").alias("source_path"),
-                     row_seq.alias("row_seq"))
+                     row_seq.cast("decimal(38,0)").alias("row_seq"))
+
 
+def _file_heads(spark: SparkSession, paths: list[str], known: list[str]) -> dict[str, tuple[str | None, bool]]:
+    """Per file, by path: its header line and whether a quoted cell goes on in the next line (some line
+    has an odd number of quotes). One pass over the lines, in splits; the driver gets a row a file.
 
-def _broken_lines(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Files with a quoted cell that goes on in the next line: some line of
-    theirs has an odd number of quotes. One pass over the lines; the driver
-    gets file names only."""
+    The header is the first line of the file's first split. Only lines there that name a known column
+    are sent on, so the aggregate holds next to nothing; a file whose first line names none has no header (None)."""
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    found = (spark.read.text(paths).where(quotes % 2 == 1)
-             .select(F.col("_metadata.file_name").alias("f")).distinct().collect())
-    return {r["f"] for r in found}
+    head = F.col("block") == 0
+    names = "|".join(sorted(set(known)))
+    # Within a split, and so within a file's first one, later lines have larger numbers.
+    lines = spark.read.text(paths).select(
+        "value", (quotes % 2 == 1).alias("odd"), F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
+    heads = lines.groupBy("path").agg(
+        F.max("odd").alias("broken"), F.min(F.when(head, F.col("pos"))).alias("first"),
+        F.collect_list(F.when(head & F.upper("value").rlike(names), F.struct("pos", "value"))).alias("named"))
+    named = F.array_min("named")
+    found = heads.select("path", "broken", F.when(named["pos"] == F.col("first"), named["value"]).alias("header")).collect()
+    return {unquote(r["path"]): (r["header"], r["broken"]) for r in found}
 
 
 def read_raw_csv(spark: SparkSession, paths: list[str], needed: list[str] | None = None,
@@ -86,28 +97,21 @@ def read_raw_csv(spark: SparkSession, paths: list[str], needed: list[str] | None
     and row-order column (A1-A4, A6).
 
     Headers differ between fiscal years, and a multi-file CSV scan maps
-    columns by position using one header. So the header line of each file is
-    read first (many files at a time), files are grouped by identical header,
-    and each group is one scan; the groups are unioned by name. Files whose
-    cells hold line breaks are scanned whole, the others in splits;
-    ``multiline`` says which it is instead of a look at the lines.
+    columns by position using one header. So one pass over the lines finds
+    every file's header line, files are grouped by it, and each layout is one
+    scan, whose columns come from the header of one of its files; the scans
+    are unioned by name. Files whose cells hold line breaks are scanned whole,
+    the others in splits; ``multiline`` says which it is instead of the look at the
+    lines. A file without any of the needed headers gives NULLs.
     """
     needed = needed or S.LCA_NEEDED_COLS
-    whole = _broken_lines(spark, paths) if multiline is None else {p.rsplit("/", 1)[-1] for p in paths} if multiline else set()
-
-    def layout(p: str) -> tuple[tuple[str, ...], bool]:
-        lines = p.rsplit("/", 1)[-1] in whole
-        return tuple(_csv_reader(spark, lines).csv(p).columns), lines
-
     groups: dict[tuple, list[str]] = {}
-    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
-        for p, key in zip(sorted(paths), pool.map(layout, sorted(paths))):
-            groups.setdefault(key, []).append(p)
-    parts = [_read_group(spark, files, header, needed, lines) for (header, lines), files in groups.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    for path, (header, broken) in sorted(_file_heads(spark, paths, needed).items()):
+        groups.setdefault((header, broken if multiline is None else multiline), []).append(path)
+    parts = [_read_group(spark, files, needed, lines) for (_, lines), files in groups.items()]
+    if not parts:                                                        # files without a line
+        parts = [_read_group(spark, paths, needed, False)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_raw_perm_csv(spark: SparkSession, paths: list[str], multiline: bool | None = None) -> DataFrame:
@@ -115,6 +119,16 @@ def read_raw_perm_csv(spark: SparkSession, paths: list[str], multiline: bool | N
     return read_raw_csv(spark, paths, S.PERM_COLS, multiline)
 
 
+def places(rows: DataFrame, group: list[str], block: str, pos: str) -> DataFrame:
+    """``rows`` (a written table) with ``place``, their 0-based number in their group: blocks in their
+    order, and ``pos``, consecutive numbers, inside a block. Only one count a block is ranked."""
+    counts = rows.groupBy(*group, block).agg(F.count("*").alias("_n"), F.min(pos).alias("_first"))
+    before = (Window.partitionBy(*(group or [F.lit(0)])).orderBy(block).rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first"))
+    joined = rows.join(counts.drop("_n", "_first"), [*group, block])
+    return joined.select(*rows.columns, (F.col(pos) + F.col("_shift")).alias("place"))
+
+
 def list_raw_files(spark: SparkSession, root: str, suffixes=(".csv",)) -> DataFrame:
     """Landed raw files under ``root`` with LCA/PERM routing (A6, A7), as a
     DataFrame from a metadata-only binary-file scan."""
@@ -129,4 +143,4 @@ def list_raw_files(spark: SparkSession, root: str, suffixes=(".csv",)) -> DataFr
         cond = c if cond is None else (cond | c)
     return (df.where(cond)
             .withColumn("file_name", name)
-            .withColumn("route", F.when(F.upper(name).contains("PERM"), "perm").otherwise("lca")))
+            .withColumn("route", route_of(name)))

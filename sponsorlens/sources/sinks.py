@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..operators.topk import leading_rows
+from ..session import new_dir
+from .raw import places
 
 CSV_DOWNLOAD_CAP = 100_000
 
@@ -38,12 +40,12 @@ def write_perm_extract(v3: DataFrame, out: str) -> str | None:
 def write_csv_download(df: DataFrame, out: str, order: list | None = None,
                        cap: int = CSV_DOWNLOAD_CAP) -> str:
     """Quoted CSV with byte-order mark and header, at most ``cap`` rows in the
-    given order (A15). ``cap`` is the feature (the download limit), not a
-    shortcut; no more than these rows reach the one task that writes the file."""
+    given order (A15). ``cap`` is the feature (the download limit). Rows are dealt by ranges
+    of the order and each range is a file, a whole CSV with its header: the files in order of
+    their names are the download. Without ``order`` the rows are taken as they come."""
     rows = leading_rows(df, order, cap) if order else df.limit(cap)
     first, *rest = df.columns
     (rows.select(F.col(f"`{first}`").alias("\ufeff" + first), *[F.col(f"`{c}`") for c in rest])
-       .coalesce(1)
        .write.mode("errorifexists")
        .option("header", True).option("quote", '"').option("escape", '"')
        .option("quoteAll", False).option("lineSep", "\r\n")
@@ -51,6 +53,17 @@ def write_csv_download(df: DataFrame, out: str, order: list | None = None,
     return out
 
 
+def read_csv_download(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of a written download with ``place``, their number in it. Cells may hold line breaks, so
+    a file is read in one piece; a download has a file for each range."""
+    rows = (spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("multiLine", True)
+            .option("quote", '"').option("escape", '"').csv(path)
+            .select("*", F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_pos")))
+    kept = new_dir(spark, "download")
+    rows.write.parquet(kept)
+    return places(spark.read.schema(rows.schema).parquet(kept), [], "_file", "_pos").select(*schema.fieldNames(), "place")
+
+
 def register_extracts(spark, sponsorships_path: str, green_cards_path: str | None = None) -> bool:
     """Register the extracts as ``sponsorships`` / ``green_cards`` (A14);
     returns whether PERM data is present."""
