@@ -40,7 +40,7 @@ from .common import table, written
 
 LEAST = 100
 GRAM = 32
-SHARD = 16_000_000             # bytes of text in a shard, on average
+SHARD = 16_000_000             # bytes of text in a shard, at most on average
 HELD = 1_000_000               # bytes of text gone through together
 BUCKET = 2_000_000             # bytes of contexts in a bucket, on average
 RUNS = 8                       # transforms that are merged in a bucket
@@ -55,14 +55,14 @@ def scattered(x: np.ndarray) -> np.ndarray:
 
 
 class Scan:
-    """Contexts of a block of texts: document, first window, windows, and 64-bit names of anchor and context."""
+    """Contexts of a block of texts: document, first window, windows, and a 64-bit name of the anchor."""
 
     def __init__(self, texts: list[bytes]):
         lens = np.array([len(t) for t in texts], np.int64)
         self.text = b"".join(texts)
         self.begin = np.cumsum(lens) - lens
         self.doc = self.first = self.windows = np.zeros(0, np.int64)
-        self.anchor = self.name = np.zeros(0, np.uint64)
+        self.anchor = np.zeros(0, np.uint64)
         n = len(self.text)
         if n < LEAST:
             return
@@ -99,16 +99,16 @@ class Scan:
         self.doc = np.searchsorted(self.begin, cut, "right") - 1
         self.first, self.windows = cut, count
         self.anchor = scattered(h[place[cut]])
-        self.a = a
 
-    def named(self, some: np.ndarray) -> np.ndarray:
-        """Names of some contexts, by a polynomial of their bytes."""
-        n = len(self.text)
-        powers = np.cumprod(np.full(n, M1))
-        back = np.cumprod(np.full(n, np.uint64(pow(int(M1), -1, 1 << 64))))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(scattered((self.a + np.uint64(1)) * M1) * powers)])
-        s, e = self.first[some], self.first[some] + self.windows[some] + LEAST - 1
-        return scattered((sums[e] - sums[s]) * back[s] ^ scattered(self.anchor[some] + self.windows[some].astype(np.uint64)))
+    def spelled(self, some: np.ndarray) -> np.ndarray:
+        """Numbers of some contexts; equal texts have the same."""
+        number: dict[bytes, int] = {}
+        out = np.empty(len(some), np.int64)
+        e = self.first[some] + self.windows[some] + LEAST - 1
+        for k in range(0, len(some), 20_000):
+            part = some[k : k + 20_000]
+            out[k : k + 20_000] = [number.setdefault(self.text[x:y], len(number)) for x, y in zip(self.first[part].tolist(), e[k : k + 20_000].tolist())]
+        return out
 
 
 def blocks_of(rows: Iterator[tuple], held: int = HELD) -> Iterator[list[tuple]]:
@@ -205,7 +205,7 @@ def contexts(docs: DataFrame, anchors: DataFrame) -> DataFrame:
                 at = scan.first[i]
                 s = at - scan.begin[d]
                 e = s + scan.windows[i] + LEAST - 1
-                gone = later(scan.named(i), doc_id, s)
+                gone = later(scan.spelled(i), doc_id, s)
                 hd, hs, he = spans_of(doc[gone], s[gone], e[gone])
                 m = len(hd)
                 yield pa.RecordBatch.from_arrays([pa.array([True] * m, pa.bool_()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()),
@@ -347,10 +347,14 @@ def bucket_hits(df: pd.DataFrame) -> pd.DataFrame:
     gone = later(np.fromiter(map(number.__getitem__, text), np.int64, len(text)), doc_id, s)
     found = [(doc[gone], s[gone], e[gone])]
     kept = np.flatnonzero(~gone)
+    # Equal windows have equal anchors, so a context whose anchor is left with no other can't repeat one.
+    anchor = df["anchor"].to_numpy(np.int64)[kept]
+    _, at, count = np.unique(anchor, return_inverse=True, return_counts=True)
+    kept = kept[count[at] > 1]
     run = df["shard"].to_numpy(np.int64)[kept] % RUNS
     shards = [kept[run == k] for k in np.unique(run)]
-    interval, shard, string, place = repeated_windows([[text[i] for i in x] for x in shards])
-    if len(interval):
+    if shards:
+        interval, shard, string, place = repeated_windows([[text[i] for i in x] for x in shards])
         which = np.empty(len(interval), np.int64)
         for k, x in enumerate(shards):
             which[shard == k] = x[string[shard == k]]
@@ -421,7 +425,8 @@ def kept_texts(docs: DataFrame, hits: DataFrame, text: bool = False) -> DataFram
 def dedup(docs: DataFrame, text: bool = False, shard: int = SHARD, bucket: int = BUCKET, hot: int = HOT) -> DataFrame:
     """``kept_texts`` of ``docs`` (doc_id, text) without the bytes of repeated strings."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-size // shard))
+    # Some shards a partition, so that partitions are alike.
+    shards = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // shard))
     body = F.coalesce("text", F.lit(""))
     name = F.xxhash64("doc_id", body)
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), name.alias("doc"),
@@ -436,7 +441,7 @@ def dedup(docs: DataFrame, text: bool = False, shard: int = SHARD, bucket: int =
     if not frequent.isEmpty():
         hits = hits.unionByName(hot_hits(some.join(frequent, "anchor", "left_semi")))
         even = some.join(frequent, "anchor", "left_anti")
-    even = even.withColumn("bucket", F.pmod("anchor", F.lit(n))).select("bucket", "shard", "doc_id", "doc", "s", "e", "context")
+    even = even.withColumn("bucket", F.pmod("anchor", F.lit(n))).select("bucket", "anchor", "shard", "doc_id", "doc", "s", "e", "context")
     hits = hits.unionByName(even.groupBy("bucket").applyInPandas(bucket_hits, "doc long, s long, e long"))
     hits = written(hits.withColumn("shard", F.pmod("doc", F.lit(shards)).cast("int")), "hits")
     return kept_texts(docs, hits, text)
