@@ -2,9 +2,11 @@
 from __future__ import annotations
 
 import builtins
+import pickle
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,6 +105,26 @@ def worker_cache(key: object, make: Callable[[], object]) -> object:
     return held[key]
 
 
+class Shared:
+    """A broadcast value of any class: ``sparkContext.broadcast`` pickles objects by the name of their
+    class, which workers without the repository on their path can't import, so its bytes are pickled by value."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self) -> object:
+        if "got" not in self.__dict__:
+            self.got = pickle.loads(self.held.value)
+        return self.got
+
+    def __getstate__(self) -> dict:
+        return {"held": self.held}
+
+    def unpersist(self) -> None:
+        self.held.unpersist()
+
+
 def words_of(text: bytes) -> list[bytes]:
     """Maximal runs of [0-9a-z] and non-ASCII, after lower-casing A-Z."""
     return text.translate(WORD_BYTES).split()

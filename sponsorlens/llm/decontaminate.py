@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import add_columns, fresh_name, table, with_outputs, words_of, written
+from .common import Shared, add_columns, fresh_name, table, with_outputs, words_of, written
 
 WINDOW = 10
 SHARD_WORDS = 500_000
@@ -238,7 +238,7 @@ def _hits(docs: DataFrame, text: str, phrases: Phrases, shard_words: int, cleane
     full, kept = with_outputs(docs, "n_words long, word_spans array<struct<s:int,e:int>>, item_ids array<string>"
                               + (f", `{cleaned}` string" if cleaned else ""))
     arrow = to_arrow_schema(full)
-    shared = docs.sparkSession.sparkContext.broadcast(phrases)
+    shared = Shared(docs.sparkSession, phrases)
 
     def answer(rows: pa.Table, words: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
         p = shared.value
