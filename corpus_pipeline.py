@@ -12,15 +12,14 @@ text, n_chars follows it. Each stage sees all rows that the one before kept.
 """
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sponsorlens.llm import decontaminate, minhash_dedup, quality_crf, secret_scan, sentencepiece_codec
 from sponsorlens.llm.common import fresh_name, table, written
 
-TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +55,7 @@ def counted_again(changed: DataFrame, docs: DataFrame, where) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, the ids and the text that they decode to."""
-    coded = sentencepiece_codec.encode(docs, os.path.join(TOKENIZERS, "piece_bpe_32k.model"), decoded="decoded")
+    coded = sentencepiece_codec.encode(docs, MODEL, decoded="decoded")
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_name, table, words_of, written
+from .common import WORD_BYTES, Shared, fresh_name, table, written
 from .components import components
 
 WORDS = 5
@@ -51,9 +51,9 @@ RARE = 0.001
 BLOCK = 400                  # classes compared in one task
 HELD_SHINGLES = 2_500_000    # of documents counted together by a task
 BLOCK_DOCUMENTS = 2000       # that a task should count together, on average
-KNOWN_WORDS = 250_000
+BLOCK_TEXT = 1_000_000       # bytes of text hashed together
 WANTED_BOUND = 2_000_000     # classes whose ids may be broadcast (16 bytes each)
-HEAVY_BLOCK = 2_000_000      # candidates counted in one pass (8 bytes each)
+HEAVY_BLOCK = 1_000_000      # candidates counted in one pass (8 bytes each)
 BLOCK_BYTES = 16_000_000     # of features in a block, on average
 
 
@@ -65,25 +65,76 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Hashes of word shingles, with a bounded table of word hashes."""
+    """Hashes of word shingles. Words are hashed without being cut out: a polynomial of a word's bytes
+    is a difference of running sums over a block of texts, so a block costs a few passes of numpy."""
 
     def __init__(self):
-        import xxhash
-
-        self.hash = xxhash.xxh64_intdigest
-        self.known: dict[bytes, int] = {}
+        r = np.random.default_rng(11)
+        lowered = np.frombuffer(WORD_BYTES, np.uint8)
+        self.part = lowered != 32
+        self.value = np.where(self.part, r.integers(1, 1 << 63, 256, np.uint64)[lowered], np.uint64(0))
+        self.grow(BLOCK_TEXT)
+
+    def grow(self, n: int) -> None:
+        m = 0xD1342543DE82EF95
+        self.power = np.cumprod(np.full(n + 1, np.uint64(m)))
+        self.inverse = np.cumprod(np.full(n + 1, np.uint64(pow(m, -1, 1 << 64))))
+
+    def words(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of a text's words, and where they start."""
+        a = np.frombuffer(text, np.uint8)
+        if len(a) > len(self.power):
+            self.grow(len(a))
+        edge = np.flatnonzero(np.diff(self.part[a], prepend=False, append=False))
+        s, e = edge[::2], edge[1::2]
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(self.value[a] * self.power[: len(a)])])
+        return mixed((sums[e] - sums[s]) * self.inverse[s]), s
+
+    def pieces(self, text: bytes) -> Iterator[bytes]:
+        """A long text in parts that don't cut words."""
+        at = 0
+        while len(text) - at > BLOCK_TEXT:
+            end = at + BLOCK_TEXT
+            while end < len(text) and self.part[text[end]]:
+                end += 1
+            yield text[at:end]
+            at = end
+        yield text[at:]
 
     def __call__(self, text: str | bytes | None) -> np.ndarray:
         """Shingles in order of place, repeated ones too."""
-        words = words_of(text.encode() if isinstance(text, str) else text or b"")
-        if not words:
+        return next(self.many([text]))
+
+    def many(self, texts: list[str | bytes | None]) -> Iterator[np.ndarray]:
+        """Shingles of each text."""
+        block: list[bytes] = []
+        size = 0
+        for t in texts:
+            t = t.encode() if isinstance(t, str) else t or b""
+            if block and size + len(t) > BLOCK_TEXT:
+                yield from self.block(block)
+                block, size = [], 0
+            if len(t) > BLOCK_TEXT:
+                yield self.shingles(np.concatenate([self.words(p)[0] for p in self.pieces(t)]))
+                continue
+            block.append(t)
+            size += len(t) + 1
+        yield from self.block(block)
+
+    def block(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        if not texts:
+            return
+        w, s = self.words(b" ".join(texts))
+        lens = np.array([len(t) + 1 for t in texts])
+        cut = np.searchsorted(s, np.concatenate([[0], np.cumsum(lens)]))
+        whole = self.shingles(w) if len(w) >= WORDS else None
+        for x, y in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            yield whole[x : y - WORDS + 1] if y - x >= WORDS else self.shingles(w[x:y])
+
+    @staticmethod
+    def shingles(w: np.ndarray) -> np.ndarray:
+        if not len(w):
             return np.zeros(0, np.uint64)
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        known = self.known
-        for w in set(words).difference(known):
-            known[w] = self.hash(w)
-        w = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         n = max(1, len(w) - WORDS + 1)
         out = np.zeros(n, np.uint64)
         for i in range(min(WORDS, len(w))):
@@ -162,28 +213,32 @@ def _block_shingles(docs: DataFrame, n: int, t: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Shingler()
         held: list[np.ndarray] = []
+        full: list[np.ndarray] = []
         size = 0
 
-        def out():
-            distinct, count = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(distinct[count > (t - 1) * len(held) // n].view(np.int64))], names=["s"])
+        def out(block):
+            distinct, count = np.unique(np.concatenate(block), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(distinct[count > (t - 1) * len(block) // n].view(np.int64))], names=["s"])
 
         for b in batches:
-            for x in b.column(0).to_pylist():
-                held.append(np.unique(cut(x)))
+            for s in cut.many(b.column(0).to_pylist()):
+                held.append(np.unique(s))
                 size += len(held[-1])
                 if size > HELD_SHINGLES:
-                    yield out()
-                    held, size = [], 0
-        if held:
-            yield out()
-
-    # Tasks of few documents would have a share below one, and emit every shingle.
+                    if full:
+                        yield out(full)
+                    full, held, size = held, [], 0
+        # What is left is counted with the last full block: few documents by themselves would
+        # have a share below one, and emit every shingle.
+        if full or held:
+            yield out(full + held)
+
+    # The same holds for tasks of few documents.
     return docs.select("text").coalesce(max(1, n // BLOCK_DOCUMENTS)).mapInArrow(run, "s long").distinct()
 
 
-def _document_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """(s, df) of the shingles in a sorted array."""
+def _document_counts(docs: DataFrame, wanted: np.ndarray, tasks: int) -> DataFrame:
+    """(s, df) of the shingles in a sorted array, counted in at most some tasks."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,8 +248,7 @@ def _document_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
         slot[(wanted & mask).astype(np.int64)] = True
         df = np.zeros(len(wanted), np.int64)
         for b in batches:
-            for x in b.column(0).to_pylist():
-                s = cut(x)
+            for s in cut.many(b.column(0).to_pylist()):
                 s = np.unique(s[slot[(s & mask).astype(np.int64)]])
                 at = np.minimum(np.searchsorted(wanted, s), len(wanted) - 1)
                 df[at[wanted[at] == s]] += 1
@@ -203,7 +257,7 @@ def _document_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
             i = some[k : k + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(wanted[i].view(np.int64)), pa.array(df[i])], names=["s", "n"])
 
-    return docs.select("text").mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("df"))
+    return docs.select("text").coalesce(tasks).mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("df"))
 
 
 def weigh(docs: DataFrame) -> Weights:
@@ -213,20 +267,22 @@ def weigh(docs: DataFrame) -> Weights:
     if not n:
         return Weights(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, t)
     found = written(_block_shingles(docs, n, t), "candidates")
+    blocks = max(1, n // BLOCK_DOCUMENTS)                 # a task emits a row for each candidate that it meets
     passes = max(1, -(-found.count() // HEAVY_BLOCK))
     heavy: list[tuple[int, int]] = []
     for k in range(passes):
         part = found.filter(F.pmod(F.xxhash64("s"), F.lit(passes)) == k) if passes > 1 else found
-        wanted = np.sort(part.toPandas()["s"].to_numpy(np.int64).view(np.uint64))
+        # At most HEAVY_BLOCK or so numbers of 8 bytes, as Arrow buffers.
+        wanted = np.sort(part.toArrow().column("s").to_numpy().view(np.uint64))
         if len(wanted):
-            heavy += [(r.s, r.df) for r in _document_counts(docs, wanted).filter(F.col("df") >= t).collect()]
+            heavy += [(r.s, r.df) for r in _document_counts(docs, wanted, blocks).filter(F.col("df") >= t).collect()]
     both = np.array(heavy, np.int64).reshape(-1, 2)
     return Weights(both[:, 0].copy().view(np.uint64), both[:, 1], n, t)
 
 
 def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
     """(doc_id, node, sig, bands) of every document; sig and bands are null for texts without words."""
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    shared = Shared(docs.sparkSession, weights)
     schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,21 +292,21 @@ def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 b = whole.slice(at, 2000)
-                rows = []
-                for d, node, x in zip(*(c.to_pylist() for c in b.columns)):
-                    if node not in last:
-                        s, c = np.unique(cut(x), return_counts=True)
-                        got = (None, None)
-                        if len(s):
-                            z = sample(s, weights.of(s, c))
-                            key = number.copy()
-                            for i in range(ROWS):
-                                key = mixed(key ^ z.reshape(BANDS, ROWS)[:, i])
-                            got = ((z & np.uint64(0xFFFF)).astype("<u2").tobytes(), key.view(np.int64))
-                        if len(last) > 20_000:
-                            last.clear()
-                        last[node] = got
-                    rows.append((d, node, *last[node]))
+                ids, nodes, texts = (c.to_pylist() for c in b.columns)
+                if len(last) > 20_000:
+                    last.clear()
+                new = {k: x for k, x in zip(nodes, texts) if k not in last}
+                for k, shingles in zip(new, cut.many(list(new.values()))):
+                    s, c = np.unique(shingles, return_counts=True)
+                    got = (None, None)
+                    if len(s):
+                        z = sample(s, weights.of(s, c))
+                        key = number.copy()
+                        for i in range(ROWS):
+                            key = mixed(key ^ z.reshape(BANDS, ROWS)[:, i])
+                        got = ((z & np.uint64(0xFFFF)).astype("<u2").tobytes(), key.view(np.int64))
+                    last[k] = got
+                rows = [(d, k, *last[k]) for d, k in zip(ids, nodes)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long"), node().alias("node"), "text").mapInArrow(run, "doc_id long, node long, sig binary, bands array<long>")
@@ -316,18 +372,48 @@ def candidate_pairs(classes: DataFrame) -> DataFrame:
     g = F.ceil(F.col("size") / BLOCK).cast("int")
     blocks = entries.join(shared, "key").withColumn("g", g).withColumn("mine", F.pmod(F.xxhash64("node", "key"), F.col("g")).cast("int"))
 
-    def inside(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values("node")
-        nodes = df.node.to_numpy(np.int64)
-        pairs, root = bucket_pairs(nodes, np.stack([np.frombuffer(s, "<u2") for s in df.sig]))
-        # No nulls: pandas would make numbers beside them floating, and ids have 64 bits.
-        rows = [(False, min(p), max(p), 0, 0, 0, b"") for p in pairs]
-        if df.g.iloc[0] > 1:                              # some of every cluster meet other blocks
-            order = np.argsort(root, kind="stable")
-            place = np.arange(len(order)) - np.searchsorted(root[order], root[order])
-            rows += [(True, int(nodes[i]), 0, int(df.key.iloc[0]), int(df.mine.iloc[0]), int(df.g.iloc[0]), df.sig.iloc[i])
-                     for i in order[place < BEST]]
-        return pd.DataFrame(rows, columns=["leads", "a", "b", "key", "mine", "g", "sig"])
+    schema = pa.schema([("leads", pa.bool_()), *((c, pa.int64()) for c in ("a", "b", "key")), ("mine", pa.int32()), ("g", pa.int32()), ("sig", pa.binary())])
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks come in order; those of two, nearly all, are compared in one step."""
+        def rows(leads, a, b, key, mine, g, sig):
+            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((leads, a, b, key, mine, g, sig), schema)], schema=schema)
+
+        def answer(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            key, mine, g, node = (t.column(c).to_numpy() for c in ("key", "mine", "g", "node"))
+            sigs = np.frombuffer(b"".join(t.column("sig").to_pylist()), "<u2").reshape(len(key), -1)
+            edge = np.append(np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (mine[1:] != mine[:-1])])), len(key))
+            size = np.diff(edge)
+            two = edge[:-1][(size == 2) & (g[edge[:-1]] == 1)]
+            two = two[(sigs[two] == sigs[two + 1]).mean(1) >= MAYBE]
+            pairs = [np.stack([node[two], node[two + 1]], 1)]
+            many = (size > 2) | (g[edge[:-1]] > 1)
+            for x, y in zip(edge[:-1][many].tolist(), edge[1:][many].tolist()):
+                found, root = bucket_pairs(node[x:y], sigs[x:y])
+                pairs.append(np.array(found, np.int64).reshape(-1, 2))
+                if g[x] > 1:                              # some of every cluster meet other blocks
+                    order = np.argsort(root, kind="stable")
+                    place = np.arange(len(order)) - np.searchsorted(root[order], root[order])
+                    i = x + order[place < BEST]
+                    m = len(i)
+                    yield rows([True] * m, node[i], np.zeros(m, np.int64), key[i], mine[i], g[i], [sigs[k].tobytes() for k in i])
+            both = np.concatenate(pairs)
+            zero = np.zeros(len(both), np.int64)
+            yield rows([False] * len(both), both.min(1), both.max(1), zero, zero, zero, [b""] * len(both))
+
+        held: pa.Table | None = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            held = t if held is None else pa.concat_tables([held, t])
+            if len(held) < 20_000:
+                continue
+            key, mine = (held.column(c).to_numpy() for c in ("key", "mine"))
+            last = np.flatnonzero((key != key[-1]) | (mine != mine[-1]))
+            if len(last):                                 # the last block may go on
+                yield from answer(held.slice(0, last[-1] + 1).combine_chunks())
+                held = held.slice(last[-1] + 1)
+        if held is not None and len(held):
+            yield from answer(held.combine_chunks())
 
     def across(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
         x, y = df[df.mine == key[1]], df[df.mine == key[2]]
@@ -339,8 +425,10 @@ def candidate_pairs(classes: DataFrame) -> DataFrame:
         a, b = x.a.to_numpy(np.int64)[i], y.a.to_numpy(np.int64)[j]
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    got = written(blocks.groupBy("key", "mine").applyInPandas(
-        inside, "leads boolean, a long, b long, key long, mine int, g int, sig binary"), "clusters")
+    # A block of one member has no pairs, but its member may lead it to other blocks.
+    n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt_out = blocks.select("key", "mine", "g", "node", "sig").repartition(n, "key", "mine").sortWithinPartitions("key", "mine", "node")
+    got = written(dealt_out.mapInArrow(inside, "leads boolean, a long, b long, key long, mine int, g int, sig binary"), "clusters")
     leaders = (got.filter("leads").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
                .filter("other <> mine").select("a", "key", "mine", "sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")))
     met = leaders.groupBy("key", "i", "j").applyInPandas(across, "a long, b long")
@@ -354,7 +442,7 @@ def checked(small: DataFrame, bound: int = WANTED_BOUND) -> DataFrame:
 
 def features(docs: DataFrame, wanted: DataFrame, weights: Weights) -> DataFrame:
     """(node, shingles, weights) of the classes in ``wanted`` (node, first: the id of one of its documents)."""
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    shared = Shared(docs.sparkSession, weights)
     rows = docs.select(F.col("doc_id").cast("long").alias("first"), node().alias("node"), "text").join(checked(wanted), ["node", "first"])
     schema = pa.schema([("node", pa.int64()), ("s", pa.binary()), ("w", pa.binary())])
 
@@ -363,8 +451,9 @@ def features(docs: DataFrame, wanted: DataFrame, weights: Weights) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 made = []
-                for name, x in zip(*(c.to_pylist() for c in whole.slice(at, 500).columns)):
-                    s, c = np.unique(cut(x), return_counts=True)
+                names, texts = (c.to_pylist() for c in whole.slice(at, 500).columns)
+                for name, shingles in zip(names, cut.many(texts)):
+                    s, c = np.unique(shingles, return_counts=True)
                     # 32 bits tell the shingles of two texts apart well enough.
                     made.append((name, (s >> np.uint64(32)).astype("<u4").tobytes(), weights.of(s, c).astype("<f4").tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), schema)], schema=schema)
