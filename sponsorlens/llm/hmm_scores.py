@@ -15,7 +15,9 @@ its whole texts (scaled forward-backward, texts of like length together), the
 partial counts are summed by class in a shuffle, and the new matrices go out
 again, ``ROUNDS`` times. Scores are exact: the scaled forward recursion gives
 the log-likelihood of the class sequence, and the words' shares of their
-classes come from a join of each text's distinct words with the count table.
+classes come from their counts: those of own classes with the class sequence, which
+is written once and read in every round, the others by a join of each text's
+distinct words with the count table.
 
 Null texts are empty: one end token. Repeated rows are scored alike and all
 come back; a null id is held out. With no training text every word is unknown.
@@ -28,10 +30,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod5, table, written
+from .common import Shared, crc_mod5, table, written
 
 STATES = 8
 TOP = 2048
@@ -87,6 +89,7 @@ class Model:
     def __init__(self, own: list[str], hashed: int = HASHED, states: int = STATES, seed: int = 7):
         self.own = {w.encode(): i for i, w in enumerate(own)}
         self.hashed, self.n = hashed, len(own) + hashed
+        self.kind = np.dtype("<u2" if self.n <= 1 << 16 else "<u4")     # of classes as they are written
         self.states, self.seed = states, seed
         self.begin(np.ones(self.n))
 
@@ -176,22 +179,44 @@ def expected(m: Model, seqs: list[np.ndarray], into: dict) -> None:
     into["start"] += rows[: begin[1]].sum(0)
 
 
+def encoded(docs: DataFrame, m: Model, own_counts: np.ndarray) -> DataFrame:
+    """``docs`` (key, doc_id, train, text), written with the classes of its tokens in place of the text, the number
+    of tokens with words of their own class that training knows, and the sum of log10(c + 0.5) over those
+    of own classes; own_counts: c by own class."""
+    shared = Shared(docs.sparkSession, m)
+    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("classes", pa.binary()), ("known", pa.int64()), ("words", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, known, share = shared.value, {}, np.log10(own_counts + 0.5)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                b = whole.slice(at, 500)
+                seqs = [m.encode(t or b"", known) for t in b.column("text").cast(pa.binary()).to_pylist()]
+                own = [s[s < len(own_counts)] for s in seqs]
+                cols = [*(b.column(c) for c in ("key", "doc_id", "train")), pa.array([s.astype(m.kind).tobytes() for s in seqs]),
+                        pa.array([int((own_counts[s] > 0).sum()) for s in own]), pa.array([float(share[s].sum()) for s in own])]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, schema)], schema=schema)
+
+    return written(docs.select("key", "doc_id", "train", "text").mapInArrow(
+        run, "key long, doc_id long, train boolean, classes binary, known long, words double"), "encoded")
+
+
 def baum_welch(docs: DataFrame, m: Model, rounds: int = ROUNDS) -> Model:
-    """``m`` after some rounds over all texts of ``docs``."""
+    """``m`` after some rounds over all texts of ``docs`` (classes)."""
     k, spark = len(m.start), docs.sparkSession
     schema = pa.schema([("row", pa.int64()), ("x", pa.list_(pa.float64()))])
 
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(m)
+        shared = Shared(spark, m)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            m, known = shared.value, {}
+            m = shared.value
             into = {"move": np.zeros((k, k)), "emit": np.zeros((k, m.n)), "start": np.zeros(k), "ll": 0.0}
             held: list[np.ndarray] = []
             size = 0
             for b in batches:
-                for t in b.column(0).cast(pa.binary()).to_pylist():
-                    held.append(m.encode(t or b"", known))
+                for x in b.column(0).to_pylist():
+                    held.append(np.frombuffer(x, m.kind))
                     size += len(held[-1])
                     if size > HELD:
                         expected(m, held, into)
@@ -202,7 +227,7 @@ def baum_welch(docs: DataFrame, m: Model, rounds: int = ROUNDS) -> Model:
             rows += [(-1, into["start"].tolist()), *((-2 - i, into["move"][i].tolist()) for i in range(k))]
             yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows]), pa.array([x for _, x in rows], schema.field(1).type)], schema=schema)
 
-        sums = docs.select("text").mapInArrow(run, "row long, x array<double>").groupBy("row").agg(
+        sums = docs.select("classes").mapInArrow(run, "row long, x array<double>").groupBy("row").agg(
             F.array(*[F.sum(F.col("x")[i]) for i in range(k)]).alias("x")).collect()
         start, move, emit = np.full(k, 1e-3), np.full((k, k), 1e-3), np.full((k, m.n), 1e-3)
         for r in sums:
@@ -230,86 +255,108 @@ def own_words(counts: DataFrame, top: int) -> list[str]:
     return [END, *sorted(words)]
 
 
-def score(docs: DataFrame, train: DataFrame, states: int = STATES, top: int = TOP, hashed: int = HASHED, rounds: int = ROUNDS) -> DataFrame:
+def score(docs: DataFrame, train: DataFrame | Column, states: int = STATES, top: int = TOP, hashed: int = HASHED, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row
-    of ``docs`` (doc_id, text); both scores are log10 probabilities."""
+    of ``docs`` (doc_id, text); both scores are log10 probabilities. ``train``: a table of texts, or
+    which rows of ``docs`` to learn from (their texts are then encoded once for both)."""
     spark = docs.sparkSession
-    counts = written(word_counts(train), "counts")
+    inside = isinstance(train, Column)
+    doc_id = F.col("doc_id").cast("long")
+    key = F.xxhash64(doc_id, F.coalesce("text", F.lit("")), F.col("text").isNull(), doc_id.isNull())
+    rows = docs.select(doc_id.alias("doc_id"), key.alias("key"), (train if inside else F.lit(False)).alias("train"), "text")
+    counts = written(word_counts(rows.filter("train") if inside else train), "counts")
     whole = counts.agg(F.sum("c"), F.count("*")).first()
     n, v = whole[0] or 0, whole[1]
     m = Model(own_words(counts, top), hashed, states)
-    listed = spark.sparkContext.broadcast(m.own)
-    # Totals and distinct words of each class, a bounded table.
-    word_class = F.pandas_udf(lambda w: w.map(lambda x: class_of(x.encode(), listed.value, hashed)), "long")
-    classed = written(counts.withColumn("k", word_class("token")), "classed")
+    # Classes of the training words, and totals and distinct words of each class, a bounded table.
+    own = F.broadcast(spark.createDataFrame([(w.decode(), i) for w, i in m.own.items()], "token string, own int"))
+    ending = F.crc32(F.substring(F.col("token").cast("binary"), -3, 3)) % hashed + len(m.own)
+    classed = written(counts.join(own, "token", "left").withColumn("k", F.coalesce("own", ending).cast("int")), "classed")
     per_class = {r["k"]: (r["n"], r["v"]) for r in classed.groupBy("k").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
-    m.begin(np.array([per_class.get(k, (0, 0))[0] for k in range(m.n)], float))
-    m = baum_welch(train, m, rounds) if n else m
-    shared = spark.sparkContext.broadcast(m)
-    log_class = [math.log10(per_class.get(k, (0, 0))[0] + 0.5 * (per_class.get(k, (0, 0))[1] + 1)) for k in range(m.n)]
-    own = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ll", pa.float64())])
-    schema = pa.schema([("key", pa.int64()), ("token", pa.string()), ("tf", pa.int32()), ("own", own)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, known, share = shared.value, {}, np.array(log_class)
-
-        def out(ids: list, keys: list, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-            seqs = [m.encode(t, known) for t in texts]
-            which, classes, begin = by_step(seqs)
-            ll = np.zeros(len(texts))
+    totals = np.array([per_class.get(k, (0, 0)) for k in range(m.n)], float).reshape(m.n, 2)
+    m.begin(totals[:, 0])
+    own_counts = totals[: len(m.own), 0]
+    coded = encoded(rows, m, own_counts)
+    learned = coded.filter("train") if inside else encoded(
+        train.select(F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("doc_id"), F.lit(True).alias("train"), "text"), m, own_counts)
+    m = baum_welch(learned, m, rounds) if n else m
+    shared = Shared(spark, m)
+    log_class = np.log10(totals[:, 0] + 0.5 * (totals[:, 1] + 1))
+    own_type = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("words", pa.float64()), ("ll", pa.float64())])
+    schema = pa.schema([("key", pa.int64()), ("token", pa.string()), ("tf", pa.int32()), ("own", own_type)])
+    ddl = "key long, token string, tf int, own struct<doc_id:long,n_tokens:long,known:long,words:double,ll:double>"
+
+    def likelihoods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+
+        def out(held: list[tuple]) -> pa.RecordBatch:
+            keys, ids, known, words, seqs = zip(*held)
+            which, classes, begin = by_step(list(seqs))
+            ll = np.zeros(len(seqs))
             ll[which] = forward(m, classes, begin) / math.log(10)
-            ll -= [share[s].sum() for s in seqs]
+            ll -= [log_class[s].sum() for s in seqs]
+            cols = [pa.array(ids, pa.int64()), pa.array([len(s) for s in seqs], pa.int64()), pa.array(known, pa.int64()), pa.array(words), pa.array(ll)]
             # The text's own row: a token that can't occur, spread over the partitions.
-            yield pa.RecordBatch.from_arrays([
+            return pa.RecordBatch.from_arrays([
                 pa.array(keys, pa.int64()), pa.array([f" {k}" for k in keys]), pa.array(np.zeros(len(keys), np.int32)),
-                pa.StructArray.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in seqs], pa.int64()), pa.array(ll)], fields=list(own))],
-                schema=schema)
-            words: list[bytes] = []
-            counts: list[int] = []
-            sizes: list[int] = []
-            at = 0
-            for i, t in enumerate(texts):
-                tf = Counter(tokens(t))
-                tf[END.encode()] = 1
-                words += tf
-                counts += tf.values()
-                sizes.append(len(tf))
-                if len(words) > 200_000 or i == len(texts) - 1:
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.repeat(np.array(keys[at : i + 1], np.int64), sizes)), pa.array(words, pa.binary()).cast(pa.string()),
-                        pa.array(counts, pa.int32()), pa.nulls(len(words), own)], schema=schema)
-                    words, counts, sizes, at = [], [], [], i + 1
+                pa.StructArray.from_arrays(cols, fields=list(own_type))], schema=schema)
 
         held: list[tuple] = []
         size = 0
         for b in batches:
-            for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist()):
-                held.append((row[0], row[1], row[2] or b""))
-                size += len(held[-1][2])
-                if size > 4 * HELD:
-                    yield from out(*map(list, zip(*held)))
+            for *row, x in zip(*(b.column(c).to_pylist() for c in ("key", "doc_id", "known", "words", "classes"))):
+                held.append((*row, np.frombuffer(x, m.kind)))
+                size += len(held[-1][-1])
+                if size > HELD:
+                    yield out(held)
                     held, size = [], 0
         if held:
-            yield from out(*map(list, zip(*held)))
+            yield out(held)
 
-    doc_id = F.col("doc_id").cast("long")
-    key = F.xxhash64(doc_id, F.coalesce("text", F.lit("")), F.col("text").isNull(), doc_id.isNull())
-    words = docs.select(doc_id.alias("doc_id"), key.alias("key"), "text").mapInArrow(
-        run, "key long, token string, tf int, own struct<doc_id:long,n_tokens:long,ll:double>")
-    # Frequent words are hot keys of the join; Spark splits them, as both its sides are shuffled by it.
+    mine = Shared(spark, frozenset(m.own))
+
+    def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words of the shared classes; those of own classes are counted with the classes."""
+        own = mine.value
+        keys: list[int] = []
+        words: list[bytes] = []
+        tf: list[int] = []
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(words, pa.binary()).cast(pa.string()),
+                                               pa.array(tf, pa.int32()), pa.nulls(len(keys), own_type)], schema=schema)
+
+        for b in batches:
+            for k, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+                found = Counter(tokens(t or b""))
+                for w in own.intersection(found):
+                    del found[w]
+                words += found
+                tf += found.values()
+                keys += [k] * len(found)
+                if len(words) > 200_000:
+                    yield out()
+                    keys, words, tf = [], [], []
+        if words:
+            yield out()
+
+    words = rows.select("key", "text").mapInArrow(rare_words, ddl).unionByName(coded.mapInArrow(likelihoods, ddl))
+    # A word may still be a hot key of the join; Spark splits it, as both its sides are shuffled by it.
     c = F.coalesce(F.col("c"), F.lit(0))
     sums = words.join(classed.select("token", "c"), "token", "left").groupBy("key").agg(
-        F.count("own").alias("copies"), *[F.max(f"own.{x}").alias(x) for x in ("doc_id", "n_tokens", "ll")],
-        F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("n_known"), F.sum(F.col("tf") * F.log10(c + 0.5)).alias("words"))
+        F.count("own").alias("copies"), *[F.max(f"own.{x}").alias(x) for x in ("doc_id", "n_tokens", "ll", "known", "words")],
+        F.sum(F.when((c > 0) & F.col("own").isNull(), F.col("tf")).otherwise(0)).alias("n_known"),
+        F.sum(F.col("tf") * F.log10(c + 0.5)).alias("rare"))
     # Repeated rows were summed together: a share for each.
     per = lambda x: F.col(x) / F.col("copies")
+    all_words = F.col("words") + per("rare")
     return (sums.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-            .select("doc_id", "n_tokens", per("n_known").cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-                    (per("words") - F.col("n_tokens") * math.log10(n + 0.5 * (v + 1))).alias("base_score"),
-                    (per("words") + F.col("ll")).alias("score")))
+            .select("doc_id", "n_tokens", (F.col("known") + per("n_known").cast("long")).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+                    (all_words - F.col("n_tokens") * math.log10(n + 0.5 * (v + 1))).alias("base_score"),
+                    (all_words + F.col("ll")).alias("score")))
 
 
 def op2_hmm_scores(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(crc_mod5("doc_id") == 1, F.lit(True))
-    return score(docs, docs.filter(~held_out)).withColumn("held_out", held_out)
+    return score(docs, ~held_out).withColumn("held_out", held_out)
