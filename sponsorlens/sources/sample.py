@@ -2,8 +2,7 @@
 
 Built on ``spark.range``: every value is drawn from a hash of (row id,
 seed, draw number), so the output is the same under any partitioning and
-needs no driver-side loop. Same value lists and weights as the original
-generator; not the same random stream.
+needs no driver-side loop. The value lists and weights are this library's own.
 """
 from __future__ import annotations
 

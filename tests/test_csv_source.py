@@ -55,7 +55,26 @@ def test_line_breaks_inside_cells(spark, tmp_path):
     a.write_text('CASE_NUMBER,EMPLOYER_NAME,JOB_TITLE\nI-200-0001,"Acme\nInc","a ""b"""\nI-200-0002,Beta,x\n')
     b = tmp_path / "LCA_B.csv"
     b.write_text('CASE_NUMBER,EMPLOYER_NAME,JOB_TITLE\nI-200-0003,"Gamma, Ltd",y\n')
-    from sponsorlens.sources.raw import _broken_lines
-    assert _broken_lines(spark, [str(a), str(b)]) == {"LCA_A.csv"}
+    from sponsorlens.sources.raw import _file_heads
+    heads = {p.rsplit("/", 1)[-1]: x for p, x in _file_heads(spark, [str(a), str(b)], ["CASE_NUMBER"]).items()}
+    assert heads == {"LCA_A.csv": ("CASE_NUMBER,EMPLOYER_NAME,JOB_TITLE", True), "LCA_B.csv": ("CASE_NUMBER,EMPLOYER_NAME,JOB_TITLE", False)}
     rows = {r.CASE_NUMBER: (r.EMPLOYER_NAME, r.JOB_TITLE) for r in read_raw_csv(spark, [str(a), str(b)]).collect()}
     assert rows == {"I-200-0001": ("Acme\nInc", 'a "b"'), "I-200-0002": ("Beta", "x"), "I-200-0003": ("Gamma, Ltd", "y")}
+
+
+def test_layouts_of_odd_files(spark, tmp_path):
+    """Equal names in two folders, a name with a blank, no known header, a header alone, an empty file."""
+    for d in ("x", "y"):
+        (tmp_path / d).mkdir()
+    (tmp_path / "x" / "f.csv").write_text("CASE_NUMBER,EMPLOYER_NAME\nI-200-0001,Acme\n")
+    (tmp_path / "y" / "f.csv").write_text(' employer_name , case_number\n"Be\nta",I-200-0002\n')
+    (tmp_path / "a b.csv").write_text("CASE_NUMBER,EMPLOYER_NAME\nI-200-0003,Gamma\n")
+    (tmp_path / "none.csv").write_text("p,q\n1,2\n")
+    (tmp_path / "head.csv").write_text("CASE_NUMBER,EMPLOYER_NAME\n")
+    (tmp_path / "empty.csv").write_text("")
+    paths = [str(p) for p in tmp_path.rglob("*.csv")]
+    rows = read_raw_csv(spark, paths, ["CASE_NUMBER", "EMPLOYER_NAME"]).collect()
+    assert sorted((r.CASE_NUMBER, r.EMPLOYER_NAME) for r in rows if r.CASE_NUMBER) == [
+        ("I-200-0001", "Acme"), ("I-200-0002", "Be\nta"), ("I-200-0003", "Gamma")]
+    assert sum(r.CASE_NUMBER is None for r in rows) == 1               # the line of the file without known headers
+    assert read_raw_csv(spark, [str(tmp_path / "empty.csv")], ["CASE_NUMBER"]).count() == 0

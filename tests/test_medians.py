@@ -40,3 +40,13 @@ def test_leading_rows_of_a_large_cap(spark):
 def test_suggestions_for_short_texts_are_empty(spark):
     df = spark.createDataFrame([("ab",)], "t string")
     assert H.suggestions(df, "t", " a ").collect() == [] and H.suggestions(df, "t", "ab").first().n == 1
+
+
+def test_salary_is_the_same_for_few_and_many_groups(spark, monkeypatch):
+    from sponsorlens.plans import api
+
+    rows = spark.range(4000).selectExpr("concat('e', id % 40) AS employer_name", "CASE WHEN id % 7 > 0 THEN 1000.0 * (id % 97) + id % 3 END AS annual_wage")
+    few = [tuple(r) for r in api.salary(rows, "employer").collect()]
+    monkeypatch.setattr(api, "FEW_GROUPS", 10)
+    many = [tuple(r) for r in api.salary(rows, "employer").collect()]
+    assert few == many and len(few) == 40

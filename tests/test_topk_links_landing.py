@@ -68,3 +68,15 @@ def test_landing_report(spark, tmp_path):
     assert rep["LCA_FY2026_Q2.xlsx"].landed is False and rep["LCA_FY2026_Q2.xlsx"].last_status == "FAIL"
     assert rep["LCA_FY2026_Q1.xlsx"].too_small is True and rep["LCA_FY2026_Q1.xlsx"].expected is False
     assert {r.file_name for r in LD.not_landed(expected, landed).collect()} == {"LCA_FY2026_Q2.xlsx"}
+
+
+def test_log_lines_are_numbered_across_splits(spark, tmp_path):
+    log = tmp_path / "runs.txt"
+    log.write_text("".join(f"OK   f{i % 7}.xlsx {i}.5MB via direct\n" if i % 3 else f"     note {i}\n" for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        parsed = LD.parse_download_log(spark, str(log))
+        got = {r.line_no: (r.file_name, r.size_mb) for r in parsed.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {i: (f"f{i % 7}.xlsx", i + 0.5) for i in range(3000) if i % 3}

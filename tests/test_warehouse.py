@@ -171,6 +171,34 @@ def test_upsert_rewrites_only_touched_years(spark, tmp_path):
     assert again.read("lca_filings").count() == 4
 
 
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+    """A reload of one case rewrites one part of its year, in the facts and in the serving table."""
+    wh = Warehouse(spark, str(tmp_path / "buckets"))
+    load_lca(wh, _raw_rows(spark, [(f"I-200-{i:03d}", "Acme", "15-1252", "t", "dev", "2020-01-05", "A", i, "f1.csv") for i in range(60)]))
+    before = {t: set(wh.current()[t][2]) for t in ("lca_filings", "sponsorships_serving")}
+    assert all(len(x) > 4 for x in before.values())
+    load_lca(wh, _raw_rows(spark, [("I-200-007", "Beta", "15-1252", "t", "dev", "2020-02-05", "B", 1, "f2.csv")]))
+    for t, old in before.items():
+        assert len(old - set(wh.current()[t][2])) == 1, t
+    served = {r.case_number: (r.employer_name, r.worksite_city) for r in views.sponsorships(wh).collect()}
+    joined = {r.case_number: (r.employer_name, r.worksite_city) for r in views.sponsorships(wh, materialised=False).collect()}
+    assert served == joined and len(served) == 60 and served["I-200-007"] == ("Beta", "B")
+
+
+def test_one_bad_file_of_many_costs_two_loads(spark, tmp_path, monkeypatch):
+    from sponsorlens.operators import warehouse as M
+
+    raw = _raw_rows(spark, [(f"I-200-{i:03d}", f"Emp {i}", "15-1252", "t", "dev", "2020-01-05", "A", 1, f"f{i:02d}.csv") for i in range(30)])
+    loads, kept = [], M._load
+    monkeypatch.setattr(M, "_load", lambda *a: (loads.append(1), kept(*a))[1])
+    wh = Warehouse(spark, str(tmp_path / "many"))
+    with pytest.raises(Exception, match="boom"):
+        M.load_batch(wh, lca_raw=_failing(spark, raw, "f17.csv"))
+    assert len(loads) == 2 and wh.read("lca_filings").count() == 29
+    runs = {r.file_name: r.status for r in wh.read("etl_runs").collect()}
+    assert len(runs) == 30 and [f for f, s in runs.items() if s == "failed"] == ["f17.csv"]
+
+
 def test_compaction_keeps_rows(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path / "compact"))
     raw = _raw_rows(spark, ROWS)
