@@ -7,6 +7,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sponsorlens.llm import components, embedding_dedup, hmm_scores, minhash_dedup, quality_crf, warc
@@ -110,18 +111,35 @@ def test_scores_are_probabilities_and_base_is_exact(spark):
     assert all(r.n_known == 0 for r in hmm_scores.score(df, df.limit(0), states=2, top=2, hashed=4).collect())
 
 
-def test_words_of_a_class_sum_to_one(spark):
-    """Over known words and one unknown for each class, one-token texts' scores and their ends add up to 1."""
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(["a b c a", "b", "c c dd ee", ""])], "doc_id long, text string")
-    words = ["a", "b", "c", "dd", "ee"]
-    m = hmm_scores.Model([" ", "a"], hashed=2, states=2)
-    classes = {w: hmm_scores.class_of(w.encode(), m.own, 2) for w in words}
-    counts = {"a": 2, "b": 2, "c": 3, "dd": 1, "ee": 1}
-    for k in set(classes.values()):
-        own = [w for w in words if classes[w] == k]
-        total = sum(counts[w] for w in own) + 0.5 * (len(own) + 1)
-        assert math.isclose(sum((counts[w] + 0.5) / total for w in own) + 0.5 / total, 1)
-    assert df.count() == 4
+def test_scores_equal_all_state_paths(spark):
+    """Untrained models, so that starts, moves and emissions are known: each text's score is the sum over all
+    state paths, times its words' shares of their classes."""
+    docs = [(i, t) for i, t in enumerate(["a b c a", "b", "c c dd ee", "", "a new word", "b b"])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    counts = {}
+    for _, t in docs[:4]:
+        for w in [*t.encode().split(), b" "]:
+            counts[w] = counts.get(w, 0) + 1
+    got = {r.doc_id: r.score for r in hmm_scores.score(df, F.col("doc_id") < 4, states=2, top=2, hashed=3, rounds=0).collect()}
+    own = hmm_scores.own_words(spark.createDataFrame([(w.decode(), c) for w, c in counts.items()], "token string, c long"), 2)
+    m = hmm_scores.Model(own, 3, 2)
+    kind = lambda w: hmm_scores.class_of(w, m.own, 3)
+    total = np.zeros(m.n)
+    distinct = np.zeros(m.n)
+    for w, c in counts.items():
+        total[kind(w)] += c
+        distinct[kind(w)] += 1
+    m.begin(total)
+    for i, t in docs:
+        words = [*t.encode().split(), b" "]
+        p = 0.0
+        for z in itertools.product(range(2), repeat=len(words)):
+            q = m.start[z[0]]
+            for k, w in enumerate(words):
+                q *= m.emit[z[k], kind(w)] * (m.move[z[k - 1], z[k]] if k else 1)
+            p += q
+        share = sum(math.log10((counts.get(w, 0) + 0.5) / (total[kind(w)] + 0.5 * (distinct[kind(w)] + 1))) for w in words)
+        assert math.isclose(got[i], math.log10(p) + share, rel_tol=1e-9), t
 
 
 # -- quality
