@@ -3,8 +3,8 @@
 ``write`` deals documents out by ranges of their id, sorts each range, encodes
 the texts with the tokenizers library, appends the end id to each and writes
 shards: the ids of a shard are one sequence in which frequent pairs are replaced
-by nonterminals again and again (``ROUNDS`` times, up to ``RULES`` pairs at
-once, from left to right). A shard stores its rules, the expansion length of
+by nonterminals again and again, until none occurs ``LEAST`` times (a
+rule takes the room of six symbols). A shard stores its rules, the expansion length of
 each nonterminal, the sequence that is left, where every ``STRIDE``-th of its
 symbols starts, and the ids and lengths of its documents. The manifest that
 Spark writes names the files, so a repeated task leaves an unlisted file only.
@@ -13,7 +13,7 @@ Spark writes names the files, so a repeated task leaves an unlisted file only.
 stretch of a shard from the nearest stored start, without the rest.
 
 The tokenizer's chunks, a run of whitespace and the word after it, are
-independent of each other; a task encodes each distinct one once (bounded table).
+independent of each other; a worker encodes each distinct one once (bounded table).
 Null texts are empty. Null ids come first; rows with equal ids stay, ordered by
 a hash of their text. Extra columns aren't stored.
 """
@@ -25,10 +25,11 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,15 +39,18 @@ from sponsorlens.session import new_dir
 from .common import quiet_gc, table, worker_cache, written
 from .warc import open_store
 
-MAGIC = b"RPIDS\x01\x00\x00"
+MAGIC = b"RPIDS\x02\x00\x00"
 HEAD = "<8sIIQQQ"     # magic, first nonterminal, rules, symbols, documents, ids
-ROUNDS = 3
-RULES = 4096
 LEAST = 8
+UPPER = 128             # a round takes the pairs with a count of at least the highest one divided by this
 STRIDE = 1024
 SHARD_IDS = 2_000_000
 TABLE_ENTRIES = 1_200_000
 LONG_WORD = 64
+JOINED = 256
+MIX = np.uint64(0x9E3779B97F4A7C15)
+SPACE = "\u0120"      # a space in the token strings of byte-level tokenizers
+ODD = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 
 
 class ChunkEncoder:
@@ -60,9 +64,12 @@ class ChunkEncoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.symbols = self.tok.get_vocab_size(with_added_tokens=True)
+        self.lead = np.zeros(self.symbols, bool)          # tokens that start with a space
+        for t, i in self.tok.get_vocab(with_added_tokens=True).items():
+            if t.startswith(SPACE):
+                self.lead[i] = True
         self.entries = entries
         self.cut = re.compile(r"(?<=\S) ")
-        self.inner = re.compile(r"\s ")
         self.clear()
         # Chunks are independent where whitespace always goes with what follows.
         for t in ("ab cd", "ab\n  cd  e \t f ", "don't  <x|y> 1 2"):
@@ -74,34 +81,75 @@ class ChunkEncoder:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def clear(self) -> None:
-        self.place: dict = {}
+        self.place: dict[str, int] = {}
         self.pool, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def chunks(self, text: str) -> list:
-        """The first chunk, in a tuple to tell it apart, and the others without their leading space."""
-        parts = self.cut.split(text) if self.inner.search(text) else text.split(" ")
-        if parts[0] == "" and len(parts) > 1:            # the text starts with one space
-            return parts[1:]
-        return [(parts[0],), *parts[1:]]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.place) > self.entries:
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Numbers of new pool entries."""
+        first = len(self.ends) - 1
+        self.pool = np.concatenate([self.pool, ids.astype(np.uint32)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes, dtype=np.int64)])
+        return np.arange(first, len(self.ends) - 1)
+
+    def add_texts(self, texts: list[str]) -> np.ndarray:
+        ids = self.plain(texts)
+        return self.add(np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64))
+
+    def add_words(self, words: list[str]) -> np.ndarray:
+        """Numbers of the words with a space before each. Words without spaces go to the library many
+        at once, and a token that starts with a space starts a word; the others go one by one."""
+        number = np.empty(len(words), np.int64)
+        alone, joined = [], []
+        for i, w in enumerate(words):
+            (joined if w and " " not in w and not w[-1].isspace() else alone).append(i)
+        blocks = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
+        sure, found, sizes = [], [], []
+        for block, ids in zip(blocks, self.plain([" " + " ".join([words[i] for i in block]) for block in blocks])):
+            ids = np.array(ids, np.uint32)
+            start = np.flatnonzero(self.lead[ids])
+            if len(start) == len(block) and start[0] == 0:
+                sure += block
+                found.append(ids)
+                sizes.append(np.diff(start, append=len(ids)))
+            else:
+                alone += block
+        if sure:
+            number[sure] = self.add(np.concatenate(found), np.concatenate(sizes))
+        if alone:
+            number[alone] = self.add_texts([" " + words[i] for i in alone])
+        return number
+
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        if len(self.ends) > self.entries or len(self.pool) > 8 * self.entries:
             self.clear()
-        cut = [self.chunks(t) for t in texts]
-        new = list(set(chain.from_iterable(cut)).difference(self.place))
-        if new:
-            ids = self.plain([c[0] if type(c) is tuple else " " + c for c in new])
-            ends = np.cumsum([len(x) for x in ids]) + self.ends[-1]
-            self.place.update(zip(new, range(len(self.ends) - 1, len(self.ends) - 1 + len(new))))
-            self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(ids), np.uint32)])
-            self.ends = np.concatenate([self.ends, ends])
-        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(cut)), np.int64)
-        flat, ends = gather(self.pool, self.ends, at)
-        bounds = np.cumsum([0, *map(len, cut)])
-        out = [flat[ends[a] : ends[b]] for a, b in zip(bounds, bounds[1:])]
-        for c in new:
-            if type(c) is tuple or len(c) > LONG_WORD:
-                self.place.pop(c)                        # not worth its place; the pool is cleared with the table
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        if not len(texts):
+            return []
+        odd = pc.match_substring_regex(texts, ODD)        # whitespace, then a space: it isn't cut there
+        order = np.argsort(odd.to_numpy(zero_copy_only=False), kind="stable")
+        cut = [pc.split_pattern(texts.filter(pc.invert(odd)), " "),
+               pa.array([self.cut.split(t) for t in texts.filter(odd).to_pylist()], pa.list_(pa.large_string()))]
+        ends = np.cumsum(np.concatenate([pc.list_value_length(c).to_numpy(zero_copy_only=False) for c in cut]).astype(np.int64))
+        flat = pa.concat_arrays([c.flatten() for c in cut])
+        # A text's first chunk has no space before it and is encoded as it is.
+        heads = np.concatenate([[0], ends[:-1]])
+        body = np.ones(len(flat), bool)
+        body[heads] = False
+        at = np.empty(len(flat), np.int64)
+        at[heads] = self.add_texts(flat.take(pa.array(heads)).to_pylist())
+        coded = flat.filter(pa.array(body)).dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            fresh = [words[i] for i in new]
+            number[new] = self.add_words(fresh)
+            self.place.update((w, n) for w, n in zip(fresh, number[new].tolist()) if len(w) <= LONG_WORD)
+        at[body] = number[coded.indices.to_numpy(zero_copy_only=False)]
+        ids, bounds = gather(self.pool, self.ends, at)
+        out: list = [None] * len(texts)
+        for i, a, b in zip(order.tolist(), bounds[heads].tolist(), bounds[ends].tolist()):
+            out[i] = ids[a:b]
         return out
 
 
@@ -117,47 +165,79 @@ def encoder(tokenizer: str) -> ChunkEncoder:
     return quiet_gc(worker_cache(("chunks", tokenizer), lambda: ChunkEncoder(tokenizer)))
 
 
-def re_pair(seq: np.ndarray, first: int, rounds: int = ROUNDS, most: int = RULES, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
-    """(rules, rest): rule i is the pair that symbol first + i stands for."""
-    rules = np.zeros((0, 2), np.uint32)
+def re_pair(seq: np.ndarray, first: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
+    """(rules, rest): rule i is the pair that symbol first + i stands for.
+
+    A round counts the pairs that may have changed or still be frequent (a pair only
+    gains occurrences where a symbol of it was put in), takes those of the upper counts, and replaces them where no more frequent
+    one overlaps; a rule that comes out with fewer than ``least`` uses waits for the next round. The
+    most frequent pair is always replaced, so rounds go on until no pair occurs ``least`` times.
+    """
     seq = seq.astype(np.uint32)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        room = min(most, (1 << 16) - first - len(rules)) if first <= 1 << 16 else most
-        wide = first + len(rules) + most > 1 << 16
-        pairs = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:] if wide and first > 1 << 16 else (seq[:-1] << np.uint32(16)) | seq[1:]
-        ordered = np.sort(pairs)
-        edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        count = np.diff(np.concatenate([edge, [len(ordered)]]))
+    rules: list[np.ndarray] = []
+    made = first
+    known, known_symbol = np.array([2**64 - 1], np.uint64), np.zeros(1, np.uint32)    # of the pairs with a rule
+    alive = np.ones(len(seq), bool)               # the pair that starts here may be frequent
+    while True:
+        alive[-1:] = False
+        at = np.flatnonzero(alive)
+        left, right = seq[at], seq[at + 1]
+        # Of a run of equal symbols, the first, third, ... pair counts.
+        same = np.flatnonzero(left == right)
+        fresh = np.diff(at[same], prepend=-2) > 1
+        over = same[(at[same] - np.maximum.accumulate(np.where(fresh, at[same], 0))) % 2 == 1]
+        pairs = (left.astype(np.uint64) << np.uint64(32)) | right
+        ordered = np.sort(np.delete(pairs, over) if len(over) else pairs)
+        edge = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
+        edge = np.concatenate([np.zeros(min(len(ordered), 1), np.int64), edge])
+        count = np.diff(edge, append=len(ordered))
         often = np.flatnonzero(count >= least)
-        if not len(often) or room <= 0:
+        if not len(often):
             break
         # Equal counts go by the pair, so the grammar depends on the ids alone.
-        best = often[np.lexsort((ordered[edge[often]], -count[often]))[:room]]
+        best = often[np.lexsort((often, -count[often]))]
         chosen = ordered[edge[best]]
-        slots = np.full(1 << 18, -1, np.int32)
-        mix = lambda x: ((x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
-        slots[mix(chosen[::-1])] = np.arange(len(chosen) - 1, -1, -1)   # the more frequent pair keeps a shared slot
-        kept = np.flatnonzero(slots[mix(chosen)] == np.arange(len(chosen)))
-        number = np.full(len(chosen), -1, np.int64)
-        number[kept] = np.arange(len(kept))
-        rule = slots[mix(pairs)]
-        hit = (rule >= 0) & (chosen[rule] == pairs)
-        # Of neighbouring hits, which overlap, the first, third, ... are replaced.
-        at = np.flatnonzero(hit)
-        new = np.concatenate([[True], np.diff(at) > 1])
-        run = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - run) % 2 == 0]
-        symbol = (first + len(rules) + number[rule[at]]).astype(np.uint32)
-        pair = chosen[kept].astype(np.uint64)
-        half, mask = (np.uint64(32), np.uint64(0xFFFFFFFF)) if pairs.dtype == np.uint64 else (np.uint64(16), np.uint64(0xFFFF))
-        rules = np.concatenate([rules, np.stack([pair >> half, pair & mask], 1).astype(np.uint32)])
-        seq[at] = symbol
+        bits = np.uint64(64 - max(12, int(4 * len(chosen)).bit_length()))
+        where = np.full(1 << int(64 - bits), -1, np.int32)
+        where[(chosen[::-1] * MIX >> bits).view(np.int64)] = np.arange(len(chosen) - 1, -1, -1)   # a shared slot goes to the more frequent pair
+        rank = where[(pairs * MIX >> bits).view(np.int64)]
+        alive[at[rank < 0]] = False
+        rank[over] = -1
+        hit = np.flatnonzero((rank >= 0) & (rank < np.searchsorted(-count[best], -(count[best[0]] // UPPER), "right")))
+        hit = hit[chosen[rank[hit]] == pairs[hit]]
+        at, rank = at[hit], rank[hit]
+        touch = np.diff(at) == 1
+        lost = np.zeros(len(at), bool)
+        lost[1:] |= touch & (rank[:-1] < rank[1:])
+        lost[:-1] |= touch & (rank[1:] < rank[:-1])
+        at, rank = at[~lost], rank[~lost]
+        good = np.bincount(rank, minlength=len(chosen)) >= least
+        at, rank = at[good[rank]], rank[good[rank]]
+        # A pair that lost some places to others in an earlier round has its symbol already.
+        symbol = np.zeros(len(chosen), np.uint32)
+        old = np.searchsorted(known, chosen)
+        had = known[np.minimum(old, len(known) - 1)] == chosen
+        symbol[had] = known_symbol[old[had]]
+        fresh = good & ~had
+        pair = chosen[fresh]
+        symbol[fresh] = made + np.arange(len(pair))
+        made += len(pair)
+        rules.append(np.stack([pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        order = np.argsort(known := np.concatenate([known, pair]))
+        known, known_symbol = known[order], np.concatenate([known_symbol, symbol[fresh]])[order]
+        seq[at] = symbol[rank]
+        alive[at] = True
+        alive[np.maximum(at - 1, 0)] = True
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq = seq[keep]
-    return rules, seq
+        seq, alive = seq[keep], alive[keep]
+        if (good & had).any():
+            again = np.zeros(made, bool)
+            again[symbol[good & had]] = True
+            again = again[seq]
+            alive |= again
+            alive[:-1] |= again[1:]
+    return np.concatenate([np.zeros((0, 2), np.uint32), *rules]), seq
 
 
 def expansions(rules: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
@@ -177,14 +257,19 @@ def expansions(rules: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
     return flat, ends
 
 
+def high_bits(symbols: int) -> int:
+    """Bits of a symbol beyond the 16 low ones; each is stored as a plane of single bits."""
+    return max(0, (symbols - 1).bit_length() - 16)
+
+
 def pack(doc_ids: list, sizes: list[int], ids: np.ndarray, first: int) -> bytes:
     """One shard."""
     rules, rest = re_pair(ids, first)
     _, ends = expansions(rules, first)
     size = np.diff(ends)
     starts = np.concatenate([[0], np.cumsum(size[rest])])[:-1:STRIDE]
-    narrow = np.dtype("<u2") if first + len(rules) <= 1 << 16 else np.dtype("<u4")
-    body = [rules.astype("<u4"), size[first:].astype("<u4"), starts.astype("<u8"), rest.astype(narrow),
+    planes = [np.packbits((rest >> np.uint32(16 + k) & 1).astype(bool)) for k in range(high_bits(first + len(rules)))]
+    body = [rules.astype("<u4"), size[first:].astype("<u4"), starts.astype("<u8"), rest.astype("<u2"), *planes,
             np.array([d is not None for d in doc_ids], "u1"), np.array([d or 0 for d in doc_ids], "<i8"), np.array(sizes, "<u8")]
     return struct.pack(HEAD, MAGIC, first, len(rules), len(rest), len(doc_ids), len(ids)) + b"".join(x.tobytes() for x in body)
 
@@ -206,7 +291,9 @@ class Shard:
         self.rules = part("<u4", 2 * rules).reshape(-1, 2)
         self.size = part("<u4", rules)
         self.starts = part("<u8", -(-symbols // STRIDE))
-        self.rest = part("<u2" if self.first + rules <= 1 << 16 else "<u4", symbols)
+        self.rest = part("<u2", symbols).astype(np.uint32)
+        for k in range(high_bits(self.first + rules)):
+            self.rest |= np.unpackbits(part("u1", -(-symbols // 8)), count=symbols).astype(np.uint32) << np.uint32(16 + k)
         there, ids = part("u1", docs), part("<i8", docs)
         self.doc_ids = [int(i) if t else None for t, i in zip(there, ids)]
         self.sizes = part("<u8", docs)
@@ -264,7 +351,7 @@ def write(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "
                     fs.create_dir(root, recursive=True)
                     name = f"{uuid.uuid4().hex}.rpids"
                     out = fs.open_output_stream(f"{root}/{name}")
-                for d, ids in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist())):
+                for d, ids in zip(b.column(0).to_pylist(), enc.encode(b.column(1))):
                     held.append(np.append(ids, np.uint32(end_id)))
                     keys.append(d)
                     size += len(ids) + 1

@@ -114,6 +114,63 @@ def test_re_pair_ranges_decode_alone():
     assert len(s.rules) == 0 or s.size.min() >= 2
 
 
+def count_pairs(seq):
+    """Occurrences of each pair that don't overlap themselves, from left to right."""
+    last, count = {}, {}
+    for i, pair in enumerate(zip(seq, seq[1:])):
+        if last.get(pair, -2) < i - 1:
+            last[pair] = i
+            count[pair] = count.get(pair, 0) + 1
+    return count
+
+
+def test_re_pair_goes_on_until_no_pair_is_frequent():
+    import numpy as np
+
+    r = random.Random(2)
+    passage = [r.randrange(50000) for _ in range(300)]
+    cases = [passage * 5000, [7] * 100_003, [r.randrange(6) for _ in range(20000)],
+             [int(r.paretovariate(0.7)) % 50000 for _ in range(60000)], [1, 1, 2, 1, 1] * 3000]
+    for ids in cases:
+        ids = np.array(ids, np.uint32)
+        rules, rest = token_files.re_pair(ids, 50257)
+        assert max(count_pairs(rest.tolist()).values(), default=0) < token_files.LEAST
+        flat, ends = token_files.expansions(rules, 50257)
+        assert (token_files.gather(flat, ends, rest.astype(np.int64))[0] == ids).all()
+        assert len({tuple(x) for x in rules.tolist()}) == len(rules)      # no pair has two rules
+    rules, rest = token_files.re_pair(np.array(cases[0], np.uint32), 50257)
+    assert len(token_files.pack([1], [len(cases[0])], np.array(cases[0], np.uint32), 50257)) < 6000 and len(rest) < 16
+    many = np.array([r.randrange(40) for _ in range(200_000)], np.uint32)     # symbols of more than 16 bits
+    s = token_files.Shard(token_files.pack([1], [len(many)], many, 65_000))
+    assert s.first + len(s.rules) > 1 << 16 and (s.decode() == many).all() and (s.decode_range(777, 99_999) == many[777:99_999]).all()
+
+
+def test_words_encoded_together_equal_words_alone():
+    enc = token_files.ChunkEncoder(BYTES, entries=40)
+    rows = noise(400, [*PIECES, "\u3000", "\x1f ", "\x85 ", "the", "<|endoftext|> "], 30, seed=9)
+    for at in range(0, len(rows), 50):                                       # the table starts anew between batches
+        got = enc.encode(rows[at : at + 50])
+        assert [g.tolist() for g in got] == enc.plain(rows[at : at + 50])
+    enc.lead[:] = False                                                      # no word start known: each word goes alone
+    enc.clear()
+    assert [g.tolist() for g in enc.encode(rows)] == enc.plain(rows)
+    assert enc.encode([]) == []
+
+
+def test_op7_query_by_hand(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(BYTES)
+    folder = "/root/testdata/sf0.001"
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_files.op7_token_files(spark, folder).collect()}
+    start, want = 0, {}
+    for d in spark.read.parquet(folder + "/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect():
+        ids = tok.encode(d.text or "", add_special_tokens=False).ids + [0]
+        want[d.doc_id] = (start, len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)))
+        start += len(ids)
+    assert got == want
+
+
 def spans_by_hand(t):
     t = t or ""
     assign = r"(?:password|passwd|secret|token|api_?key)"
