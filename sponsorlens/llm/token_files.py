@@ -50,7 +50,9 @@ LONG_WORD = 64
 JOINED = 256
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SPACE = "\u0120"      # a space in the token strings of byte-level tokenizers
-ODD = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
+BLANK = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+ODD = BLANK + " "
+APART = " |^$|" + BLANK + r"\z"
 
 
 class ChunkEncoder:
@@ -99,22 +101,24 @@ class ChunkEncoder:
         """Numbers of the words with a space before each. Words without spaces go to the library many
         at once, and a token that starts with a space starts a word; the others go one by one."""
         number = np.empty(len(words), np.int64)
-        alone, joined = [], []
-        for i, w in enumerate(words):
-            (joined if w and " " not in w and not w[-1].isspace() else alone).append(i)
-        blocks = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
+        apart = pc.match_substring_regex(pa.array(words, pa.large_string()), APART).to_numpy(zero_copy_only=False)
+        alone = np.flatnonzero(apart).tolist()
+        joined = np.flatnonzero(~apart)
+        some = [words[i] for i in joined.tolist()] if alone else words
         sure, found, sizes = [], [], []
-        for block, ids in zip(blocks, self.plain([" " + " ".join([words[i] for i in block]) for block in blocks])):
+        blocks = [" " + " ".join(some[i : i + JOINED]) for i in range(0, len(some), JOINED)]
+        for i, ids in enumerate(self.plain(blocks)):
+            block = joined[i * JOINED : (i + 1) * JOINED]
             ids = np.array(ids, np.uint32)
             start = np.flatnonzero(self.lead[ids])
             if len(start) == len(block) and start[0] == 0:
-                sure += block
+                sure.append(block)
                 found.append(ids)
                 sizes.append(np.diff(start, append=len(ids)))
             else:
-                alone += block
+                alone += block.tolist()
         if sure:
-            number[sure] = self.add(np.concatenate(found), np.concatenate(sizes))
+            number[np.concatenate(sure)] = self.add(np.concatenate(found), np.concatenate(sizes))
         if alone:
             number[alone] = self.add_texts([" " + words[i] for i in alone])
         return number
@@ -144,7 +148,10 @@ class ChunkEncoder:
         if len(new):
             fresh = [words[i] for i in new]
             number[new] = self.add_words(fresh)
-            self.place.update((w, n) for w, n in zip(fresh, number[new].tolist()) if len(w) <= LONG_WORD)
+            self.place.update(zip(fresh, number[new].tolist()))
+            for w in fresh:
+                if len(w) > LONG_WORD:                    # not worth its place
+                    del self.place[w]
         at[body] = number[coded.indices.to_numpy(zero_copy_only=False)]
         ids, bounds = gather(self.pool, self.ends, at)
         out: list = [None] * len(texts)
@@ -199,12 +206,17 @@ def re_pair(seq: np.ndarray, first: int, least: int = LEAST) -> tuple[np.ndarray
         chosen = ordered[edge[best]]
         bits = np.uint64(64 - max(12, int(4 * len(chosen)).bit_length()))
         where = np.full(1 << int(64 - bits), -1, np.int32)
-        where[(chosen[::-1] * MIX >> bits).view(np.int64)] = np.arange(len(chosen) - 1, -1, -1)   # a shared slot goes to the more frequent pair
+        slot = (chosen * MIX >> bits).view(np.int64)
+        where[slot[::-1]] = np.arange(len(chosen) - 1, -1, -1)   # a shared slot goes to the more frequent pair
+        shared = np.zeros(len(chosen) + 1, bool)
+        shared[where[slot[where[slot] != np.arange(len(chosen))]]] = True
         rank = where[(pairs * MIX >> bits).view(np.int64)]
-        alive[at[rank < 0]] = False
-        rank[over] = -1
-        hit = np.flatnonzero((rank >= 0) & (rank < np.searchsorted(-count[best], -(count[best[0]] // UPPER), "right")))
-        hit = hit[chosen[rank[hit]] == pairs[hit]]
+        match = np.append(chosen, 0)[rank] == pairs
+        match &= rank >= 0
+        alive[at[~(match | shared[rank])]] = False
+        match[over] = False
+        match &= rank < np.searchsorted(-count[best], -(count[best[0]] // UPPER), "right")
+        hit = np.flatnonzero(match)
         at, rank = at[hit], rank[hit]
         touch = np.diff(at) == 1
         lost = np.zeros(len(at), bool)
