@@ -51,6 +51,7 @@ RARE = 0.001
 BLOCK = 400                  # classes compared in one task
 HELD_SHINGLES = 2_500_000    # of documents counted together by a task
 BLOCK_DOCUMENTS = 2000       # that a task should count together, on average
+COUNT_DOCUMENTS = 16_000   # documents of a counting task, on average: it emits a row for each candidate that it meets
 BLOCK_TEXT = 1_000_000       # bytes of text hashed together
 WANTED_BOUND = 2_000_000     # classes whose ids may be broadcast (16 bytes each)
 HEAVY_BLOCK = 1_000_000      # candidates counted in one pass (8 bytes each)
@@ -267,7 +268,7 @@ def weigh(docs: DataFrame) -> Weights:
     if not n:
         return Weights(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, t)
     found = written(_block_shingles(docs, n, t), "candidates")
-    blocks = max(1, n // BLOCK_DOCUMENTS)                 # a task emits a row for each candidate that it meets
+    tasks = max(1, n // COUNT_DOCUMENTS)
     passes = max(1, -(-found.count() // HEAVY_BLOCK))
     heavy: list[tuple[int, int]] = []
     for k in range(passes):
@@ -275,7 +276,7 @@ def weigh(docs: DataFrame) -> Weights:
         # At most HEAVY_BLOCK or so numbers of 8 bytes, as Arrow buffers.
         wanted = np.sort(part.toArrow().column("s").to_numpy().view(np.uint64))
         if len(wanted):
-            heavy += [(r.s, r.df) for r in _document_counts(docs, wanted, blocks).filter(F.col("df") >= t).collect()]
+            heavy += [(r.s, r.df) for r in _document_counts(docs, wanted, tasks).filter(F.col("df") >= t).collect()]
     both = np.array(heavy, np.int64).reshape(-1, 2)
     return Weights(both[:, 0].copy().view(np.uint64), both[:, 1], n, t)
 
