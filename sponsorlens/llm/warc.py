@@ -99,7 +99,8 @@ def write(pages: DataFrame, page_id: str = "page_id", payload: str = "html", uri
             for i, data, url, first in zip(*(b.column(c).to_pylist() for c in ("id", "payload", "uri", "first"))):
                 if out is None:
                     name = f"{uuid.uuid4().hex}.warc" + ".gz" * compressed
-                    out, size, n = fs.open_output_stream(f"{root}/{name}"), 0, 0
+                    # Members are compressed already; by its name the file would be compressed as a whole once more.
+                    out, size, n = fs.open_output_stream(f"{root}/{name}", compression=None), 0, 0
                 again = first is not None and i != first
                 r = record("revisit" if again else "response", f"urn:page:{'' if i is None else i}", data, url,
                            f"urn:page:{first}" if again else None)
@@ -125,7 +126,9 @@ class Window:
     """A sliding view of a stream: bytes from ``base`` on."""
 
     def __init__(self, stream):
-        self.stream, self.base, self.data, self.ended = stream, 0, b"", False
+        self.stream, self.base, self.data, self.ended = stream, 0, bytearray(), False
+        self.size = stream.seek(0, 2)
+        stream.seek(0)
 
     def more(self) -> bool:
         b = b"" if self.ended else self.stream.read(BLOCK)
@@ -137,7 +140,19 @@ class Window:
         """Up to n bytes at an offset that isn't before the base."""
         while len(self.data) < at - self.base + n and self.more():
             pass
-        return self.data[at - self.base : at - self.base + n]
+        return bytes(self.data[at - self.base : at - self.base + n])
+
+    def ahead(self, at: int, n: int) -> bytes:
+        """n bytes at an offset, or none past the end; what lies before them isn't read."""
+        held = self.base + len(self.data)
+        if at + n <= held:
+            return self.get(at, n)
+        if at + n > self.size:
+            return b""
+        self.stream.seek(at)
+        got = self.stream.read(n)
+        self.stream.seek(held)
+        return got
 
     def find(self, mark: bytes, at: int) -> int:
         """Where the mark stands next, or -1; bytes before it may be let go."""
@@ -152,7 +167,8 @@ class Window:
 
     def drop(self, at: int) -> None:
         if at - self.base >= BLOCK:
-            self.data, self.base = self.data[at - self.base :], at
+            del self.data[: at - self.base]
+            self.base = at
 
 
 class Bad(Exception):
@@ -168,7 +184,7 @@ def headers(block: bytes) -> dict[str, str]:
         if not colon or not k.strip():
             raise Bad("broken header line")
         out[k.strip().lower().decode("utf-8", "replace")] = v.strip().decode("utf-8", "replace")
-    if not out.get("content-length", "").isdigit() or "warc-type" not in out:
+    if not re.fullmatch("[0-9]{1,18}", out.get("content-length", "")) or "warc-type" not in out:
         raise Bad("no length or type")
     return out
 
@@ -190,12 +206,13 @@ def plain_record(w: Window, at: int) -> tuple[dict, bytes, int]:
             raise Bad("headers without end")
         n *= 4
     got = headers(head[:k])
-    size = int(got["content-length"])
-    whole = w.get(at + k + 4, size + 4)
-    if whole[size:] != END:
+    body, size = at + k + 4, int(got["content-length"])
+    # The mark first: a damaged length must not bring the rest of the file into memory.
+    if w.ahead(body + size, 4) != END:
         raise Bad("no end marker where the block ends")
-    check(got, whole[:size])
-    return got, whole[:size], at + k + 4 + size + 4
+    block = w.get(body, size)
+    check(got, block)
+    return got, block, body + size + 4
 
 
 def gzip_record(w: Window, at: int) -> tuple[dict, bytes, int]:
@@ -224,10 +241,25 @@ def gzip_record(w: Window, at: int) -> tuple[dict, bytes, int]:
     return got, body, end
 
 
+def is_gzip(stream) -> bool:
+    """Whether members stand in the stream: by its first bytes or, if they are
+    damaged, by the first block that holds a mark."""
+    stream.seek(0)
+    tail, got = b"", False
+    while block := stream.read(BLOCK):
+        block = tail + block
+        if GZIP in block or b"WARC/1." in block:
+            got = block.startswith(GZIP) and not tail or b"WARC/1." not in block
+            break
+        tail = block[-6:]
+    stream.seek(0)
+    return got
+
+
 def salvage(stream) -> Iterator[tuple]:
     """(offset, length, None, headers, block) of records and (offset, length, reason, None, None) of gaps."""
+    gzipped = is_gzip(stream)
     w, at = Window(stream), 0
-    gzipped = w.get(0, 3) == GZIP or (w.get(0, 7) != b"WARC/1." and 0 <= w.find(GZIP, 0) and not 0 <= w.data.find(b"WARC/1."))
     mark, one = (GZIP, gzip_record) if gzipped else (b"WARC/1.", plain_record)
     gap, why = None, ""
     while w.get(at, 1):
@@ -267,7 +299,8 @@ def read(files: DataFrame, file: str = "file") -> DataFrame:
             for path in b.column(0).to_pylist():
                 fs, name = open_store(path)
                 rows, held = [], 0
-                with fs.open_input_stream(name) as stream:
+                # Not as a stream: that would inflate the file by its name, and a damaged member would end it.
+                with fs.open_input_file(name) as stream:
                     for at, n, why, h, block in salvage(stream):
                         if h is None:
                             rows.append((path, at, n, why, *[None] * 7))
