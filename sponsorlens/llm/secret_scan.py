@@ -44,25 +44,53 @@ MIN_RATIO = 15.0                    # nats
 REDACTED = "[SECRET]"
 
 
-def _placed(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
-    """Array of (start, end, kind) of the matches; of those whose ``group`` has ``least`` characters."""
+NONE = "cast(array() as array<struct<s:int,e:int,k:int>>)"
+
+
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is evaluated once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _walk(items: Column, empty: str, step) -> Column:
+    """Parts (at, out) of a walk through ``items`` from place 0: ``step(at, item)`` gives the
+    next place and an array to put out. The walk goes in blocks of about the root of the number
+    of items, so that no long array is copied for each item."""
+    begin = lambda at: F.struct(at.alias("at"), F.expr(empty).alias("out"))
+    side = lambda xs: F.greatest(F.ceil(F.sqrt(F.size(xs))).cast("int"), F.lit(1))
+    blocks = _let(items, lambda xs: F.transform(
+        F.sequence(F.lit(0), F.floor(F.greatest(F.size(xs) - 1, F.lit(0)) / side(xs)).cast("int")),
+        lambda i: F.slice(xs, i * side(xs) + 1, side(xs))))
+
+    def put(acc: Column, x: Column) -> Column:
+        at, out = step(acc["at"], x)
+        return F.struct(at.alias("at"), F.concat(acc["out"], out).alias("out"))
+
+    return F.aggregate(blocks, F.array(begin(F.lit(0))), lambda acc, block: F.concat(
+        acc, F.array(F.aggregate(block, begin(F.element_at(acc, -1)["at"]), put))))
+
+
+def _matches(text: Column, pattern: str, group: int = 0) -> Column:
+    """Array of (s, e, v, own): the matches, and how long their ``group`` is."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.transform(F.split(text, pattern, -1), F.length)
-    sized = F.transform(found, F.length)
-    group_size = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length) if group else sized
-    steps = F.arrays_zip(F.slice(between, 1, F.size(sized)).alias("gap"), sized.alias("len"), group_size.alias("own"))
-    none = F.expr("cast(array() as array<struct<s:int,e:int,k:int,own:int>>)")
-    walked = F.aggregate(
-        steps, F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["len"]).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + x["gap"]).alias("s"), (acc["at"] + x["gap"] + x["len"]).alias("e"),
-                F.lit(kind).alias("k"), x["own"].alias("own")))).alias("out")),
-        lambda acc: acc["out"])
-    kept = F.filter(walked, lambda x: x["own"] >= least) if least else walked
-    return F.when(text.rlike(pattern), F.transform(kept, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k")))
-                  ).otherwise(F.expr("cast(array() as array<struct<s:int,e:int,k:int>>)"))
+    own = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found, F.length)
+    steps = F.arrays_zip(F.slice(between, 1, F.size(found)).alias("gap"), found.alias("v"), own.alias("own"))
+
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        start, end = at + x["gap"], at + x["gap"] + F.length(x["v"])
+        return end, F.array(F.struct(start.alias("s"), end.alias("e"), x["v"].alias("v"), x["own"].alias("own")))
+
+    empty = "cast(array() as array<struct<s:int,e:int,v:string,own:int>>)"
+    walked = F.flatten(F.transform(_walk(steps, empty, step), lambda part: part["out"]))
+    return F.when(text.rlike(pattern), walked).otherwise(F.expr(empty))
+
+
+def _placed(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
+    """Array of (s, e, k) of the matches; of those whose ``group`` has ``least`` characters."""
+    found = _matches(text, pattern, group)
+    return F.transform(F.filter(found, lambda x: x["own"] >= least) if least else found,
+                       lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("k")))
 
 
 def base_spans(text: Column) -> Column:
@@ -71,11 +99,27 @@ def base_spans(text: Column) -> Column:
         _placed(text, ASSIGN, 0, group=2, least=8), _placed(text, ACCESS, 1), _placed(text, HEX, 2)))
 
 
+def _overlaps(spans: Column, run: Column) -> Column:
+    """Whether a run overlaps one of ``spans`` (in order, disjoint): halving
+    finds the first that ends after the run's start."""
+    def halve(a: Column, _: Column) -> Column:
+        middle = F.shiftright(a["lo"] + a["hi"], 1)
+        return F.when(a["lo"] >= a["hi"], a).when(
+            F.get(spans, middle)["e"] > run["s"], F.struct(a["lo"].alias("lo"), middle.alias("hi"))).otherwise(
+            F.struct((middle + 1).alias("lo"), a["hi"].alias("hi")))
+
+    first = F.aggregate(F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + 1)).cast("int")),
+                        F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi")), halve, lambda a: a["lo"])
+    return F.coalesce(F.get(spans, first)["s"] < run["e"], F.lit(False))
+
+
 def _runs(text: Column, base: Column, pattern: str) -> Column:
-    """(start, end, touched): runs, and whether a base span touches each."""
-    runs = _placed(text, RUN_START + pattern, 3)
-    return F.transform(runs, lambda r: F.struct(
-        r["s"].alias("s"), r["e"].alias("e"), F.exists(base, lambda b: (b["s"] < r["e"]) & (r["s"] < b["e"])).alias("touched")))
+    """(s, e, v, touched): runs, and whether a base span touches each."""
+    kind = lambda k: F.filter(base, lambda x: x["k"] == k).alias(KINDS[k])
+    return _let(F.struct(kind(0), kind(1), kind(2)), lambda spans: F.transform(
+        _matches(text, RUN_START + pattern), lambda r: F.struct(
+            r["s"].alias("s"), r["e"].alias("e"), r["v"].alias("v"),
+            (_overlaps(spans[KINDS[0]], r) | _overlaps(spans[KINDS[1]], r) | _overlaps(spans[KINDS[2]], r)).alias("touched"))))
 
 
 def samples(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -85,8 +129,7 @@ def samples(docs: DataFrame, text: str = "text") -> DataFrame:
     own = (docs.select(t.alias(text)).filter(F.col(text).rlike(RUN_START + SAMPLE))
            .withColumn(spans, base_spans(F.col(text)))
            .select(text, F.explode(_runs(F.col(text), F.col(spans), SAMPLE)).alias(run))
-           .select(F.col(text).substr(F.col(run)["s"] + 1, F.col(run)["e"] - F.col(run)["s"]).alias("sample"),
-                   F.col(run)["touched"].alias("is_random"))
+           .select(F.col(run)["v"].alias("sample"), F.col(run)["touched"].alias("is_random"))
            .filter(F.col("is_random") | ~F.col("sample").rlike("[0-9]") | ~F.col("sample").rlike("[A-Za-z]")))
     made = docs.sparkSession.range(SYNTHETIC).select(
         F.base64(F.unhex(F.sha2(F.concat(F.lit("sample "), F.col("id").cast("string")), 256))).alias("sample"),
@@ -121,24 +164,22 @@ def scan(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame
     docs = docs.drop(spans) if spans != text else docs
     base = fresh_name(docs, "base_spans")
     t = F.coalesce(F.col(text), F.lit(""))
-    value = lambda r: t.substr(r["s"] + 1, r["e"] - r["s"])
     added = F.when(t.rlike(RUN_START + CANDIDATE), F.transform(
-        F.filter(_runs(t, F.col(base), CANDIDATE), lambda r: ~r["touched"] & value(r).rlike("[0-9]") & (ratio(value(r), model) >= MIN_RATIO)),
+        F.filter(_runs(t, F.col(base), CANDIDATE), lambda r: ~r["touched"] & r["v"].rlike("[0-9]") & (ratio(r["v"], model) >= MIN_RATIO)),
         lambda r: F.struct(r["s"].alias("s"), r["e"].alias("e"), F.lit(3).alias("k"))))
     return (docs.withColumn(base, base_spans(t))
-            .withColumn(spans, F.array_sort(F.concat(F.col(base), F.coalesce(added, F.expr("cast(array() as array<struct<s:int,e:int,k:int>>)")))))
+            .withColumn(spans, F.array_sort(F.concat(F.col(base), F.coalesce(added, F.expr(NONE)))))
             .drop(base))
 
 
 def redact(scanned: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
     """``scanned`` with REDACTED in place of every span (overlapping ones count as one)."""
-    cut = F.aggregate(
-        F.col(spans), F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("parts")),
-        lambda acc, x: F.struct(
-            F.greatest(acc["at"], x["e"]).alias("at"),
-            F.when(x["s"] >= acc["at"], F.concat(acc["parts"], F.array(
-                F.col(text).substr(acc["at"] + 1, x["s"] - acc["at"]), F.lit(REDACTED)))).otherwise(acc["parts"]).alias("parts")),
-        lambda acc: F.concat(F.array_join(acc["parts"], ""), F.col(text).substr(acc["at"] + 1, F.length(F.col(text)))))
+    none = "cast(array() as array<string>)"
+    walked = _walk(F.col(spans), none, lambda at, x: (F.greatest(at, x["e"]), F.when(x["s"] >= at, F.array(
+        F.col(text).substr(at + 1, x["s"] - at), F.lit(REDACTED))).otherwise(F.expr(none))))
+    cut = _let(walked, lambda parts: F.concat(
+        F.array_join(F.flatten(F.transform(parts, lambda part: part["out"])), ""),
+        F.col(text).substr(F.element_at(parts, -1)["at"] + 1, F.length(F.col(text)))))
     return scanned.withColumn(text, F.when(F.size(spans) > 0, cut).otherwise(F.col(text)))
 
 
