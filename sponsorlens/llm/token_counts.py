@@ -134,19 +134,27 @@ def _resync(huge: DataFrame, key: str, text: str, tokenizer: str, chunk: int, ov
                     rows.append((k, i + 1, piece[at_end:], 0, [ids[x] for x in keep], [starts[x] for x in keep], at + at_end, False))
             yield pd.DataFrame(rows, columns=["k", "b", "overlap", "n", "ids", "starts", "at", "is_right"])
 
-    def join(df: pd.DataFrame) -> pd.DataFrame:
-        k, b = int(df.k.iloc[0]), int(df.b.iloc[0])
-        if b < 0:
-            return pd.DataFrame([(k, int(df.n.sum()), False)], columns=["k", "n", "failed"])
-        r, lf = df[df.is_right].iloc[0], df[~df.is_right].iloc[0]
-        twice = splice((list(lf.ids), list(lf.starts)), (list(r.ids), list(r.starts)), r.overlap, int(r["at"]))
-        return pd.DataFrame([(k, -(twice or 0), twice is None)], columns=["k", "n", "failed"])
+    def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # The two sides of a boundary follow each other, maybe in two batches.
+        left = None
+        for df in frames:
+            rows = []
+            for r in df.itertuples(index=False):
+                if r.b < 0:
+                    rows.append((r.k, r.n, False))
+                elif not r.is_right:
+                    left = r
+                else:
+                    twice = splice((list(left.ids), list(left.starts)), (list(r.ids), list(r.starts)), r.overlap, r.at)
+                    rows.append((r.k, -(twice or 0), twice is None))
+            yield pd.DataFrame(rows, columns=["k", "n", "failed"])
 
     pieces = huge.select(F.col(key).alias("k"), F.col(text).alias("piece")).mapInArrow(
         cut, "k long, i long, at long, last boolean, piece string").repartition(parts, "k", "i")
     sides = pieces.mapInPandas(
         encode, "k long, b long, overlap string, n long, ids array<long>, starts array<long>, at long, is_right boolean")
-    return sides.groupBy("k", "b").applyInPandas(join, "k long, n long, failed boolean").groupBy("k").agg(
+    dealt = sides.repartition(parts, "k", "b").sortWithinPartitions("k", "b", "is_right")
+    return dealt.mapInPandas(join, "k long, n long, failed boolean").groupBy("k").agg(
         F.sum("n").alias("n"), F.max("failed").alias("failed"))
 
 
