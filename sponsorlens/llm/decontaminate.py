@@ -291,7 +291,8 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "ite
     if blocks == 1:
         return _hits(docs, text, phrases(0), shard_words, cleaned)
     key = fresh_name(docs, "row_key")
-    keyed = docs.withColumn(key, F.monotonically_increasing_id())
+    # Written: the keys must stay the same in every block.
+    keyed = written(docs.withColumn(key, F.monotonically_increasing_id()), "keyed_texts")
     found = None
     for k in range(blocks):
         hits = written(_hits(keyed.select(key, text), text, phrases(k), shard_words)
