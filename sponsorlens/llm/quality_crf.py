@@ -8,7 +8,9 @@ logistic curve fitted on the training documents makes it a probability of
 label 1.
 
 Training takes a bounded sample of labelled documents, at most ``SAMPLE`` of
-either label, chosen by a hash of the id; each line takes its document's label.
+either label, chosen by a hash of the id, and of these as many as have ``LINES``
+lines together (a document that would go over it is left out of the sample);
+each line takes its document's label.
 Conditional likelihood is climbed from the lines' marginals. Features come from
 the text alone, never from labels, lang, source or ids.
 
@@ -31,6 +33,7 @@ from .common import crc_mod5, table, with_outputs
 from .hmm_scores import by_step
 
 SAMPLE = 3000
+LINES = 150_000
 STEPS = 250
 RATE = 0.05
 RIDGE = 1e-3
@@ -178,7 +181,18 @@ class Field:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
+def within(sizes: list[tuple[int, int, int]], most: int) -> list[int]:
+    """Of (id, label, lines), the ids taken one after the other while each label's lines stay within ``most``."""
+    total: dict[int, int] = {}
+    out = []
+    for doc_id, label, n in sizes:
+        if total.get(label, 0) + n <= most:
+            total[label] = total.get(label, 0) + n
+            out.append(doc_id)
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines: int = LINES) -> Field:
     """Fits the field on ``docs`` (doc_id, text) and ``labels`` (doc_id, quality)."""
     told = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id")
             .agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).filter("quality = most")
@@ -187,8 +201,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     some = [told.filter(F.col("quality") == q).orderBy("h", "doc_id").limit(sample) for q in (0, 1)]
     # At most 2 * sample rows of three numbers.
     chosen = F.broadcast(some[0].union(some[1]))
-    rows = (docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "quality")
-            .agg(F.min("text").alias("text")).select("doc_id", "quality", "text"))
+    rows = (docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "quality", "h")
+            .agg(F.min("text").alias("text")))
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n"))
+    sizes = rows.select("doc_id", "quality", n_lines.alias("n"), "h").collect()
+    taken = within([(r.doc_id, r.quality, r.n) for r in sorted(sizes, key=lambda r: (r.h, r.doc_id))], lines)
+    if len(taken) < len(sizes):
+        rows = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in taken], "doc_id long")), "doc_id", "left_semi")
+    rows = rows.select("doc_id", "quality", "text")
     schema = "doc_id long, quality int, n int, x binary, length binary"
     arrow = pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("n", pa.int32()), ("x", pa.binary()), ("length", pa.binary())])
 
