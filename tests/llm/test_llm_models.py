@@ -45,6 +45,55 @@ def test_salvage_of_truncated_empty_and_foreign_files():
     assert [g[1] for g in warc.salvage(io.BytesIO(b"no archive"))] == [10]
 
 
+class Counted(io.BytesIO):
+    """A stream that knows how much was read from it."""
+    told = 0
+
+    def read(self, n=-1):
+        got = super().read(n)
+        self.told += len(got)
+        return got
+
+
+def test_a_damaged_length_does_not_read_the_rest():
+    small = [warc.record("response", f"urn:page:{i}", b"x" * 500, "", None) for i in range(3)]
+    data = small[0].replace(b"Content-Length: 500", b"Content-Length: 9000000") + small[1] + small[2] + b"z" * (10 << 20)
+    stream = Counted(data)
+    got = warc.salvage(stream)
+    assert [next(got)[:2], next(got)[0]] == [(0, len(small[0]) + 4), len(small[0]) + 4]
+    assert stream.told <= 3 << 20
+    for length in (b"9" * 5000, "²".encode(), b"-1"):
+        found = list(warc.salvage(io.BytesIO(small[0].replace(b"Content-Length: 500", b"Content-Length: " + length) + small[1])))
+        assert [g[2] is None for g in found] == [False, True]
+
+
+def test_salvage_of_a_large_file_with_a_damaged_start():
+    for kind in (warc.member, bytes):
+        rows = [kind(warc.record("response", f"urn:page:{i}", random.Random(i).randbytes(1 << 20), "", None)) for i in range(4)]
+        got = list(warc.salvage(io.BytesIO(b"?" * (3 << 20) + b"".join(rows))))
+        assert [g[2] is None for g in got] == [False, True, True, True, True] and got[0][:2] == (0, 3 << 20)
+
+
+def test_read_salvages_damaged_members_of_a_file(spark):
+    pages = spark.createDataFrame([(i, f"page {i} " * 500, "u") for i in range(50)], "page_id long, html string, url string").coalesce(1)
+    for row in warc.write(pages).collect():
+        fs, name = warc.open_store(row.file)
+        with fs.open_input_file(name) as f:
+            data = bytearray(f.read())
+        assert len(data) == row.bytes
+        if row.records < 3:
+            continue
+        # The second member's middle.
+        second = data.index(warc.GZIP, 10)
+        data[(second + data.index(warc.GZIP, second + 10)) // 2] ^= 0xFF
+        hurt = row.file.replace(".warc.gz", "-hurt.warc.gz")
+        with fs.open_output_stream(warc.open_store(hurt)[1], compression=None) as f:
+            f.write(bytes(data))
+        got = warc.read(spark.createDataFrame([(hurt,)], "file string")).collect()
+        assert sum(r.gap is None for r in got) == row.records - 1 and sum(r.gap is not None for r in got) == 1
+        assert sum(r.length for r in got) == len(data)
+
+
 @pytest.mark.parametrize("least", [0, 3])
 def test_warc_revisits(spark, least):
     rows = [(1, "same"), (2, "same"), (None, "same"), (3, None), (4, ""), (5, "own"), (5, "own"), (None, "alone"), (6, "ü" * 9000)]
@@ -183,6 +232,16 @@ def test_quality_odd_texts_and_labels(spark):
     assert quality_crf.score(docs.limit(0), quality_crf.train(docs, told)).count() == 0
 
 
+def test_quality_sample_is_bounded_in_lines(spark):
+    assert quality_crf.within([(1, 0, 5), (2, 1, 9), (3, 0, 4), (4, 0, 2), (5, 1, 1), (6, 0, 1)], 8) == [1, 4, 5, 6]
+    rows = [(i, ("Good line here.\n" if i % 2 else "!!! $$ 11\n") * (5000 if i == 4 else 3)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    told = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in quality_crf.score(docs, quality_crf.train(docs, told, lines=60)).collect()}
+    assert all((got[i] > 0.5) == bool(i % 2) for i in range(40))
+    assert not quality_crf.train(docs, told, lines=1).fitted
+
+
 # -- near duplicates
 
 def near_texts(seed=1):

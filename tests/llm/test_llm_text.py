@@ -69,6 +69,21 @@ def test_token_counts_empty_table_and_repeated_rows(spark):
     assert [r.n_tokens for r in token_counts.count_tokens(df, WORDS, chunk=50, overlap=4).collect()] == [200] * 3
 
 
+def test_sides_of_a_boundary_in_two_batches(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(WORDS)
+    rows = noise(6, "ab1 \n", 4000, seed=7)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(texts(spark, rows), WORDS, chunk=200, overlap=4).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert got == {i: len(tok.encode(t, add_special_tokens=False).ids) for i, t in enumerate(rows)}
+
+
 def test_splice_needs_a_common_boundary():
     assert token_counts.splice(([1], [3]), ([1], [3]), "abc", 3) is None
     assert token_counts.splice(([1, 2], [3, 5]), ([9, 2], [3, 5]), "a bc", 3) == 2
@@ -204,6 +219,56 @@ def test_secret_models_tell_random_strings_from_names(spark):
     assert hidden[len(names)] == "key [SECRET] end" and hidden[0] == "see get_user_account_settings in the text"
 
 
+def scan_by_hand(rows):
+    """All spans: the base ones, and runs by the ratio of two models of letter pairs."""
+    import base64
+    import math
+
+    base = [spans_by_hand(t) for t in rows]
+    touched = lambda i, m: any(s < m.end() and m.start() < e for s, _, e in base[i])
+    told = [(base64.b64encode(hashlib.sha256(f"sample {i}".encode()).digest()).decode(), True) for i in range(secret_scan.SYNTHETIC)]
+    for i, t in enumerate(rows):
+        for m in re.finditer(r"[A-Za-z0-9_+/=-]{12,}", t or ""):
+            if touched(i, m) or not re.search("[0-9]", m[0]) or not re.search("[A-Za-z]", m[0]):
+                told.append((m[0], touched(i, m)))
+    pairs = {True: {}, False: {}}
+    for x, kind in told:
+        for a, b in zip(x, x[1:]):
+            pairs[kind].setdefault(a, []).append(b)
+    p = lambda kind, a, b: (pairs[kind].get(a, []).count(b) + 1) / (len(pairs[kind].get(a, [])) + 67)
+    out = []
+    for i, t in enumerate(rows):
+        added = [(m.start(), 3, m.end()) for m in re.finditer(r"[A-Za-z0-9_+/=-]{20,}", t or "")
+                 if not touched(i, m) and re.search("[0-9]", m[0])
+                 and sum(math.log(p(True, a, b) / p(False, a, b)) for a, b in zip(m[0], m[0][1:])) >= secret_scan.MIN_RATIO]
+        out.append(sorted(base[i] + added))
+    return out
+
+
+def test_secret_spans_of_both_models_equal_brute_force(spark):
+    r = random.Random(8)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    key = lambda n: "".join(r.choice(alnum) for _ in range(n))
+    word = lambda: "_".join(r.choice(["load", "user", "table", "index", "row", "2024", "v2"]) for _ in range(r.randint(2, 7)))
+    some = [lambda: key(r.randint(18, 40)), word, lambda: f"token={key(12)}", lambda: r.randbytes(20).hex(), lambda: "AKIA" + "Q7" * 8,
+            lambda: f"{r.randbytes(16).hex()}-{key(9)}", lambda: "plain words", lambda: "é😀", word, word]
+    rows = [None, "", *(" ".join(r.choice(some)() for _ in range(r.randint(1, 12))) for _ in range(60)),
+            *(" ".join(word() for _ in range(40)) for _ in range(60))]
+    got = {x.doc_id: sorted((s.s, s.k, s.e) for s in x.spans) for x in secret_scan.scan(texts(spark, rows)).collect()}
+    want = scan_by_hand(rows)
+    assert got == dict(enumerate(want)) and 5 < sum(k == 3 for x in want for _, k, _ in x)
+
+
+def test_secrets_of_a_text_full_of_them(spark):
+    n = 20_000
+    hashes = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(n)]
+    found = secret_scan.scan(texts(spark, [" ".join(hashes), "token=abcdefgh1"]))
+    got = {r.doc_id: [(x.s, x.e, x.k) for x in r.spans] for r in found.select("doc_id", "spans").collect()}
+    assert got == {0: [(41 * i, 41 * i + 40, 2) for i in range(n)], 1: [(0, 15, 0)]}
+    hidden = {r.doc_id: r.text for r in secret_scan.redact(found).collect()}
+    assert hidden == {0: " ".join(["[SECRET]"] * n), 1: "[SECRET]"}
+
+
 def test_secret_empty_table(spark):
     assert secret_scan.scan(texts(spark, [])).count() == 0
 
@@ -241,6 +306,17 @@ def test_decontamination_by_hand(spark, options):
         assert (x.n_words, sum(s.e - s.s for s in x.word_spans), x.item_ids) == want
 
 
+def test_decontamination_in_blocks_of_a_shuffled_input(spark):
+    r = random.Random(4)
+    docs = [" ".join(r.choice(["a", "b", "c"]) for _ in range(r.randint(0, 40))) for _ in range(300)]
+    items = [(i, " ".join(r.choice(["a", "b", "c"]) for _ in range(7))) for i in range(40)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    mixed = texts(spark, docs).drop("n_words").repartition(7)
+    got = {x.doc_id: x for x in decontaminate.find(mixed, bench, block_words=15).collect()}
+    for i, want in enumerate(hits_by_hand(docs, items)):
+        assert (got[i].n_words, sum(s.e - s.s for s in got[i].word_spans), got[i].item_ids) == want
+
+
 def test_decontamination_cuts_the_passage_only(spark):
     passage = "One two, three four five six; seven eight nine ten eleven."
     docs = texts(spark, [f"Before it. {passage} After it.", "clean text", None])
