@@ -51,6 +51,34 @@ def test_hot_key_dedup_is_partial(spark):
     assert staged.first().case_number == "I-200-HOT"
 
 
+def test_staging_shuffles_rows_once(spark):
+    """Typing, keep-last and the derived columns take one shuffle of the rows and no copy in between."""
+    raw = make_rows(spark, 50, seed=4).unionByName(make_rows(spark, 50, seed=4, source_file="b.csv"))
+    staged = TR.stage_lca(raw)
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "WindowExec" not in plan
+    assert staged.count() == 100
+
+
+def test_rows_without_order_have_no_last(spark):
+    raw = _raw(spark, [("I-200-1", "Acme", "a", "x", None, "a.csv"), ("I-200-2", "Acme", "b", "x", None, "a.csv"),
+                       ("I-200-2", "Acme", "c", "x", 1, "a.csv")])
+    assert [(r.case_number, r.job_title) for r in TR.stage_lca(raw).collect()] == [("I-200-2", "C")]
+
+
+def test_rows_of_the_last_file(spark, tmp_path):
+    """The last file of a case (by name) has its row; rows of no file are of none. Only cases of several files
+    are looked up, so that the rows stay where they are."""
+    rows = [("I-1", "a.csv", 1), ("I-1", "b.csv", 2), ("I-2", "a.csv", 3), ("I-3", None, 4), ("I-4", None, 5), ("I-4", "a.csv", 6)]
+    path = str(tmp_path / "staged")
+    spark.createDataFrame(rows, "case_number string, source_file string, n long").write.parquet(path)
+    last = TR.of_last_file(spark.read.parquet(path))
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert sorted(r.n for r in last.collect()) == [2, 3, 6]
+    assert last.columns == ["case_number", "source_file", "n"]
+
+
 def test_perm_candidates(spark):
     raw = spark.createDataFrame(
         [("A-100-1", "Certified", "2024-10-05", "Acme LLC", "15-1252.00", "90,000", "Year", 1, "perm.csv")],
