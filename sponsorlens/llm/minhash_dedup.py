@@ -9,7 +9,8 @@ shingles to 1 for one in every document:
 N counts all documents, df those that hold the shingle. Only shingles with df
 of T or more need a count of their own. Each task emits those that reach its
 share of T among its own documents, which every such shingle must do in some
-task; these candidates are counted exactly, over all documents. At most
+task; these candidates are counted exactly, over all documents, if they are many
+after one more such look by larger tasks. At most
 (shingles of a mean document) / (2 * RARE) can reach T, so the table is bounded.
 
 Signatures are improved consistent weighted sampling (Ioffe 2010): two texts
@@ -32,6 +33,7 @@ if none has one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -238,8 +240,9 @@ def _block_shingles(docs: DataFrame, n: int, t: int) -> DataFrame:
     return docs.select("text").coalesce(max(1, n // BLOCK_DOCUMENTS)).mapInArrow(run, "s long").distinct()
 
 
-def _document_counts(docs: DataFrame, wanted: np.ndarray, tasks: int) -> DataFrame:
-    """(s, df) of the shingles in a sorted array, counted in at most some tasks."""
+def _document_counts(docs: DataFrame, wanted: np.ndarray, tasks: int, over: tuple[int, int] | None = None) -> DataFrame:
+    """(s, df) of the shingles in a sorted array, counted in at most some tasks. With ``over`` (t, n),
+    only those that reach their share of t in some task, with their counts in such tasks."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,12 +251,14 @@ def _document_counts(docs: DataFrame, wanted: np.ndarray, tasks: int) -> DataFra
         slot = np.zeros(1 << 24, bool)
         slot[(wanted & mask).astype(np.int64)] = True
         df = np.zeros(len(wanted), np.int64)
+        seen = 0
         for b in batches:
+            seen += b.num_rows
             for s in cut.many(b.column(0).to_pylist()):
                 s = np.unique(s[slot[(s & mask).astype(np.int64)]])
                 at = np.minimum(np.searchsorted(wanted, s), len(wanted) - 1)
                 df[at[wanted[at] == s]] += 1
-        some = np.flatnonzero(df)
+        some = np.flatnonzero(df > ((over[0] - 1) * seen // over[1] if over else 0))
         for k in range(0, len(some), 100_000):
             i = some[k : k + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(wanted[i].view(np.int64)), pa.array(df[i])], names=["s", "n"])
@@ -261,6 +266,16 @@ def _document_counts(docs: DataFrame, wanted: np.ndarray, tasks: int) -> DataFra
     return docs.select("text").coalesce(tasks).mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("df"))
 
 
+def _passes(found: DataFrame) -> Iterator[np.ndarray]:
+    """The shingles of ``found`` (s) in sorted arrays of HEAVY_BLOCK or so numbers of 8 bytes."""
+    passes = max(1, -(-found.count() // HEAVY_BLOCK))
+    for k in range(passes):
+        part = found.filter(F.pmod(F.xxhash64("s"), F.lit(passes)) == k) if passes > 1 else found
+        wanted = np.sort(part.toArrow().column("s").to_numpy().view(np.uint64))    # as Arrow buffers
+        if len(wanted):
+            yield wanted
+
+
 def weigh(docs: DataFrame) -> Weights:
     """The corpus statistics of the shingles of ``docs`` (text)."""
     n = docs.count()
@@ -269,14 +284,14 @@ def weigh(docs: DataFrame) -> Weights:
         return Weights(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, t)
     found = written(_block_shingles(docs, n, t), "candidates")
     tasks = max(1, n // COUNT_DOCUMENTS)
-    passes = max(1, -(-found.count() // HEAVY_BLOCK))
+    if found.count() > n // 2:
+        # Many are frequent in a block only. What reaches T reaches its share in some counting task too,
+        # whose documents are more: the others are never sent on.
+        parts = [written(_document_counts(docs, wanted, tasks, (t, n)).select("s"), "narrowed") for wanted in _passes(found)]
+        found = reduce(DataFrame.union, parts)
     heavy: list[tuple[int, int]] = []
-    for k in range(passes):
-        part = found.filter(F.pmod(F.xxhash64("s"), F.lit(passes)) == k) if passes > 1 else found
-        # At most HEAVY_BLOCK or so numbers of 8 bytes, as Arrow buffers.
-        wanted = np.sort(part.toArrow().column("s").to_numpy().view(np.uint64))
-        if len(wanted):
-            heavy += [(r.s, r.df) for r in _document_counts(docs, wanted, tasks).filter(F.col("df") >= t).collect()]
+    for wanted in _passes(found):
+        heavy += [(r.s, r.df) for r in _document_counts(docs, wanted, tasks).filter(F.col("df") >= t).collect()]
     both = np.array(heavy, np.int64).reshape(-1, 2)
     return Weights(both[:, 0].copy().view(np.uint64), both[:, 1], n, t)
 

@@ -3,6 +3,7 @@ import io
 import itertools
 import math
 import random
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -496,3 +497,21 @@ def test_op1_sql(spark):
     want = con.execute(warc.OP1_SQL).fetchall()
     got = [tuple(r) for r in warc.op1_warc(spark, SF).collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_shingles_of_local_groups_are_not_counted_everywhere(spark, monkeypatch):
+    """Groups of near copies that lie together make shingles that are frequent in a block only; those over a
+    larger task's share are counted, and the heavy ones are as by brute force."""
+    monkeypatch.setattr(minhash_dedup, "RARE", 0.05)
+    monkeypatch.setattr(minhash_dedup, "BLOCK_DOCUMENTS", 20)
+    monkeypatch.setattr(minhash_dedup, "COUNT_DOCUMENTS", 200)
+    text = [" ".join(f"w{i // 10}x{k}" for k in range(60)) + (" one line that all of some share" if i % 3 == 0 else "") for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(text)), "doc_id long, text string").repartitionByRange(20, "doc_id")
+    counted, count = [], minhash_dedup._document_counts
+    monkeypatch.setattr(minhash_dedup, "_document_counts", lambda docs, wanted, *a: counted.append(len(wanted)) or count(docs, wanted, *a))
+    got = minhash_dedup.weigh(docs.select("text"))
+    cut = minhash_dedup.Shingler()
+    df = Counter(int(s) for t in text for s in set(cut(t).tolist()))
+    want = {s: c for s, c in df.items() if c >= 40}
+    assert want and dict(zip(got.heavy.tolist(), got.df.tolist())) == want
+    assert counted[-1] < 50 < counted[0]
