@@ -67,16 +67,17 @@ def test_rows_without_order_have_no_last(spark):
 
 
 def test_rows_of_the_last_file(spark, tmp_path):
-    """The last file of a case (by name) has its row; rows of no file are of none. Only cases of several files
-    are looked up, so that the rows stay where they are."""
-    rows = [("I-1", "a.csv", 1), ("I-1", "b.csv", 2), ("I-2", "a.csv", 3), ("I-3", None, 4), ("I-4", None, 5), ("I-4", "a.csv", 6)]
+    """The last file of a case (by name) has its row; rows of no file are of none, and a last file whose rows
+    lack their order leaves none. Only cases of several files are looked up, so that the rows stay where they are."""
+    rows = [("I-1", "a.csv", 1, "x"), ("I-1", "b.csv", 2, "x"), ("I-2", "a.csv", 3, "x"), ("I-3", None, 4, "x"), ("I-4", None, 5, "x"),
+            ("I-4", "a.csv", 6, "x"), ("I-5", "a.csv", 7, "x"), ("I-5", "b.csv", 8, None)]
     path = str(tmp_path / "staged")
-    spark.createDataFrame(rows, "case_number string, source_file string, n long").write.parquet(path)
+    spark.createDataFrame(rows, "case_number string, source_file string, n long, employer_name string").write.parquet(path)
     last = TR.of_last_file(spark.read.parquet(path))
     plan = last._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
     assert sorted(r.n for r in last.collect()) == [2, 3, 6]
-    assert last.columns == ["case_number", "source_file", "n"]
+    assert last.columns == ["case_number", "source_file", "n", "employer_name"]
 
 
 def test_perm_candidates(spark):
