@@ -2,6 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from sponsorlens import schemas as S
 from sponsorlens.operators import audits as AU
 from sponsorlens.operators.warehouse import Warehouse, load_lca
 from sponsorlens.plans import views
@@ -289,3 +290,76 @@ def test_batch_rows_are_dealt_to_parts_once(spark, wh, monkeypatch):
     rows = {t: wh.read(t).select("case_number", "fiscal_year").collect() for t in ("lca_filings", "sponsorships_serving")}
     assert len(rows["lca_filings"]) == 300 and sorted(map(str, rows["lca_filings"])) == sorted(map(str, rows["sponsorships_serving"]))
     assert read_extract(spark, path).count() == 300
+
+
+def test_first_batch_is_written_once_and_as_facts(spark, wh):
+    """The first snapshot of the facts is the dealt batch: there is no copy of it besides, and the tables read the same."""
+    load_lca(wh, make_rows(spark, 200, seed=11))
+    assert not [n for n in wh.written if n.startswith("batch_")]
+    assert wh.read("lca_filings").columns == S.WAREHOUSE_TABLES["lca_filings"].fieldNames()
+    columns = views.V1_COLUMNS
+    served, joined = (sorted(map(str, views.sponsorships(wh, columns, materialised=m).collect())) for m in (True, False))
+    assert served == joined and len(served) == 200
+    load_lca(wh, make_rows(spark, 100, seed=12, source_file="later.csv"))
+    assert [n for n in wh.written if n.startswith("batch_")] == ["batch_lca_filings"]
+    served, joined = (sorted(map(str, views.sponsorships(wh, columns, materialised=m).collect())) for m in (True, False))
+    assert served == joined
+
+
+def test_dealt_rows_have_no_occupation_texts(spark, wh, monkeypatch):
+    """Rows are shuffled to parts with the occupation's id; its code, title and category join the dealt rows."""
+    from sponsorlens.operators import warehouse as M
+    dealt, kept = [], M.by_part
+    monkeypatch.setattr(M, "by_part", lambda rows: dealt.append(rows.columns) or kept(rows))
+    load_lca(wh, _raw_rows(spark, ROWS))
+    assert len(dealt) == 1 and not [c for c in dealt[0] if "soc" in c or "job_category" in c]
+    served, joined = ({r.case_number: (r.soc_code, r.soc_title, r.job_category) for r in views.sponsorships(wh, materialised=m).collect()}
+                      for m in (True, False))
+    assert served == joined and served["I-200-2"][:2] == ("15-1252", "Software Developers") and served["I-200-5"] == (None, None, None)
+
+
+def test_shuffles_of_a_load_start_in_proportion_to_its_files(spark, wh, tmp_path, monkeypatch):
+    """Partitions that shuffles start with follow the bytes of the files that are read, with the session's number as a
+    floor, and settings for small tasks are taken back."""
+    from sponsorlens import session as X
+    path = _csv_file(spark, tmp_path, 500, 13, "sized.csv")
+    before = {k: spark.conf.get(k, None) for k in (X.INITIAL, X.ADVISORY, X.SPLIT)}
+    raw = read_raw_csv(spark, [path])
+    try:
+        assert X.fit_partitions(spark, raw) == int(spark.conf.get(X.INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+        monkeypatch.setattr(X, "INPUT_BYTES", 1000)
+        size = (tmp_path / "sized.csv").stat().st_size
+        load_lca(wh, raw)
+        assert spark.conf.get(X.INITIAL) == str(-(-size // 1000)) and size > 20_000
+        assert {k: spark.conf.get(k, None) for k in (X.ADVISORY, X.SPLIT)} == {k: before[k] for k in (X.ADVISORY, X.SPLIT)}
+        assert wh.read("lca_filings").count() == 500
+    finally:
+        spark.conf.unset(X.INITIAL) if before[X.INITIAL] is None else spark.conf.set(X.INITIAL, before[X.INITIAL])
+
+
+def test_small_tasks_only_lowers(spark):
+    from sponsorlens.session import SPLIT, TASK_BYTES, _bytes, small_tasks
+    assert [_bytes(x) for x in ("64MB", "16m", "134217728b", "1g", "7")] == [64 << 20, 16 << 20, 134217728, 1 << 30, 7]
+    before = spark.conf.get(SPLIT, None)
+    try:
+        for given, during in (("128m", str(TASK_BYTES)), ("1m", "1m")):
+            spark.conf.set(SPLIT, given)
+            with pytest.raises(RuntimeError), small_tasks(spark, SPLIT):
+                assert spark.conf.get(SPLIT) == during
+                raise RuntimeError
+            assert spark.conf.get(SPLIT) == given
+    finally:
+        spark.conf.unset(SPLIT) if before is None else spark.conf.set(SPLIT, before)
+
+
+def test_lines_of_the_fixture_are_shuffled_for_one_join(spark, tmp_path):
+    """Without broadcasts, the lines go to their orders; customers were joined to the orders before."""
+    from sponsorlens.sources.fixtures import raw_lca
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "-1")
+    try:
+        plan = raw_lca(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    assert "hashpartitioning(l_orderkey" in plan and "hashpartitioning(o_custkey" not in plan
