@@ -363,3 +363,31 @@ def test_lines_of_the_fixture_are_shuffled_for_one_join(spark, tmp_path):
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     assert "hashpartitioning(l_orderkey" in plan and "hashpartitioning(o_custkey" not in plan
+
+
+def test_whole_rows_move_packed(spark, wh, monkeypatch):
+    """Shuffles of whole rows (staging, employers, parts) carry one string for all texts but the keys."""
+    from sponsorlens.operators import transform as T
+    moved, kept = [], T.packed
+    monkeypatch.setattr(T, "packed", lambda rows, but=(): moved.append(kept(rows, but)) or moved[-1])
+    load_lca(wh, make_rows(spark, 100, seed=21))
+    texts = [[f.name for f in m.schema if f.dataType.typeName() == "string"] for m in moved]
+    assert texts == [["case_number", "source_file", "_packed"], ["employer_name_clean", "_packed"], ["case_number", "_packed"]]
+
+
+def test_packed_texts_come_back_as_they_were(spark):
+    """NULL, empty, separators, escapes, line breaks, bytes that are no UTF-8 and other types survive packing."""
+    from sponsorlens.operators.transform import packed, unpacked
+    odd = [None, "", "a", "\x1f", "\x1e", "\x1e0", "\x1e1", "\x1e2", "\x1e\x1f", "\x1f\x1e2", "\x1e0\x1f1", " ", "é\n\t𝄞", ",;|\\", "2"]
+    rows = spark.createDataFrame([(i, a, b, None if i % 3 else 1.5, c) for i, (a, b, c) in
+                                  enumerate((a, b, c) for a in odd for b in odd for c in (None, "", "\x1f"))],
+                                 "n int, a string, b string, x double, c string")
+    rows = rows.withColumn("bad", F.expr("cast(unhex('FF1F80') as string)"))
+    for but in ([], ["b"]):
+        there = packed(rows, but)
+        assert set(there.columns) == {"n", "x", "_packed", *but}
+        back = unpacked(there.withColumn("more", F.lit(1)), rows, but)
+        assert back.columns == [*rows.columns, "more"]
+        plain = lambda df: sorted(map(str, df.select(*[F.col(c).cast("binary") if t == "string" else F.col(c)
+                                                       for c, t in rows.dtypes]).collect()))
+        assert plain(back) == plain(rows)
