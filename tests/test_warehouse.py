@@ -391,3 +391,45 @@ def test_packed_texts_come_back_as_they_were(spark):
         plain = lambda df: sorted(map(str, df.select(*[F.col(c).cast("binary") if t == "string" else F.col(c)
                                                        for c, t in rows.dtypes]).collect()))
         assert plain(back) == plain(rows)
+
+
+def test_moved_rows_have_no_places(spark, wh, monkeypatch):
+    """Rows are joined to employers and dealt to parts with the id of their place; its city and state join the
+    dealt rows, also where the place has none or isn't known."""
+    from sponsorlens.operators import transform as M
+    seen, kept = [], M.packed
+    monkeypatch.setattr(M, "packed", lambda rows, but=(): seen.append(rows.columns) or kept(rows, but))
+    load_lca(wh, _raw_rows(spark, ROWS))
+    assert len(seen) == 3 and not [c for cols in seen[1:] for c in cols if "city" in c or "state" in c]
+    columns = ["case_number", "worksite_city", "worksite_state"]
+    served, joined = (sorted(map(str, views.sponsorships(wh, columns, materialised=m).collect())) for m in (True, False))
+    assert served == joined and len(served) == wh.read("lca_filings").count() > 0
+
+
+def test_lines_move_with_what_their_rows_need(spark, tmp_path):
+    """The fixture's lines are shuffled with the day they were shipped and one number for their flags; rows follow the
+    flags as before, also where these are NULL."""
+    from sponsorlens.sources.fixtures import raw_lca
+    flags = [("R", "F"), ("R", "O"), ("R", None), ("N", "F"), ("N", "O"), ("N", None), ("A", "F"), ("A", None), (None, "F"), (None, "O"), (None, None)]
+    at = "timestamp'1996-03-13 23:59:59'"
+    tables = {
+        "lineitem": spark.createDataFrame([(1, 2, 3, n, f, s) for n, (f, s) in enumerate(flags)], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_linestatus string")
+                         .selectExpr("*", "5.0D l_quantity", "100.5D l_extendedprice", f"if(l_linenumber = 10, null, {at}) l_shipdate"),
+        "orders": spark.sql(f"select 1L o_orderkey, 4L o_custkey, {at} o_orderdate, '5-LOW' o_orderpriority"),
+        "customer": spark.sql("select 4L c_custkey, 'Customer#4' c_name"),
+        "supplier": spark.sql("select 3L s_suppkey, 0 s_nationkey")}
+    for name, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    raw = raw_lca(spark, str(tmp_path))
+    found = {int(r.CASE_NUMBER.split("-")[-1]): (r.CASE_STATUS, r.DECISION_DATE) for r in raw.collect()}
+    status = ["Denied", "Withdrawn", "Withdrawn", "Certified - Withdrawn", *["Certified"] * 7]
+    assert found == {n: (s, None if n == 10 else "1996-03-13") for n, s in enumerate(status)}
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "-1")
+    try:
+        plan = raw_lca(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    lines = [x for x in plan.splitlines() if "Project" in x and "l_orderkey" in x and "_status" in x and "CASE_NUMBER" not in x]
+    assert lines and all("l_returnflag" not in x.split(" AS ")[-1] for x in lines)
