@@ -37,6 +37,39 @@ def test_leading_rows_of_a_large_cap(spark):
         assert got == list(range(min(cap, 5000)))
 
 
+def test_leading_rows_deal_only_what_may_lead(spark, monkeypatch):
+    """With the order's first number, rows beyond it aren't dealt, and the leading rows are the same: many and few
+    values, NULLs, NaN, an order by a value of which most rows have one."""
+    from sponsorlens.operators import topk
+    rows = spark.range(3000).selectExpr(
+        "id", "if(id % 11 = 0, null, id * 7919 % 3000) many", "cast(if(id % 5 = 0, null, id % 3) as int) few",
+        "if(id % 13 = 0, double('nan'), if(id % 17 = 0, null, id % 50 / 2)) x", "if(id < 2900, 1L, id) most").cache()
+    frame = type(rows)
+    dealt, kept = [], frame.repartitionByRange
+    monkeypatch.setattr(frame, "repartitionByRange", lambda df, *a: dealt.append(df.count()) or kept(df, *a))
+    for column in ("many", "few", "x", "most"):
+        for direction, first in (("desc", F.desc_nulls_last(column)), ("asc", F.asc_nulls_last(column))):
+            for cap in (0, 1, 200, 2900, 4000):
+                want, got = ([r.id for r in topk.leading_rows(rows, [first, F.asc("id")], cap, f).collect()] for f in (None, (column, direction)))
+                assert got == want and len(got) == min(cap, 3000)
+                assert dealt[-2] == 3000 and (column != "many" or cap != 200 or dealt[-1] < 400)
+
+
+def test_flags_are_looked_up_for_the_rows_shown(spark, monkeypatch):
+    """PERM flags are joined to the rows of a download after these are cut."""
+    from sponsorlens.operators import filters as FL
+    s = spark.range(600).selectExpr(
+        "if(id % 7 = 0, null, concat('E', id % 40)) employer_name", "concat('T', id % 3) job_title", "'c' job_category", "'s' soc_code",
+        "'t' soc_title", "concat('C', id % 5) worksite_city", "'CA' worksite_state", "cast(2000 + id % 9 as int) fiscal_year",
+        "'H-1B' visa_class", "'Certified' case_status", "double(id % 100) annual_wage", "1.0D prevailing_wage", "false is_university")
+    gc = spark.createDataFrame([("E1",), ("E2",), ("E2",), (None,)], "employer_name string")
+    asked, mark = [], FL.mark_gc_sponsor
+    monkeypatch.setattr(FL, "mark_gc_sponsor", lambda df, *a: asked.append(df.count()) or mark(df, *a))
+    order = FL.order_for("year_desc", grouped=False) + [F.asc_nulls_last(c) for c in H.DOWNLOAD_COLUMNS]
+    want = [tuple(r) for r in mark(s.select(H.DOWNLOAD_COLUMNS), gc, "green_card_sponsor").orderBy(*order).limit(50).collect()]
+    assert [tuple(r) for r in H.download_rows(s, "year_desc", gc, 50).collect()] == want and asked == [50]
+
+
 def test_suggestions_for_short_texts_are_empty(spark):
     df = spark.createDataFrame([("ab",)], "t string")
     assert H.suggestions(df, "t", " a ").collect() == [] and H.suggestions(df, "t", "ab").first().n == 1
