@@ -95,15 +95,19 @@ def row_view(s: DataFrame, sort: str = "wage_desc", gc: DataFrame | None = None,
 def grouped_view(s: DataFrame, sort: str = "approved_desc", gc: DataFrame | None = None,
                  limit: int | None = ROWS_SHOWN) -> DataFrame:
     """H7 (all groups, unordered, with ``limit`` None): certified filings by employer x title x city x state x year with
-    approved count, median wage and PERM filings per employer (E10)."""
+    approved count, median wage and PERM filings per employer (E10), which are looked up for the groups shown."""
     g = (s.where(certified())
           .groupBy(*FL.GROUP_KEYS)
           .agg(approved_measure(s).alias("approved"),
                F.round(F.median("annual_wage"), 0).alias("median_wage")))
+    order = FL.order_for(sort, grouped=True)
+    if limit is not None:
+        g = g.orderBy(*order).limit(limit)
     if gc is not None:
         g = (g.join(FL.gc_counts(gc), "employer_name", "left")
               .withColumn("green_cards", F.coalesce(F.col("green_cards"), F.lit(0).cast("long"))))
-    return g if limit is None else g.orderBy(*FL.order_for(sort, grouped=True)).limit(limit)
+        g = g if limit is None else g.orderBy(*order)
+    return g
 
 
 def suggestions(s: DataFrame, column: str, text: str, limit: int = 3) -> DataFrame:

@@ -56,7 +56,7 @@ def test_leading_rows_deal_only_what_may_lead(spark, monkeypatch):
 
 
 def test_flags_are_looked_up_for_the_rows_shown(spark, monkeypatch):
-    """PERM flags are joined to the rows of a download after these are cut."""
+    """PERM flags and counts are joined to the rows of a download, and to the groups of a view, after these are cut."""
     from sponsorlens.operators import filters as FL
     s = spark.range(600).selectExpr(
         "if(id % 7 = 0, null, concat('E', id % 40)) employer_name", "concat('T', id % 3) job_title", "'c' job_category", "'s' soc_code",
@@ -68,6 +68,11 @@ def test_flags_are_looked_up_for_the_rows_shown(spark, monkeypatch):
     order = FL.order_for("year_desc", grouped=False) + [F.asc_nulls_last(c) for c in H.DOWNLOAD_COLUMNS]
     want = [tuple(r) for r in mark(s.select(H.DOWNLOAD_COLUMNS), gc, "green_card_sponsor").orderBy(*order).limit(50).collect()]
     assert [tuple(r) for r in H.download_rows(s, "year_desc", gc, 50).collect()] == want and asked == [50]
+    for mode in FL.GROUP_ORDERS:
+        groups, shown = H.grouped_view(s, mode, gc, None), H.grouped_view(s, mode, gc, 20)
+        assert [tuple(r) for r in shown.collect()] == [tuple(r) for r in groups.orderBy(*FL.order_for(mode, grouped=True)).limit(20).collect()]
+        plan = shown._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Join") < plan.index("GlobalLimit")
 
 
 def test_suggestions_for_short_texts_are_empty(spark):
